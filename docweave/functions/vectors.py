@@ -21,8 +21,11 @@ def hash_from_hex(text: Column) -> Column:
 
 def sign_hash(vector: Column) -> Column:
     """Sign bits of a vector's first 64 values as a BIGINT, value i at bit i."""
-    bits = F.transform(F.slice(vector, 1, 64), lambda v, i: F.when(v > 0, F.shiftleft(F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint")))
-    return F.aggregate(bits, F.lit(0).cast("bigint"), lambda acc, b: acc.bitwiseOR(b))
+    found = F.lit(0).cast("bigint")
+    for i in range(64):
+        bit = F.lit((1 << i) if i < 63 else -(1 << 63)).cast("bigint")
+        found = found.bitwiseOR(F.when(F.get(vector, F.lit(i)) > 0, bit).otherwise(F.lit(0).cast("bigint")))
+    return found
 
 
 def iou(ax: Column, ay: Column, aw: Column, ah: Column, bx: Column, by: Column, bw: Column, bh: Column) -> Column:

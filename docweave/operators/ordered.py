@@ -28,14 +28,17 @@ def running(
     order: list,
     values: dict[str, tuple[str, Column]],
     descending_blocks: bool = False,
+    inclusive: bool = True,
 ) -> DataFrame:
     """Adds every ``name: (sum|max|min, expression)`` as its running value up to the row.
 
     ``block`` must grow with ``order`` inside each group (or fall, with
-    ``descending_blocks``). Keys may be NULL.
+    ``descending_blocks``). Keys may be NULL. Without ``inclusive`` the row itself is left out.
     """
     rows = df.withColumn("_block", block)
-    inside = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, 0 if inclusive else -1
+    )
     by_block = F.col("_block").desc() if descending_blocks else F.col("_block").asc()
     before = Window.partitionBy(*keys).orderBy(by_block).rowsBetween(Window.unboundedPreceding, -1)
 
