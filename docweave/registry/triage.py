@@ -89,7 +89,7 @@ _IMAGES = """
 img AS (SELECT *, 'img_p' || page || '_' || idx || '.png' AS filename FROM (
   SELECT (l_orderkey // 100)::VARCHAR AS document_id, l_orderkey % 100 AS page,
     ((l_orderkey % 100) * 10 + l_linenumber) * 1000000000 + l_partkey * 10000 + l_suppkey AS idx,
-    (l_quantity // 25 * 10)::DOUBLE AS x, (round(l_tax * 100) % 3 * 8)::DOUBLE AS y,
+    floor(l_quantity / 25) * 10 AS x, (round(l_tax * 100) % 3 * 8)::DOUBLE AS y,
     CASE WHEN l_quantity = 1 THEN 20 ELSE 100 + round(l_discount * 100) * 5 END::DOUBLE AS w,
     (80 + l_linenumber % 3 * 10)::DOUBLE AS h, CASE WHEN l_returnflag = 'R' THEN 'layout' ELSE 'embedded' END AS category,
     l_partkey % 300 AS content, l_quantity <> 2 AS found, l_partkey % 300 % 23 = 0 AS photo FROM lineitem))"""
@@ -97,7 +97,7 @@ img AS (SELECT *, 'img_p' || page || '_' || idx || '.png' AS filename FROM (
 
 def _overlap(source: str) -> str:
     return f"""
-pairs AS (SELECT *, row_number() OVER (PARTITION BY document_id, page ORDER BY a, b) AS n FROM (
+pairs AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY document_id, page ORDER BY a, b) AS n FROM (
   SELECT a.document_id, a.page, a.idx AS a, b.idx AS b, CASE
       WHEN a.category = 'embedded' AND b.category <> 'embedded' THEN true
       WHEN b.category = 'embedded' AND a.category <> 'embedded' THEN false ELSE a.w * a.h >= b.w * b.h END AS keep_a,
