@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: every character Python treats as whitespace, as a Java pattern.
+# Every character Python treats as whitespace.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+# The same set as a Java pattern.
 SPACE = r"(?U)[\s\x1c-\x1f]"
 
 
@@ -16,7 +21,7 @@ def clean(col: Column) -> Column:
 
 def strip(col: Column) -> Column:
     """Drop whitespace at both ends."""
-    return F.regexp_replace(col, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(col, F.lit(WHITESPACE))
 
 
 def clean_value(col: Column) -> Column:

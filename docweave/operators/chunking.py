@@ -80,9 +80,10 @@ def with_pieces(df: DataFrame, size: int, overlap: int, index: str) -> DataFrame
     windows = F.when(F.col("tokens") <= size, F.array("text")).otherwise(tx.token_windows(F.col("_words"), size, overlap))
     rows = _table_pieces(size)(F.when(is_long_table, F.col("text")))
     pieces = words.withColumn("_rows", rows).withColumn("_pieces", F.coalesce("_rows", windows))
-    kept = [c for c in df.columns if c not in ("text", "tokens")]
+    kept = [c for c in df.columns if c != "text"]
     exploded = pieces.select(*kept, F.size("_pieces").alias("_n"), F.posexplode_outer("_pieces").alias(index, "text"))
-    return exploded.withColumn("tokens", tx.token_count(F.col("text")))
+    # Only a real split needs a new count.
+    return exploded.withColumn("tokens", F.when(F.col("_n") == 1, F.col("tokens")).otherwise(tx.token_count(F.col("text"))))
 
 
 def expand_elements(elements: DataFrame, params: ChunkParams) -> DataFrame:
@@ -231,19 +232,23 @@ def headings(elements: DataFrame, params: ChunkParams = ChunkParams()) -> DataFr
     Per level the last heading so far is kept; it belongs to the path when no heading of
     a smaller level came after it.
     """
-    rows = elements.filter(F.col("element_type") == "heading").select(
-        "document_id", F.col("order").cast("bigint").alias("order"),
+    rows = expand_elements(elements.filter(F.col("element_type") == "heading"), params).select(
+        "document_id", F.col("order").cast("bigint").alias("order"), "piece",
         tx.heading_level(F.col("text")).alias("level"), tx.clean_title(F.col("text")).alias("title"),
     )
     last = {
-        f"h{n}": ("max", F.when(F.col("level") == n, F.struct("order", "title"))) for n in range(1, 7)
+        f"h{n}": ("max", F.when(F.col("level") == n, F.struct("order", "piece", "title"))) for n in range(1, 7)
     }
-    seen = running(rows, ["document_id"], F.floor(F.col("order") / params.block_rows), ["order"], last)
+    seen = running(rows, ["document_id"], F.floor(F.col("order") / params.block_rows), ["order", "piece"], last)
+    at = lambda n: F.struct(F.col(f"h{n}.order").alias("order"), F.col(f"h{n}.piece").alias("piece"))
     steps = []
     for n in range(1, 7):
-        above = [F.coalesce(F.col(f"h{m}.order"), F.lit(-1)) for m in range(1, n)] + [F.lit(-1), F.lit(-1)]
-        steps.append(F.when(F.col(f"h{n}.order") > F.greatest(*above), F.col(f"h{n}.title")))
-    return seen.select("document_id", "order", "level", "title", F.filter(F.array(*steps), lambda t: t.isNotNull()).alias("path"))
+        later = F.col(f"h{n}").isNotNull()
+        for m in range(1, n):
+            later = later & (F.col(f"h{m}").isNull() | (at(n) > at(m)))
+        steps.append(F.when(later, F.col(f"h{n}.title")))
+    path = F.filter(F.array(*steps), lambda t: t.isNotNull())
+    return seen.select("document_id", "order", "piece", "level", "title", path.alias("path"))
 
 
 def parent_id(document_id: Column, index: Column) -> Column:
@@ -255,11 +260,11 @@ def parent_sections(assigned: DataFrame, heads: DataFrame) -> DataFrame:
     item = F.struct("order", "piece", "text")
     grouped = assigned.groupBy("document_id", "parent_index").agg(
         F.first("domain").alias("domain"), F.first("source_type").alias("source_type"), F.first("file_name").alias("file_name"),
-        F.max("section.order").alias("_heading"),
+        F.max("section").alias("_heading"),
         F.sort_array(F.collect_set("page_number")).alias("page_numbers"),
         F.array_join(F.filter(F.sort_array(F.collect_list(item))["text"], lambda t: t != ""), "\n\n").alias("parent_text"),
     )
-    titles = heads.select("document_id", F.col("order").alias("_heading"), "title", "path")
+    titles = heads.select("document_id", F.struct("order", "piece").alias("_heading"), "title", "path")
     return grouped.join(titles, ["document_id", "_heading"], "left").select(
         parent_id(F.col("document_id"), F.col("parent_index")).alias("parent_id"),
         "document_id", "domain", "source_type", F.col("title").alias("section_title"),
@@ -333,7 +338,7 @@ def child_chunks(assigned: DataFrame, heads: DataFrame, params: ChunkParams = Ch
         units.groupBy("document_id", "parent_index")
         .agg(
             F.first("domain").alias("domain"), F.first("source_type").alias("source_type"),
-            F.first("file_name").alias("file_name"), F.max("section.order").alias("_heading"),
+            F.first("file_name").alias("file_name"), F.max("section").alias("_heading"),
             F.sort_array(F.collect_list(item)).alias("units"),
         )
         .withColumn("ranges", _pack(params.target, params.overlap)(F.col("units.tokens"), F.col("units.kind")))
@@ -343,7 +348,7 @@ def child_chunks(assigned: DataFrame, heads: DataFrame, params: ChunkParams = Ch
     )
     whole = F.array_join("u.text", "\n\n")
     only_table = F.get("u.kind", F.lit(0)) == TABLE
-    titles = heads.select("document_id", F.col("order").alias("_heading"), F.col("title").alias("section_title"))
+    titles = heads.select("document_id", F.struct("order", "piece").alias("_heading"), F.col("title").alias("section_title"))
     parent = parent_id(F.col("document_id"), F.col("parent_index"))
     return (
         rows.select(

@@ -5,8 +5,11 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +33,16 @@ def embed_sparse(
 ) -> DataFrame:
     """Adds ``terms`` and ``weights``. The model sees Arrow batches and nothing is shuffled."""
 
-    @F.pandas_udf("terms array<string>, weights array<double>")
-    def run(chunks: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("terms array<string>, weights array<double>")
+    def run(chunks: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for chunk in chunks:
-            yield pd.DataFrame(model(chunk.fillna("").tolist(), max_terms), columns=["terms", "weights"])
+            found = model([t or "" for t in chunk.to_pylist()], max_terms)
+            ends = np.cumsum([0] + [len(terms) for terms, _ in found])
+            offsets = pa.array(ends, pa.int32())
+            terms = pa.array(chain.from_iterable(t for t, _ in found), pa.string())
+            weights = pa.array(chain.from_iterable(w for _, w in found), pa.float64())
+            lists = [pa.ListArray.from_arrays(offsets, terms), pa.ListArray.from_arrays(offsets, weights)]
+            yield pa.StructArray.from_arrays(lists, ["terms", "weights"])
 
     # Marked non-deterministic so that no filter pulls a second call of the model below.
     return df.withColumn("_sparse", run.asNondeterministic()(F.col(text))).select(

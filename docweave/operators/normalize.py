@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from docweave.functions import text as tx
 from docweave.functions.ids import serial
 from docweave.operators.ordered import running
+from docweave.session import cut_lineage
 from docweave.settings import DEFAULTS
 
 # Item types with retrievable content, and those that count as running text.
@@ -76,7 +77,8 @@ def image_context(content: DataFrame, images: DataFrame) -> DataFrame:
     minimum over heights, so no image is paired with the items of its page.
     """
     keys = ["document_id", "page"]
-    levels = _levels(content, images)
+    # Read by two running aggregates, and small next to the content.
+    levels = cut_lineage(_levels(content, images))
     band = F.floor(F.col("y") / BAND)
     down = running(
         levels, keys, band, ["y"],
@@ -132,7 +134,7 @@ def page_order(content: DataFrame, images: DataFrame, block_rows: int = DEFAULTS
 
 
 def normalize_pdf(content: DataFrame, images: DataFrame, block_rows: int = DEFAULTS.block_rows) -> DataFrame:
-    ordered = page_order(content, images, block_rows)
+    ordered = page_order(content, cut_lineage(images), block_rows)
     stem = F.regexp_replace("filename", r"\.[^./]*$", "")
     name = F.when(F.col("element_type") == "image", stem).otherwise(serial(F.col("order")))
     element_id = F.concat("document_id", F.lit(":p"), F.col("page_number").cast("string"), F.lit(":"), name)
