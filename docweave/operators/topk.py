@@ -135,7 +135,7 @@ def best_of(queries, batches: Iterator[pa.RecordBatch], k: int) -> pd.DataFrame:
     """The k best units of every query over a stream of unit batches."""
     best = None
     for batch in batches:
-        if batch.num_rows == 0:
+        if batch.num_rows == 0 or len(queries.ids) == 0:
             continue
         batch = batch.take(pc.sort_indices(batch.column("unit_id")))
         ids = batch.column("unit_id").to_pandas().to_numpy()
@@ -173,10 +173,10 @@ def pinned(df: DataFrame, rows: int) -> DataFrame:
 
 def _broadcast_scan(units: DataFrame, queries: pd.DataFrame, kind: type, k: int, schema: T.StructType) -> DataFrame:
     batch = units.sparkSession.sparkContext.broadcast(kind.build(queries))
-    arrow = pa.schema([(f.name, _arrow_type(f.dataType)) for f in schema])
+    fields = _arrow_fields(schema)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield pa.RecordBatch.from_pandas(best_of(batch.value, batches, k), arrow, preserve_index=False)
+        yield from _to_arrow(best_of(batch.value, batches, k), fields).to_batches()
 
     return units.mapInArrow(scan, schema)
 
@@ -193,18 +193,23 @@ def _blocked_scan(
         "_shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint")))
     )
 
+    fields = _arrow_fields(schema)
+
     def score(unit_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
         found = best_of(kind.build(query_rows.to_pandas()), iter(unit_rows.combine_chunks().to_batches(10_000)), k)
-        arrow = pa.schema([(f.name, _arrow_type(f.dataType)) for f in schema])
-        return pa.Table.from_pandas(found, arrow, preserve_index=False)
+        return _to_arrow(found, fields)
 
     return left.groupBy("_shard", "_block").cogroup(right.groupBy("_shard", "_block")).applyInArrow(score, schema)
 
 
-def _arrow_type(data_type: T.DataType) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64()}[
-        data_type.simpleString()
-    ]
+def _arrow_fields(schema: T.StructType) -> list[tuple[str, pa.DataType]]:
+    types = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64()}
+    return [(f.name, types[f.dataType.simpleString()]) for f in schema]
+
+
+def _to_arrow(frame: pd.DataFrame, fields: list[tuple[str, pa.DataType]]) -> pa.Table:
+    # Column by column, because the pandas conversion would turn NaN into NULL.
+    return pa.table({name: pa.array(frame[name].tolist(), kind) for name, kind in fields})
 
 
 def scan_topk(

@@ -100,13 +100,13 @@ def _cells(low: Column, size: Column, threshold: float, own: bool) -> Column:
     if own:
         return F.array(F.struct(level.alias("c"), F.floor(low / unit(level)).alias("p")))
     reach = size * base * (1 - threshold)
-    per_level = [
-        F.transform(
-            F.sequence(F.floor((low - reach) / unit(level + d)), F.floor((low + reach) / unit(level + d))),
-            lambda p, d=d: F.struct((level + d).alias("c"), p.alias("p")),
-        )
-        for d in (-1, 0, 1)
-    ]
+
+    def level_cells(step: int) -> Column:
+        at = level + step
+        span = F.sequence(F.floor((low - reach) / unit(at)), F.floor((low + reach) / unit(at)))
+        return F.transform(span, lambda p: F.struct(at.alias("c"), p.alias("p")))
+
+    per_level = [level_cells(step) for step in (-1, 0, 1)]
     return F.concat(*per_level)
 
 

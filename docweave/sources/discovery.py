@@ -20,6 +20,8 @@ MANIFEST = (
 def local_files(spark: SparkSession, input_dir: str, root: str) -> DataFrame:
     """Files one level below ``input_dir/<domain>/``; only names and sizes are read."""
     listed = spark.read.format("binaryFile").load(f"{input_dir}/*/*").select("path", "length")
+    # The pattern also lists folders; what lies deeper is not part of the corpus.
+    listed = listed.filter(F.col("path").rlike(_quoted(input_dir.strip("/")) + "/[^/]+/[^/]+$"))
     return describe_files(listed, root)
 
 
