@@ -15,6 +15,7 @@ from docweave.plans.catalog import pending_documents
 from docweave.plans.hybrid import SearchParams, hybrid_search
 from docweave.session import build_session
 from docweave.settings import DEFAULTS
+from docweave.sources.html import crawl_counts
 from docweave.sources.store import Store
 
 
@@ -71,7 +72,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "parse-facts":
         corpus.parse_facts(store, args.path, args.document_id, args.domain).show()
     elif args.command == "parse-pages":
-        corpus.parse_pages(store, spark.read.parquet(args.pages)).select("document_id", F.size("pages")).show()
+        crawl_counts(corpus.parse_pages(store, spark.read.parquet(args.pages))).show()
     elif args.command == "normalize":
         corpus.normalize(store).groupBy("domain", "source_type").count().show()
     elif args.command == "chunk":

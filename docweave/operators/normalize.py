@@ -144,36 +144,37 @@ def normalize_pdf(content: DataFrame, images: DataFrame, block_rows: int = DEFAU
     )
 
 
-def normalize_html(structured: DataFrame) -> DataFrame:
-    """Flatten ``pages: array<struct<page_number, sections: array<struct<heading, heading_level, elements>>>>``.
+def normalize_html(pages: DataFrame, block_rows: int = DEFAULTS.block_rows) -> DataFrame:
+    """Flatten page rows ``document_id, domain, page_number, sections: array<struct<heading, heading_level, elements>>``.
 
-    Everything stays inside the document's row until one explode, so the order is the
-    array position. A section heading of level 1 or more comes before its elements, which
-    are sorted by ``sequence``; elements without text are left out.
+    A page's stream is built inside its row. A section heading of level 1 or more comes
+    before its elements, which are sorted by ``sequence``; elements without text are left
+    out. The order continues over the pages of a document.
     """
-    entry = lambda page, kind, text: F.struct(page.alias("page_number"), kind.alias("element_type"), text.alias("text"))
+    entry = lambda kind, text: F.struct(kind.alias("element_type"), text.alias("text"))
 
-    def section(page: Column, s: Column) -> Column:
+    def section(s: Column) -> Column:
         heading = tx.clean(s["heading"])
         shown = (heading != "") & (F.coalesce(s["heading_level"], F.lit(0)) >= 1)
         elements = F.transform(
             s["elements"], lambda e, i: F.struct(F.coalesce(e["sequence"], F.lit(0)).alias("q"), i.alias("i"), e["type"].alias("t"), tx.clean(e["text"]).alias("x"))
         )
         kept = F.filter(F.sort_array(elements), lambda e: e["x"] != "")
-        listed = F.transform(kept, lambda e: entry(page, F.coalesce(e["t"], F.lit("text")), e["x"]))
-        head = F.array(entry(page, F.lit("heading"), heading))
-        return F.when(shown, F.concat(head, listed)).otherwise(listed)
-
-    def page(p: Column) -> Column:
-        number = F.coalesce(p["page_number"].cast("int"), F.lit(1))
-        return F.flatten(F.transform(p["sections"], lambda s: section(number, s)))
-
-    stream = F.flatten(F.transform("pages", page))
-    rows = structured.select("document_id", "domain", F.posexplode_outer(stream).alias("order", "e")).filter("e IS NOT NULL")
-    element_id = F.concat("document_id", F.lit(":p"), F.col("e.page_number").cast("string"), F.lit(":"), serial(F.col("order")))
-    return rows.select(
+        listed = F.transform(kept, lambda e: entry(F.coalesce(e["t"], F.lit("text")), e["x"]))
+        return F.when(shown, F.concat(F.array(entry(F.lit("heading"), heading)), listed)).otherwise(listed)
+
+    number = F.coalesce(F.col("page_number").cast("int"), F.lit(1))
+    streams = pages.select("document_id", "domain", number.alias("page_number"), F.flatten(F.transform("sections", section)).alias("stream"))
+    sizes = streams.select("document_id", "page_number", F.size("stream").alias("n"))
+    starts = running(
+        sizes, ["document_id"], F.floor(F.col("page_number") / block_rows), ["page_number"], {"start": ("sum", F.col("n"))}, inclusive=False
+    ).select("document_id", "page_number", "start")
+    rows = streams.select("document_id", "domain", "page_number", F.posexplode_outer("stream").alias("at", "e")).filter("e IS NOT NULL")
+    order = F.col("start") + F.col("at")
+    element_id = F.concat("document_id", F.lit(":p"), F.col("page_number").cast("string"), F.lit(":"), serial(order))
+    return rows.join(starts, ["document_id", "page_number"]).select(
         element_id.alias("element_id"), "document_id", "domain", "e.element_type", "e.text", F.lit("html").alias("source_type"),
-        "e.page_number", F.col("order").cast("bigint").alias("order"),
+        "page_number", order.cast("bigint").alias("order"),
     )
 
 

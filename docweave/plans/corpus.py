@@ -45,7 +45,7 @@ def parse_pages(store: Store, pages: DataFrame) -> DataFrame:
     if pages.isEmpty():
         raise ValueError("the crawl returned no pages")
     domains = pages.select("document_id", "domain").distinct()
-    nested = ht.structured_documents(ht.extract_pages(pages)).join(domains, "document_id")
+    nested = ht.structured_pages(ht.extract_pages(pages)).join(domains, "document_id")
     return store.replace("structured_html", nested)
 
 

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docweave.functions import text as tx
+from docweave.operators.topk import is_small
+
+# Above this many file splits the offsets are joined without a broadcast.
+BROADCAST_SPLITS = 50_000
 
 # CSV headers and the column names they get, in file order.
 COLUMNS = {
@@ -62,7 +66,9 @@ def read_rows(spark: SparkSession, path: str, document_id: str, domain: str, mul
     splits = rows.groupBy("_file", "_split").agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy("_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("_file", "_split", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    numbered = rows.join(F.broadcast(offsets), ["_file", "_split"]).withColumn(
+    if is_small(splits, BROADCAST_SPLITS):
+        offsets = F.broadcast(offsets)
+    numbered = rows.join(offsets, ["_file", "_split"]).withColumn(
         "source_row_number", F.col("_before") + F.col("_seq") - F.col("_first") + 2
     )
     return numbered.select(

@@ -10,7 +10,7 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
@@ -161,11 +161,11 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     )
 
 
-def structured_documents(elements: DataFrame) -> DataFrame:
-    """Elements of :func:`extract_pages` nested as pages -> sections -> elements, one row per document.
+def structured_pages(elements: DataFrame) -> DataFrame:
+    """Elements of :func:`extract_pages` nested as sections -> elements, one row per page.
 
-    Sections come from the row's own element array: a page is one row of input, so its
-    elements fit an array again.
+    A page is one row of input, so its elements fit an array again. Pages of a document
+    stay separate rows, because a crawl can hold any number of them.
     """
     item = F.struct("sequence", "element_id", "type", "text", "heading_level", "table_html", "table_markdown", "image_url", "alt_text")
     by_page = elements.groupBy("document_id", "page_number", "page_id", "source_url", "page_title").agg(
@@ -185,11 +185,9 @@ def structured_documents(elements: DataFrame) -> DataFrame:
         .otherwise(uuid5(F.col("page_id"), F.col("head.sequence").cast("string"), F.col("head.text"))).alias("section_id"),
         "elements",
     )
-    pages = sections.groupBy("document_id", "page_number", "page_id", "source_url", "page_title").agg(
+    return sections.groupBy("document_id", "page_number", "page_id", "source_url", F.col("page_title").alias("title")).agg(
         F.sort_array(F.collect_list(section)).alias("sections")
     )
-    page = F.struct("page_number", "page_id", "source_url", F.col("page_title").alias("title"), "sections")
-    return pages.groupBy("document_id").agg(F.sort_array(F.collect_list(page)).alias("pages"))
 
 
 def combined_markdown(pages: DataFrame) -> DataFrame:
@@ -208,11 +206,17 @@ def pdf_markdown(pages: DataFrame) -> DataFrame:
     return joined_pages(kept.select("document_id", "page_number", block.alias("block")))
 
 
-def joined_pages(blocks: DataFrame) -> DataFrame:
-    ordered = F.sort_array(F.collect_list(F.struct("page_number", "block")))
-    return blocks.groupBy("document_id").agg(F.array_join(ordered["block"], "\n\n---\n\n").alias("markdown"))
+def joined_pages(blocks: DataFrame, block_pages: int = 1000) -> DataFrame:
+    """Page texts of a document in page order; runs of pages are joined first, by many tasks."""
+    rule = "\n\n---\n\n"
+    run = F.floor(F.col("page_number") / block_pages)
+    page = F.sort_array(F.collect_list(F.struct("page_number", "block")))
+    runs = blocks.groupBy("document_id", run.alias("run")).agg(F.array_join(page["block"], rule).alias("block"))
+    ordered = F.sort_array(F.collect_list(F.struct("run", "block")))
+    return runs.groupBy("document_id").agg(F.array_join(ordered["block"], rule).alias("markdown"))
 
 
 def crawl_counts(structured: DataFrame) -> DataFrame:
-    sections: Column = F.aggregate("pages", F.lit(0), lambda a, p: a + F.size(p["sections"]))
-    return structured.select("document_id", F.size("pages").alias("page_count"), sections.alias("section_count"))
+    return structured.groupBy("document_id").agg(
+        F.count(F.lit(1)).alias("page_count"), F.sum(F.size("sections")).alias("section_count")
+    )

@@ -88,13 +88,22 @@ def test_html_elements_and_sections(spark):
     assert picture.image_url == "http://h.org/i.png" and picture.alt_text == "the alt"
     page_id = str(uuid.uuid5(uuid.NAMESPACE_URL, "http://h.org/a/:1"))
     assert rows[0].element_id == str(uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id}:1:p"))
-    nested = ht.structured_documents(ht.extract_pages(df))
-    sections = nested.first().pages[0].sections
+    nested = ht.structured_pages(ht.extract_pages(df))
+    sections = nested.first().sections
     assert [(s.heading, s.heading_level, len(s.elements)) for s in sections] == [("T", 0, 1), ("One", 1, 3), ("Deep", 3, 5), ("Two & 3", 2, 1)]
     flat = nm.normalize_html(nested.withColumn("domain", F.lit("legal"))).orderBy("order").collect()
     # A section heading comes once for the section and once as its first element; images have no text.
     assert [r.text for r in flat] == ["lead in", "One", "One", "a", "b c", "Deep", "Deep", "x y inner", "H|1 H2 v", "q r", "Two & 3", "Two & 3"]
     assert flat[3].element_id == "d:p1:00003"
+    two = df.union(df.withColumn("page_number", F.lit(2)))
+    for block_rows in (1, 100):
+        pages = ht.structured_pages(ht.extract_pages(two)).withColumn("domain", F.lit("legal"))
+        longer = nm.normalize_html(pages, block_rows).orderBy("order").collect()
+        assert [r.order for r in longer] == list(range(24)) and longer[12].element_id == "d:p2:00012"
+    assert tuple(ht.crawl_counts(ht.structured_pages(ht.extract_pages(two))).first()) == ("d", 2, 8)
+    marked = df.selectExpr("document_id", "explode(sequence(1, 5)) AS page_number", "url", "'m' AS markdown")
+    assert ht.joined_pages(marked.selectExpr("document_id", "page_number", "'b' || page_number AS block"), 2).first().markdown == "\n\n---\n\n".join(f"b{i}" for i in range(1, 6))
+    assert ht.combined_markdown(marked).first().markdown.startswith("# Crawled Page 1\nSource URL: http://h.org/a/\n\nm\n\n---\n\n# Crawled Page 2")
 
 
 def facts_row(n, facility="F1", measure="H_COMP_1_A", **kw):
