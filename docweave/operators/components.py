@@ -68,7 +68,10 @@ def near_links(nodes: DataFrame, bits: int, bucket_rows: int = DEFAULTS.bucket_r
     group gives smaller buckets that again hold every close pair. Once the open bits of a
     bucket are no more than ``bits``, all its hashes are close and a star links them.
     """
-    rest = nodes.filter(F.col("hash").isNotNull()).select("scope", "hash").distinct().withColumn("mask", F.lit(0).cast("bigint"))
+    # Every round reads its hashes several times.
+    rest = cut_lineage(
+        nodes.filter(F.col("hash").isNotNull()).select("scope", "hash").distinct().withColumn("mask", F.lit(0).cast("bigint"))
+    )
     found = None
     depth = 0
     while True:

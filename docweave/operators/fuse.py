@@ -80,7 +80,7 @@ Scorer = Callable[[Column, Column], Column]
 def term_coverage(query: Column, text: Column) -> Column:
     """Offline reranker: share of the query's distinct words that occur in the text."""
     wanted = F.array_distinct(tx.words(F.lower(query)))
-    shared = F.array_intersect(wanted, F.array_distinct(tx.words(F.lower(text))))
+    shared = F.array_intersect(wanted, tx.words(F.lower(text)))
     return F.coalesce(F.try_divide(F.size(shared).cast("double"), F.size(wanted).cast("double")), F.lit(0.0))
 
 

@@ -175,7 +175,7 @@ def overlap_drops(boxes: DataFrame, params: TriageParams) -> DataFrame:
     """
     shape = ["document_id", "page", "x", "y", "w", "h", "category"]
     boxes = boxes.withColumn("category", F.coalesce("category", F.lit("embedded")))
-    firsts = boxes.filter("w > 0 AND h > 0").groupBy(*shape).agg(F.min("idx").alias("idx"))
+    firsts = cut_lineage(boxes.filter("w > 0 AND h > 0").groupBy(*shape).agg(F.min("idx").alias("idx")))
     edges = cut_lineage(overlap_edges(firsts, params))
     idle = _acting(edges).withColumn("idle", F.lit(True))
     live = edges.join(idle.withColumnRenamed("idx", "a"), ["document_id", "a"], "left").filter("idle IS NULL").drop("idle")

@@ -19,6 +19,8 @@ def build_session(app: str = "docweave", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Rounds of iterative operators leave checkpoints behind that nobody reads again.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in options.items():

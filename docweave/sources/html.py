@@ -13,7 +13,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.functions import text as tx
 from docweave.functions.ids import uuid5
 
 # The tags that carry content, and those whose inner tags are not told apart.
