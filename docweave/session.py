@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +27,20 @@ def build_session(app: str = "docweave", master: str | None = None, **conf: str)
     }
     for key, value in options.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Give the Python workers this package, wherever the driver was started; once per context."""
+    context = spark.sparkContext
+    if not getattr(context, "_docweave_shipped", False):
+        package = Path(__file__).resolve().parent
+        archive = shutil.make_archive(
+            os.path.join(tempfile.mkdtemp(prefix="docweave-package-"), "docweave"), "zip", package.parent, package.name
+        )
+        context.addPyFile(archive)
+        context._docweave_shipped = True
+    return spark
 
 
 def local_session(cpus: int = 8) -> SparkSession:
