@@ -21,6 +21,7 @@ def discover(store: Store, input_dir: str, root: str) -> DataFrame:
     """Files and manifest entries -> ``documents``; known documents keep their status."""
     spark = store.spark
     found = di.local_files(spark, input_dir, root).unionByName(di.crawl_sources(spark, input_dir, root))
+    found = di.with_parser_version(found)
     # A url listed twice is one document; any of its entries describes it.
     found = found.groupBy("document_id").agg(F.min(F.struct(*[c for c in found.columns if c != "document_id"])).alias("d")).select("document_id", "d.*")
     if store.exists("documents"):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from importlib.metadata import PackageNotFoundError, version
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +43,21 @@ def describe_files(listed: DataFrame, root: str) -> DataFrame:
     )
 
 
+# The package that provides each parser.
+PARSER_PACKAGES = {"llamaparse": "llama-cloud", "firecrawl": "firecrawl-py", "pandas": "pandas"}
+
+
+def with_parser_version(documents: DataFrame) -> DataFrame:
+    """Adds ``parser_version``: the installed version of the parser's package, else NULL."""
+    found = F.lit(None).cast("string")
+    for parser, package in PARSER_PACKAGES.items():
+        try:
+            found = F.when(F.col("parser_used") == parser, F.lit(version(package))).otherwise(found)
+        except PackageNotFoundError:
+            continue
+    return documents.withColumn("parser_version", found)
+
+
 def _quoted(text: str) -> str:
     import re
 

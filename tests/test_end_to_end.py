@@ -21,6 +21,7 @@ def test_command_line(spark, tmp_path, capsys):
     run("discover", "--input", str(tmp_path / "raw"), "--root", str(tmp_path))
     docs = {r.source_type: r for r in Store(spark, store).read("documents").collect()}
     assert set(docs) == {"csv", "html"}
+    assert docs["csv"].parser_version and docs["html"].parser_version is None
     html = "<h1>Insulin</h1><p>Insulin lowers glucose levels.</p><h2>Storage</h2><p>Keep insulin cold.</p>"
     pages = [(docs["html"].document_id, "medical", 1, html, "http://h.org/guide", "Guide")]
     spark.createDataFrame(pages, "document_id string, domain string, page_number int, html string, url string, title string").write.parquet(str(tmp_path / "pages"))
