@@ -19,8 +19,15 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    from docweave.llm.simhash import as_hex, near_duplicates
+
+    return near_duplicates(documents(spark, folder)).select("doc_id", as_hex().alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op6_simhash": op6_simhash,
 }
 
 ORACLES: dict[str, str] = {}
