@@ -19,6 +19,14 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from docweave.llm.secret_scan import scan_secrets
+
+    found = scan_secrets(documents(spark, folder).select("doc_id", "text"))
+    digest = F.sha2("base_spans", 256).alias("base_sha256")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", digest, "spans", "truncated")
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     from docweave.llm.simhash import as_hex, near_duplicates
 
@@ -27,6 +35,7 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_secret_scan": op4_secret_scan,
     "op6_simhash": op6_simhash,
 }
 
