@@ -27,6 +27,13 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", digest, "spans", "truncated")
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from docweave.llm.word_repeats import remove_repeats
+
+    kept = remove_repeats(documents(spark, folder))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     from docweave.llm.simhash import as_hex, near_duplicates
 
@@ -36,6 +43,7 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_secret_scan": op4_secret_scan,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_simhash": op6_simhash,
 }
 
