@@ -40,11 +40,19 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(documents(spark, folder)).select("doc_id", as_hex().alias("fingerprint"), "component_id")
 
 
+def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from docweave.llm.byte_repeats import remove_repeats
+
+    kept = remove_repeats(documents(spark, folder), keep_first=False)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_secret_scan": op4_secret_scan,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_simhash": op6_simhash,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 
 ORACLES: dict[str, str] = {}
