@@ -10,6 +10,14 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """A public vocabulary file; it is read here and travels to the tasks with their code."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     from docweave.llm.quality import quality_verdicts
 
@@ -40,6 +48,15 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(documents(spark, folder)).select("doc_id", as_hex().alias("fingerprint"), "component_id")
 
 
+def op8_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
+    from docweave.llm.chunk_bpe import decode_ids, encode_texts
+
+    content = vocabulary("byte_bpe_50k.json")
+    decoded = decode_ids(encode_texts(documents(spark, folder).select("doc_id", "text"), content).drop("text"), content)
+    digests = (F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return decoded.select("doc_id", "n_tokens", *digests)
+
+
 def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from docweave.llm.byte_repeats import remove_repeats
 
@@ -52,6 +69,7 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_simhash": op6_simhash,
+    "op8_bpe_codec": op8_bpe_codec,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 
