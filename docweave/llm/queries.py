@@ -48,6 +48,13 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(documents(spark, folder)).select("doc_id", as_hex().alias("fingerprint"), "component_id")
 
 
+def op7_token_count(spark: SparkSession, folder: str) -> DataFrame:
+    from docweave.llm.token_count import count_tokens
+
+    counted = count_tokens(documents(spark, folder).select("doc_id", "text"), vocabulary("word_bpe_49k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def op8_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     from docweave.llm.chunk_bpe import decode_ids, encode_texts
 
@@ -69,6 +76,7 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_simhash": op6_simhash,
+    "op7_token_count": op7_token_count,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
