@@ -71,6 +71,14 @@ def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    from docweave.llm.language import held_out, identify, learn
+
+    docs = documents(spark, folder)
+    model = learn(docs.filter(~held_out("doc_id") & F.col("doc_id").isNotNull()))
+    return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_secret_scan": op4_secret_scan,
@@ -79,6 +87,7 @@ QUERIES = {
     "op7_token_count": op7_token_count,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {}
