@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docweave.session import cut_lineage
+
 # ASCII white space, the separators of words in every contract: space and 0x09 to 0x0D.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -97,3 +100,14 @@ def ids_of(column: pa.Array) -> np.ndarray:
 
 def ids_back(values: np.ndarray) -> pa.Array:
     return pa.array(values, pa.int64(), mask=values == NULL_ID)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared checkpoint folder: cuts the lineage like a checkpoint, and later steps
+    read only the columns they use."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        cut_lineage(spark.range(0))  # names the folder
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
