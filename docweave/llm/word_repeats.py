@@ -12,16 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docweave.llm.common import NULL_ID, ids_back, ids_of, longs, mix, slices, sliding_min, words_of
+from docweave.llm.common import ids_back, ids_of, longs, mix, slices, sliding_min, words_of
 
 # Words of the hashed grams whose least hash names a window's bucket.
-GRAM = 3
+GRAM = 2
 
 # Text bytes that one step of a map task packs; copies inside a step are resolved before the shuffle.
-PACK_BYTES = 16 << 20
+PACK_BYTES = 8 << 20
 
 # Bytes of packed words that a bucket should hold; super-k-mers overlap, so about three times the text travels.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 
 _PRIME = np.uint64(0x9E3779B185EBCA87)
 
@@ -43,13 +43,6 @@ def _window_keys(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix((sums[width:] - sums[:-width]) * down[: len(hashes) - width + 1])
 
 
-class Packed:
-    """Super-k-mers as columns: where they start, how many words, and their packed text."""
-
-    def __init__(self, ids: np.ndarray, texts: np.ndarray, starts: np.ndarray, counts: np.ndarray, strings: list[bytes]):
-        self.ids, self.texts, self.starts, self.counts, self.strings = ids, texts, starts, counts, strings
-
-
 def super_kmers(rows: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
     """(row, start word, words, minimiser, packed string) of the runs of windows that share a minimiser."""
     words, vocabulary, first = words_of(rows)
@@ -69,7 +62,8 @@ def super_kmers(rows: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.
     # A run ends where the next begins or its row has no more window.
     stops = np.append(begin[1:], len(low))
     stops = np.minimum(stops, first[row_of[begin] + 1] - width + 1)
-    text = b" ".join([distinct[w] for w in words.tolist()])
+    spaced = pa.array([w + b" " for w in distinct], pa.large_binary()).take(pa.array(words))
+    text = spaced.buffers()[2].to_pybytes() if len(spaced) else b""
     lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))[words] + 1
     ends = np.cumsum(lengths)
     left = (ends - lengths)[begin].tolist()
@@ -78,12 +72,23 @@ def super_kmers(rows: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.
     return row_of[begin], begin - first[row_of[begin]], stops - begin + width - 1, low[begin], strings
 
 
+def _places(ids: np.ndarray, texts: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> bytes:
+    """Where super-k-mers come from; ids as differences, since neighbours are close."""
+    return np.diff(ids, prepend=0).tobytes() + b"".join(x.astype(np.int32).tobytes() for x in (texts, starts, counts))
+
+
+def _unplaced(raw: bytes) -> list[np.ndarray]:
+    size = len(raw) // 20
+    numbers = np.frombuffer(raw, np.int32, offset=8 * size).reshape(3, size).astype(np.int64)
+    return [np.cumsum(np.frombuffer(raw, np.int64, size)), *numbers]
+
+
 def _pack(width: int, buckets: int) -> Callable:
     """Map side: one row per bucket and step, and the windows that an equal super-k-mer of the step already covers."""
-    types = {"bucket": pa.int64(), "ids": pa.binary(), "texts": pa.binary(), "starts": pa.binary(), "counts": pa.binary(), "packed": pa.binary(), "marks": pa.binary()}
+    types = {"bucket": pa.int64(), "places": pa.binary(), "packed": pa.binary(), "marks": pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1)
+        squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for offset, length in slices(batch.column(2), PACK_BYTES):
                 part = batch.slice(offset, length)
@@ -112,10 +117,7 @@ def _pack(width: int, buckets: int) -> Callable:
                     mine = order[np.searchsorted(bucket[order], b) : np.searchsorted(bucket[order], b, "right")]
                     done = marks[mark_bucket == b]
                     out["bucket"].append(b)
-                    out["ids"].append(ids[row[mine]].tobytes())
-                    out["texts"].append(hashes[row[mine]].tobytes())
-                    out["starts"].append(start[mine].tobytes())
-                    out["counts"].append(count[mine].tobytes())
+                    out["places"].append(squeeze.compress(_places(ids[row[mine]], hashes[row[mine]], start[mine], count[mine])))
                     out["packed"].append(squeeze.compress(b"\n".join([strings[k] for k in mine.tolist()])))
                     out["marks"].append(np.stack([ids[row[done]], hashes[row[done]], start[done], count[done] - width + 1]).tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(out[n], t) for n, t in types.items()], names=list(types))
@@ -176,11 +178,11 @@ def _runs(flags: np.ndarray, owner: np.ndarray, inner: np.ndarray) -> tuple[np.n
 
 def _sort_bucket(width: int) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
-        column = lambda name: np.concatenate([np.frombuffer(x, np.int64) for x in table.column(name).to_pylist()])
+        expand = zstandard.ZstdDecompressor()
         marks = [np.frombuffer(x, np.int64).reshape(4, -1) for x in table.column("marks").to_pylist()]
-        ids, texts, starts, counts = (column(n) for n in ("ids", "texts", "starts", "counts"))
+        places = [_unplaced(expand.decompress(x)) for x in table.column("places").to_pylist()]
+        ids, texts, starts, counts = (np.concatenate(x) for x in zip(*places))
         if len(ids):
-            expand = zstandard.ZstdDecompressor()
             packed = pa.array([expand.decompress(x).decode() for x in table.column("packed").to_pylist()], pa.large_string())
             words, vocabulary, _ = words_of(packed)
             distinct = vocabulary.cast(pa.large_binary()).to_pylist()
@@ -206,8 +208,7 @@ def repeated_windows(rows: DataFrame, width: int, bucket_bytes: int = BUCKET_BYT
     """
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-3 * total // bucket_bytes))
-    fields = "bucket long, ids binary, texts binary, starts binary, counts binary, packed binary, marks binary"
-    packed = rows.mapInArrow(_pack(width, buckets), fields)
+    packed = rows.mapInArrow(_pack(width, buckets), "bucket long, places binary, packed binary, marks binary")
     return packed.groupBy("bucket").applyInArrow(_sort_bucket(width), MARKS)
 
 
@@ -227,10 +228,10 @@ def with_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, text_hash, text): a row is known by its id and its text, so that repeated ids stay apart."""
+    """(doc_id, text_hash, text): a row is known by its id and a 32-bit hash of its text, so that repeated ids stay apart."""
     return docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"),
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
+        F.hash(F.coalesce(F.col(text), F.lit(""))).cast("bigint").alias("text_hash"),
         F.col(text).alias("text"),
     )
 
@@ -278,6 +279,3 @@ def remove_repeats(
 
     schema = T.StructType.fromDDL("doc_id long, n_words long, n_removed long, kept_text string")
     return marked.select("doc_id", "text", "runs").mapInArrow(cut, schema)
-
-
-__all__ = ["MARKS", "NULL_ID", "covered", "keyed", "remove_repeats", "repeated_windows", "run_columns", "with_marks"]
