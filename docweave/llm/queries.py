@@ -27,6 +27,18 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_template_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    from docweave.llm.template_leaks import leaks
+
+    return leaks(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from docweave.llm.line_dedup import repeated_lines
+
+    return repeated_lines(documents(spark, folder))
+
+
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     from docweave.llm.secret_scan import scan_secrets
 
@@ -81,6 +93,8 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_template_leaks": op2_template_leaks,
+    "op3_line_dedup": op3_line_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_simhash": op6_simhash,
