@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from docweave.llm.common import stored
 
-SEPARATORS = r"[\x20\x09-\x0D]+"
+# White space besides the space and the newline; it is read as a space, so that words are split at one character.
+OTHER_SPACES = "\t\x0b\x0c\r"
 
 # Hash buckets of the rarity table; a table row is one integer, whatever the number of distinct tokens.
-RARITY_BITS = 18
+RARITY_BITS = 20
 
 # Lines whose tokens are fetched with a broadcast of their places; more are fetched with a shuffle join.
 BROADCAST_LINES = 1_000_000
@@ -20,11 +21,12 @@ PLACE = ("doc_id", "line_no")
 
 def lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, line) of (doc_id, text)."""
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    spaced = F.translate("text", OTHER_SPACES, " " * len(OTHER_SPACES))
+    return docs.select("doc_id", F.posexplode(F.split(spaced, "\n")).alias("line_no", "line"))
 
 
 def tokens(line: str = "line") -> Column:
-    return F.array_remove(F.split(line, SEPARATORS), "")
+    return F.array_remove(F.split(line, " "), "")
 
 
 def _bucket(token: Column) -> Column:
@@ -57,7 +59,7 @@ def _keys(split: DataFrame, ranks: DataFrame, *more: str) -> DataFrame:
     half = 1 << (RARITY_BITS - 1)
 
     def key(hash_: Column) -> Column:
-        rank = F.get("ranks", F.shiftrightunsigned(hash_, 64 - RARITY_BITS).cast("int")) - half
+        rank = F.coalesce(F.get("ranks", F.shiftrightunsigned(hash_, 64 - RARITY_BITS).cast("int")), F.lit(0)) - half
         return F.shiftleft(rank.cast("bigint"), 64 - RARITY_BITS).bitwiseOR(hash_.bitwiseAND(F.lit(rest)))
 
     hashed = F.transform(tokens(), lambda t: F.xxhash64(t))
@@ -80,6 +82,9 @@ def _fetch(docs: DataFrame, ranks: DataFrame, wanted: DataFrame, count: int) ->
     """(id, keys) of the lines at the places of ``wanted`` (id, doc_id, line_no, c1)."""
     places = wanted.withColumnsRenamed({"doc_id": "d", "line_no": "l"})
     if count <= BROADCAST_LINES:
+        # Only documents with such lines are split.
+        of = F.broadcast(places.select("d").distinct())
+        docs = docs.join(of, F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
         places = F.broadcast(places)
     found = lines(docs).join(places, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l")))
     keyed = _keys(found, ranks, "id", "c1").filter(F.xxhash64("keys") == F.col("c1"))
@@ -131,13 +136,14 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     by_token = Window.partitionBy("token").orderBy(*PLACE, "id")
     lead = F.first(F.struct("id", *PLACE, "n", "i")).over(by_token.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     led = postings.select("id", *PLACE, "n", "i", lead.alias("y")).filter("y.id <> id")
-    one = _pairs(led.select(*_side("x"), F.col("y.id").alias("y"), *(F.col(f"y.{c}").alias(f"{c}_y") for c in (*PLACE, "n", "i"))))
+    led = led.select(*_side("x"), F.col("y.id").alias("y"), *(F.col(f"y.{c}").alias(f"{c}_y") for c in (*PLACE, "n", "i")))
+    one = _pairs(led, classes)
     settled = stored(_verified(docs, ranks, classes, one))
 
     open_ = postings.join(settled.withColumnRenamed("x", "id"), "id", "left_anti")
     left = open_.select("token", *_side("x"))
     right = postings.select(F.col("token").alias("t"), F.col("id").alias("y"), *(F.col(c).alias(f"{c}_y") for c in (*PLACE, "n", "i")))
-    two = _pairs(left.join(right, (F.col("token") == F.col("t")) & (F.col("x") != F.col("y")) & _earlier() & _close()))
+    two = _pairs(left.join(right, (F.col("token") == F.col("t")) & (F.col("x") != F.col("y")) & _earlier() & _close()), classes)
     matched = settled.unionByName(_verified(docs, ranks, classes, two)).distinct()
 
     marked = classes.join(matched.withColumnRenamed("x", "id").withColumn("hit", F.lit(True)), "id", "left").select(
@@ -163,15 +169,24 @@ def _close() -> Column:
     return length & _similar(F.least(i_x, i_y) + 1 + F.least(n_x - i_x - 1, n_y - i_y - 1), n_x, n_y)
 
 
-def _pairs(shared: DataFrame) -> DataFrame:
-    """(x, y) of rows with one shared token each: the filters above, then the positional filter over all shared tokens."""
-    rest = F.least(F.col("n_x") - F.col("i_x") - 1, F.col("n_y") - F.col("i_y") - 1)
+def _pairs(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """(x, y) of rows with one shared token each: the filters above, then the positional filter over all shared tokens.
+
+    Let the prefix of x end no later, in the order of rarity, than that of y. What x shares with y up to there is
+    counted; behind it x has ``n - prefix`` tokens, and y those behind the last shared one.
+    """
     grouped = (
         shared.filter(_earlier() & _close())
         .groupBy("x", "y")
-        .agg(F.count(F.lit(1)).alias("shared"), F.min(rest).alias("rest"), F.max("n_x").alias("n_x"), F.max("n_y").alias("n_y"))
+        .agg(F.count(F.lit(1)).alias("shared"), *(F.max(c).alias(c) for c in ("n_x", "n_y", "i_x", "i_y")))
     )
-    return grouped.filter(_similar(F.col("shared") + F.col("rest"), F.col("n_x"), F.col("n_y"))).select("x", "y")
+    ends = classes.select("id", F.element_at("prefix", -1).alias("end"), F.size("prefix").alias("p"))
+    sides = (ends.select(F.col("id").alias(s), F.col("end").alias(f"end_{s}"), F.col("p").alias(f"p_{s}")) for s in "xy")
+    for side, name in zip(sides, "xy"):
+        grouped = grouped.join(side, name)
+    known = lambda s, other: F.when(F.col(f"end_{s}") <= F.col(f"end_{other}"), F.col(f"p_{s}")).otherwise(F.col(f"i_{s}") + 1)
+    rest = F.least(F.col("n_x") - known("x", "y"), F.col("n_y") - known("y", "x"))
+    return grouped.filter(_similar(F.col("shared") + rest, F.col("n_x"), F.col("n_y"))).select("x", "y")
 
 
 def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -185,5 +200,6 @@ def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     joined = docs.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("_of")), "left")
     kept = F.filter(F.split(text, "\n"), lambda _, i: ~F.coalesce(F.array_contains("_gone", i), F.lit(False)))
     cut = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
-    left = joined.withColumn(text, cut).filter(F.col("_gone").isNull() | F.col(text).rlike(r"[^\x20\x09-\x0D]"))
+    word = F.col(text).rlike(r"[^\x20\x09-\x0D]")
+    left = joined.withColumn(text, cut).filter(F.col("_gone").isNull() | word)
     return left.select(*(F.col(f"`{c}`") for c in docs.columns))
