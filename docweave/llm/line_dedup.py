@@ -11,13 +11,16 @@ from docweave.llm.common import stored
 OTHER_SPACES = "\t\x0b\x0c\r"
 
 # Hash buckets of the rarity table; a table row is one integer, whatever the number of distinct tokens.
-RARITY_BITS = 20
+RARITY_BITS = 18
 
 # Lines whose tokens are fetched with a broadcast of their places; more are fetched with a shuffle join.
 BROADCAST_LINES = 1_000_000
 
 PLACE = ("doc_id", "line_no")
 
+# Rarest tokens of a class by which it is compared with the first class that has them.
+LEADS = 4
+
 
 def lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, line) of (doc_id, text)."""
@@ -68,9 +71,13 @@ def _keys(split: DataFrame, ranks: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def _wanted_prefix(size: Column) -> Column:
-    """Rarest tokens of which two lines with Jaccard 4/5 or more share one: size - ceil(4/5 size) + 1."""
-    return (size - F.expr("(4 * n + 4) div 5") + 1).cast("int")
+def _prefix() -> Column:
+    """Rarest tokens of which two lines with Jaccard 4/5 or more share one: n - ceil(4/5 n) + 1 of ``keys``.
+
+    The upper halves of the numbers do: they keep the order, and two tokens with one half only make a candidate more.
+    """
+    length = (F.col("n") - F.expr("(4 * n + 4) div 5") + 1).cast("int")
+    return F.transform(F.slice("keys", 1, length), lambda k: F.shiftright(k, 32).cast("int"))
 
 
 def _similar(overlap: Column, a: Column, b: Column) -> Column:
@@ -88,8 +95,7 @@ def _fetch(docs: DataFrame, ranks: DataFrame, wanted: DataFrame, count: int) ->
         places = F.broadcast(places)
     found = lines(docs).join(places, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l")))
     keyed = _keys(found, ranks, "id", "c1").filter(F.xxhash64("keys") == F.col("c1"))
-    # Repeated rows hold the line again.
-    return stored(keyed.groupBy("id").agg(F.first("keys").alias("keys")))
+    return stored(keyed.select("id", "keys"))
 
 
 def _verified(docs: DataFrame, ranks: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -112,7 +118,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     1. Lines of the same tokens are one class, and its first line stands for it: copies cost one row.
     2. A class lists its rarest tokens. Similar classes share one of them (prefix filter), have sizes within 4/5
        (length filter), and the tokens behind the shared ones must suffice (positional filter).
-    3. Each class is first compared with the first class of each of its lists. In a group of near copies this settles
+    3. Each class is first compared with the first class that has one of its ``LEADS`` rarest tokens. In a group of near copies this settles
        nearly all of them, so the pairs inside the group aren't made.
     4. Classes still open are joined with all earlier ones on their lists. The join's two inputs are plain shuffles,
        so the adaptive skew join splits a hot token.
@@ -124,25 +130,28 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     ranks = stored(rarity(lines(docs)))
     keyed = _keys(lines(docs), ranks, *PLACE).filter(F.size("keys") > 0)
     listed = keyed.select(*PLACE, F.xxhash64("keys").alias("c1"), F.xxhash64(F.lit(7), "keys").alias("c2"), F.size("keys").alias("n"), "keys")
-    prefix = F.slice("keys", 1, _wanted_prefix(F.col("n"))).alias("prefix")
-    all_lines = stored(listed.select(*PLACE, "c1", "c2", "n", prefix))
+    all_lines = stored(listed.select(*PLACE, "c1", "c2", "n", _prefix().alias("prefix")))
 
     # Same content, same size and prefix.
     first = F.min(F.struct(*PLACE)).alias("at")
     classes = all_lines.groupBy("c1", "c2").agg(first, F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     classes = stored(classes.select(F.monotonically_increasing_id().alias("id"), "c1", "c2", "at.*", "n", "prefix"))
 
-    postings = classes.select(F.posexplode("prefix").alias("i", "token"), "id", *PLACE, "n")
+    def postings(tokens: Column) -> DataFrame:
+        return classes.select(F.posexplode(tokens).alias("i", "token"), "id", *PLACE, "n")
+
     by_token = Window.partitionBy("token").orderBy(*PLACE, "id")
     lead = F.first(F.struct("id", *PLACE, "n", "i")).over(by_token.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    led = postings.select("id", *PLACE, "n", "i", lead.alias("y")).filter("y.id <> id")
+    led = postings(F.slice("prefix", 1, LEADS)).select("id", *PLACE, "n", "i", lead.alias("y")).filter("y.id <> id")
     led = led.select(*_side("x"), F.col("y.id").alias("y"), *(F.col(f"y.{c}").alias(f"{c}_y") for c in (*PLACE, "n", "i")))
-    one = _pairs(led, classes)
-    settled = stored(_verified(docs, ranks, classes, one))
+    settled = stored(_verified(docs, ranks, classes, _pairs(led, classes)))
 
-    open_ = postings.join(settled.withColumnRenamed("x", "id"), "id", "left_anti")
+    # Both inputs of the join are the same shuffle; what is settled is left out behind it.
+    dealt = postings(F.col("prefix")).repartition("token")
+    done = settled.withColumnRenamed("x", "id")
+    open_ = dealt.join(F.broadcast(done) if done.count() <= BROADCAST_LINES else done, "id", "left_anti")
     left = open_.select("token", *_side("x"))
-    right = postings.select(F.col("token").alias("t"), F.col("id").alias("y"), *(F.col(c).alias(f"{c}_y") for c in (*PLACE, "n", "i")))
+    right = dealt.select(F.col("token").alias("t"), F.col("id").alias("y"), *(F.col(c).alias(f"{c}_y") for c in (*PLACE, "n", "i")))
     two = _pairs(left.join(right, (F.col("token") == F.col("t")) & (F.col("x") != F.col("y")) & _earlier() & _close()), classes)
     matched = settled.unionByName(_verified(docs, ranks, classes, two)).distinct()
 
@@ -172,8 +181,9 @@ def _close() -> Column:
 def _pairs(shared: DataFrame, classes: DataFrame) -> DataFrame:
     """(x, y) of rows with one shared token each: the filters above, then the positional filter over all shared tokens.
 
-    Let the prefix of x end no later, in the order of rarity, than that of y. What x shares with y up to there is
-    counted; behind it x has ``n - prefix`` tokens, and y those behind the last shared one.
+    Let the prefix of x end earlier, in the order of rarity, than that of y. What x shares with y up to there is
+    counted; behind it x has ``n - prefix`` tokens, and y those behind the last shared one. In the bound for one
+    shared token (``rest`` below when the ends are equal) both sides have those behind the last shared one.
     """
     grouped = (
         shared.filter(_earlier() & _close())
@@ -184,7 +194,7 @@ def _pairs(shared: DataFrame, classes: DataFrame) -> DataFrame:
     sides = (ends.select(F.col("id").alias(s), F.col("end").alias(f"end_{s}"), F.col("p").alias(f"p_{s}")) for s in "xy")
     for side, name in zip(sides, "xy"):
         grouped = grouped.join(side, name)
-    known = lambda s, other: F.when(F.col(f"end_{s}") <= F.col(f"end_{other}"), F.col(f"p_{s}")).otherwise(F.col(f"i_{s}") + 1)
+    known = lambda s, other: F.when(F.col(f"end_{s}") < F.col(f"end_{other}"), F.col(f"p_{s}")).otherwise(F.col(f"i_{s}") + 1)
     rest = F.least(F.col("n_x") - known("x", "y"), F.col("n_y") - known("y", "x"))
     return grouped.filter(_similar(F.col("shared") + rest, F.col("n_x"), F.col("n_y"))).select("x", "y")
 
