@@ -134,35 +134,20 @@ def suffix_order(raw: np.ndarray, starts: np.ndarray, room: np.ndarray, depth: i
     return order, tied
 
 
-def _previous_smaller(values: np.ndarray, tied: np.ndarray) -> np.ndarray:
-    """Index of the nearest smaller value to the left without leaving a run of ties, or -1."""
-    index = np.arange(len(values))
-    out = np.where(tied, index - 1, -1)
-    open_ = np.flatnonzero((out >= 0) & (values[np.maximum(out, 0)] >= values))
-    while len(open_):
-        out[open_] = np.where(tied[out[open_]], out[open_] - 1, -1)
-        left = out[open_]
-        open_ = open_[(left >= 0) & (values[np.maximum(left, 0)] >= values[open_])]
-    return out
-
-
 def long_factors(raw: np.ndarray, starts: np.ndarray, room: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Flags of ``starts``: does a factor of ``depth`` bytes have a previous, a next occurrence?
 
-    In suffix order the longest previous factor of a suffix is its common prefix with the previous or next smaller
-    position, the longest next factor that with the nearest larger ones. Only ``depth`` bytes are asked for, and
-    common prefixes as long form runs of ties. Ties are ordered by position, so the search takes one step.
+    The longest previous factor of a suffix is its common prefix with the previous or the next smaller position in
+    suffix order; the longest next factor is that with the larger ones. Only common prefixes of ``depth`` bytes are asked
+    for, and suffixes that have them form a run of ties in which positions ascend. So inside a run the previous smaller
+    position is the left neighbour and the next larger one is the right neighbour, and the two others lie outside the
+    run, where the common prefix is shorter.
     """
     order, tied = suffix_order(raw, starts, room, depth)
-    back = np.append(tied[1:], False)[::-1]
-    psv = _previous_smaller(order, tied) >= 0
-    nsv = _previous_smaller(order[::-1], back)[::-1] >= 0
-    plv = _previous_smaller(-order, tied) >= 0
-    nlv = _previous_smaller(-order[::-1], back)[::-1] >= 0
-    earlier, other = np.zeros(len(raw), bool), np.zeros(len(raw), bool)
-    earlier[order] = psv | nsv
-    other[order] = plv | nlv
-    return earlier[starts], other[starts]
+    earlier, later = np.zeros(len(raw), bool), np.zeros(len(raw), bool)
+    earlier[order] = tied
+    later[order] = np.append(tied[1:], False)[: len(order)]
+    return earlier[starts], later[starts]
 
 
 def _send_passages(width: int, buckets: int) -> Callable:
@@ -218,8 +203,8 @@ def _sort_passages(width: int, keep_first: bool) -> Callable[[pa.Table], pa.Tabl
         inner = np.arange(len(raw)) - base[owner]
         room = sizes[owner] - inner
         windows = np.flatnonzero(room >= width)
-        earlier, other = long_factors(raw, windows, room, width)
-        flags = earlier if keep_first else earlier | other
+        earlier, later = long_factors(raw, windows, room, width)
+        flags = earlier if keep_first else earlier | later
         owner, inner = owner[windows], inner[windows]
         hit = np.concatenate([[False], flags, [False]])
         own = np.concatenate([[-1], owner, [-1]])
