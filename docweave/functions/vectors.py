@@ -20,7 +20,9 @@ def hash_from_hex(text: Column) -> Column:
 
 
 def sign_hash(vector: Column) -> Column:
-    """Sign bits of a vector's first 64 values as a BIGINT, value i at bit i."""
+    """Sign bits of a vector of up to 64 values as a BIGINT, value i at bit i; a longer vector raises."""
+    message = F.lit("sign_hash takes vectors of up to 64 values")
+    vector = F.when(F.size(vector) > 64, F.raise_error(message).cast("array<double>")).otherwise(vector.cast("array<double>"))
     found = F.lit(0).cast("bigint")
     for i in range(64):
         bit = F.lit((1 << i) if i < 63 else -(1 << 63)).cast("bigint")

@@ -41,34 +41,45 @@ class ChunkParams:
 # ---------------------------------------------------------------- pieces of one element
 
 
-def table_rows_split(text: str, size: int) -> list[str] | None:
-    """Windows of whole table rows, each under the repeated header; None if not a table."""
-    import re
-
-    lines = text.splitlines()
-    # Fixed value: the pattern of the line below a markdown table's header.
-    if len(lines) > 1 and re.match(r"^\s*\|?[\s:|-]+\|?\s*$", lines[1]):
-        head = 2
-    elif lines and lines[0].lstrip().startswith("|"):
-        head = 1
-    else:
-        return None
-    body = lines[head:]
-    if not body:
-        return None
-    header = "\n".join(lines[:head])
-    counts = np.array([len(r.split()) for r in body])
-    room = size - len(header.split())
-    starts, _ = fold(counts, CLOSED, room)
-    return ["\n".join([header, *body[a:b]]) for a, b in zip(starts, [*starts[1:], len(body)])]
-
-
-def _table_pieces(size: int):
-    @F.pandas_udf("array<string>")
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else table_rows_split(t, size))
-
-    return split
+# Fixed value: the pattern of the line below a markdown table's header.
+TABLE_RULE = r"^\s*\|?[\s:|-]+\|?\s*$"
+LINE_BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+
+
+def with_table_pieces(df: DataFrame, text: Column, size: int, name: str) -> DataFrame:
+    """Adds ``name``: runs of whole table rows, each under the repeated header; NULL for a text without table rows.
+
+    One running sum over the token counts of the rows gives the rows that open a piece, and the pieces are slices
+    between them. The steps are columns of their own, since an expression inside a lambda runs once per element.
+    """
+    lines = F.split(F.regexp_replace(text, rf"(?:{LINE_BREAKS})$", ""), LINE_BREAKS)
+    head = (
+        F.when(F.coalesce(F.get("_lines", F.lit(1)).rlike(TABLE_RULE), F.lit(False)), F.lit(2))
+        .when(F.get("_lines", F.lit(0)).rlike(r"^\s*\|"), F.lit(1))
+    )
+    body = F.slice("_lines", F.col("_head") + 1, F.greatest(F.size("_lines") - F.col("_head"), F.lit(0)))
+    header = F.array_join(F.slice("_lines", 1, F.col("_head")), "\n")
+
+    def step(state: Column, count: Column) -> Column:
+        opens = (state["row"] == 0) | (state["open"] + count > F.col("_room"))
+        return F.struct(
+            F.when(opens, F.array_append(state["starts"], state["row"])).otherwise(state["starts"]).alias("starts"),
+            (state["row"] + 1).alias("row"),
+            F.when(opens, count).otherwise(state["open"] + count).alias("open"),
+        )
+
+    begin = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).alias("row"), F.lit(0).alias("open"))
+    following = lambda i: F.coalesce(F.get("_starts", i + 1), F.size("_body"))
+    piece = lambda start, i: F.concat("_header", F.lit("\n"), F.array_join(F.slice("_body", start + 1, following(i) - start), "\n"))
+    return (
+        df.withColumn("_lines", lines)
+        .withColumn("_head", head)
+        .withColumns({"_body": body, "_header": header})
+        .withColumn("_room", F.lit(size) - tx.token_count(F.col("_header")))
+        .withColumn("_starts", F.aggregate(F.transform("_body", tx.token_count), begin, step, lambda state: state["starts"]))
+        .withColumn(name, F.when(F.col("_head").isNotNull() & (F.size("_body") > 0), F.transform("_starts", piece)))
+        .drop("_lines", "_head", "_body", "_header", "_room", "_starts")
+    )
 
 
 def with_pieces(df: DataFrame, size: int, overlap: int, index: str) -> DataFrame:
@@ -78,8 +89,7 @@ def with_pieces(df: DataFrame, size: int, overlap: int, index: str) -> DataFrame
     # A row fitting the size keeps its text as it is; outer generators keep the
     # array expressions from being copied into a filter below.
     windows = F.when(F.col("tokens") <= size, F.array("text")).otherwise(tx.token_windows(F.col("_words"), size, overlap))
-    rows = _table_pieces(size)(F.when(is_long_table, F.col("text")))
-    pieces = words.withColumn("_rows", rows).withColumn("_pieces", F.coalesce("_rows", windows))
+    pieces = with_table_pieces(words, F.when(is_long_table, F.col("text")), size, "_rows").withColumn("_pieces", F.coalesce("_rows", windows))
     kept = [c for c in df.columns if c != "text"]
     exploded = pieces.select(*kept, F.size("_pieces").alias("_n"), F.posexplode_outer("_pieces").alias(index, "text"))
     # Only a real split needs a new count.
@@ -175,6 +185,14 @@ def _skeleton(elements: DataFrame) -> DataFrame:
     return elements.groupBy("document_id", "block").agg(F.sort_array(F.collect_list(item)).alias("items"))
 
 
+def sections(elements: DataFrame, block_rows: int = DEFAULTS.block_rows) -> DataFrame:
+    """Content elements with ``section``, the position of the last heading before them, whatever a section's size."""
+    at = F.when(F.col("element_type") == "heading", F.col("order").cast("bigint"))
+    rows = elements.select("document_id", "order", "element_type", "text", at.alias("heading"))
+    seen = running(rows, ["document_id"], F.floor(F.col("order") / block_rows), ["order"], {"section": ("max", F.col("heading"))})
+    return seen.filter(F.col("element_type") != "heading").select("document_id", "order", "text", "section")
+
+
 def assign_parents(elements: DataFrame, params: ChunkParams = ChunkParams()) -> DataFrame:
     """Content elements with ``parent_index`` and ``section`` (position of their heading)."""
     rows = expand_elements(elements, params).withColumn("block", F.floor(F.col("order") / params.block_rows))

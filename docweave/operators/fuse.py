@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from docweave.functions import text as tx
 from docweave.settings import DEFAULTS
 
-# Places a hit that only the second list found after every hit of the first list.
-_SECOND = 1_000_000
-
 
 def reciprocal_rank_fusion(dense: DataFrame, sparse: DataFrame, k: int = DEFAULTS.rrf_k) -> DataFrame:
     """Sum of ``1 / (k + rank)`` over both lists; equal sums keep first-seen order.
@@ -35,8 +32,9 @@ def reciprocal_rank_fusion(dense: DataFrame, sparse: DataFrame, k: int = DEFAULT
     )
     share = lambda rank: F.coalesce(F.lit(1.0) / (F.lit(k) + F.col(rank)), F.lit(0.0))
     scored = merged.withColumn("rrf_score", share("dense_rank") + share("sparse_rank"))
-    seen = F.coalesce(F.col("dense_rank"), F.col("sparse_rank") + _SECOND)
-    order = Window.partitionBy("query_id").orderBy(F.col("rrf_score").desc(), seen)
+    # A hit that only the second list found was seen after every hit of the first.
+    seen = (F.col("dense_rank").isNull(), F.coalesce("dense_rank", "sparse_rank"))
+    order = Window.partitionBy("query_id").orderBy(F.col("rrf_score").desc(), *seen)
     return scored.withColumn("rank", F.row_number().over(order)).drop("dense_rank", "sparse_rank")
 
 

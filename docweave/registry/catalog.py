@@ -118,7 +118,7 @@ def strip_citations(spark: SparkSession, sf: str) -> DataFrame:
 def uuid5_ids(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return docs.select(
-        "doc_id", ids.uuid5(F.col("lang"), F.col("source"), F.substring("text", 1, 40)).alias("id"),
+        "doc_id", ids.uuid5(F.col("lang"), F.col("source"), F.col("text")).alias("id"),
         ids.document_id(F.col("lang"), F.lit("pdf"), F.concat(F.lit("Data/"), F.col("source"), F.lit(".PDF"))).alias("location_id"),
     )
 
@@ -237,7 +237,7 @@ UNION ALL SELECT doc_id, -1, quality::VARCHAR FROM labels""",
   md5(replace(replace(replace(trim(text, e' \n\t\r'), '|', chr(92) || '|'), chr(13), ' '), chr(10), ' ')) AS cell_md5,
   len(list_filter(string_split_regex(text, '\s+'), lambda w: w <> ''))::INT AS tokens, source AS title FROM documents""",
     "strip_citations": r"""SELECT doc_id, md5(trim(regexp_replace(' ' || replace(text, '.', '. [' || doc_id || ']') || ' ', '\s*\[\d+\]', '', 'g'), e' \n\t\r')) AS answer_md5 FROM documents""",
-    "uuid5_ids": f"""SELECT doc_id, {sql_uuid5("lang || ':' || source || ':' || substr(text, 1, 40)")} AS id,
+    "uuid5_ids": f"""SELECT doc_id, {sql_uuid5("lang || ':' || source || ':' || text")} AS id,
   {sql_uuid5("lang || ':pdf:' || lower('Data/' || source || '.PDF')")} AS location_id FROM documents""",
     "url_names": r"""SELECT page_id, CASE WHEN stem <> '' AND stem NOT IN ('drugInfo', 'lookup') THEN stem ELSE replace(host, '.', '_') END AS name FROM (
   SELECT page_id, regexp_extract(regexp_extract(url, '^[^:]+://[^/?#]*([^?#]*)', 1), '([^/]+?)(?:\.[^./]*)?/*$', 1) AS stem, regexp_extract(url, '^[^:]+://([^/?#]*)', 1) AS host FROM pages)""",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
@@ -84,12 +84,14 @@ def breadcrumb(spark: SparkSession, sf: str) -> DataFrame:
 def sections(spark: SparkSession, sf: str) -> DataFrame:
     """Sections of conversations with their title, breadcrumb and element count."""
     elements = turn_elements(spark, sf)
-    params = ch.ChunkParams(parent_max=1_000_000)
-    assigned = ch.assign_parents(elements, params)
-    counted = assigned.groupBy("document_id", "parent_index", F.col("section.order").alias("order")).agg(
-        F.count(F.lit(1)).alias("elements"), F.sum("tokens").alias("tokens")
+    placed = ch.sections(elements)
+    counted = placed.groupBy("document_id", F.col("section").alias("order")).agg(
+        F.count(F.lit(1)).alias("elements"), F.sum(tx.token_count(F.col("text"))).alias("tokens")
     )
-    return counted.join(ch.headings(elements, params), ["document_id", "order"], "left").select(
+    # One row per section of a document.
+    index = F.row_number().over(Window.partitionBy("document_id").orderBy(F.asc_nulls_first("order"))) - 1
+    counted = counted.withColumn("parent_index", index.cast("bigint"))
+    return counted.join(ch.headings(elements), ["document_id", "order"], "left").select(
         "document_id", "parent_index", "title", F.array_join("path", " > ").alias("path"), "elements", "tokens"
     )
 

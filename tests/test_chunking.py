@@ -7,6 +7,8 @@ import uuid
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from docweave.operators import chunking as ch
 
 SCHEMA = (
@@ -127,13 +129,17 @@ def test_exit_table_equals_fold():
             assert (table[0] if len(table) == 1 else table[state + 1]) == want
 
 
-def test_table_rows_keep_header():
+def test_table_rows_keep_header(spark):
     table = "| a | b |\n|---|---|\n" + "\n".join(f"| {i} | x |" for i in range(6))
-    got = ch.table_rows_split(table, 16)
-    assert all(w.startswith("| a | b |\n|---|---|\n| ") for w in got)
-    assert [r for w in got for r in w.split("\n")[2:]] == table.split("\n")[2:]
-    assert ch.table_rows_split("| only header |", 1) is None
-    assert ch.table_rows_split("no table\nat all", 1) is None
+    texts = [table, "| only header |", "no table\nat all", None, "", "|h|\r\n| long row of words |\r\n| b |\r\n"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1)
+    split = lambda size: [r.p for r in ch.with_table_pieces(rows, F.col("text"), size, "p").sort("id").collect()]
+    got = split(16)
+    assert all(w.startswith("| a | b |\n|---|---|\n| ") for w in got[0]) and len(got[0]) > 1
+    assert [r for w in got[0] for r in w.split("\n")[2:]] == table.split("\n")[2:]
+    assert got[1:5] == [None] * 4
+    # A row above the size is a piece of its own.
+    assert split(1)[5] == ["|h|\n| long row of words |", "|h|\n| b |"]
 
 
 def test_image_paths_take_first_file_per_reference(spark):
