@@ -65,8 +65,22 @@ def embed_dense(model: TextModel, batch: int = 64) -> Callable[[Column], Column]
     return run
 
 
+def text_hash(text: str = "text") -> Column:
+    """What an embedding was made of; it is stored with the vector."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def unembedded(units: DataFrame, done: DataFrame, key: str = "unit_id", text: str = "text") -> DataFrame:
-    """Units with text that have no embedding yet."""
-    return units.filter(F.col(text).isNotNull() & (F.length(F.trim(text)) > 0)).join(
-        done.select(key), key, "left_anti"
-    )
+    """Units with text that have no embedding of this text yet; without ``text_hash`` in ``done`` any embedding will do."""
+    todo = units.filter(F.col(text).isNotNull() & (F.length(F.trim(text)) > 0))
+    if "text_hash" not in done.columns:
+        return todo.join(done.select(key), key, "left_anti")
+    hashed = todo.withColumn("_hash", text_hash(text))
+    known = done.select(key, F.col("text_hash").alias("_hash"))
+    return hashed.join(known, [key, "_hash"], "left_anti").select(*units.columns)
+
+
+def still_valid(done: DataFrame, units: DataFrame, key: str = "unit_id", text: str = "text") -> DataFrame:
+    """Embeddings whose unit still exists with the text that they were made of."""
+    current = units.select(key, text_hash(text).alias("text_hash"))
+    return done.join(current, [key, "text_hash"], "left_semi").select(*done.columns)

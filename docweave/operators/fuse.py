@@ -46,17 +46,20 @@ def fuse_lists(hits: DataFrame, k: int = DEFAULTS.rrf_k) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).drop("seen")
 
 
-def expand_to_parents(hits: DataFrame, parents: DataFrame) -> DataFrame:
+def expand_to_parents(hits: DataFrame, parents: DataFrame, small: bool = False) -> DataFrame:
     """Swap child hits for their parent sections and keep each parent's best hit.
 
     ``hits``: ``query_id, unit_id, source_table, parent_id, text, rank``. ``parents``:
     ``parent_id, parent_text, section_title, section_path``. Hits that are no child, or
     whose parent is missing, pass through and are deduplicated by (table, id).
+    ``small``: the hits are those of a checked query batch; then only parents with a hit leave their scan.
     """
     children = F.when(F.col("source_table") == "child_chunks", F.col("parent_id"))
     found = parents.select(
         F.col("parent_id").alias("_parent"), "parent_text", "section_title", "section_path"
     )
+    wanted = hits.select(children.alias("_parent")).filter("_parent IS NOT NULL").distinct()
+    found = found.join(F.broadcast(wanted) if small else wanted, "_parent", "left_semi")
     joined = hits.withColumn("_child_of", children).join(found, F.col("_child_of") == F.col("_parent"), "left")
     key = F.when(
         F.col("_parent").isNotNull(), F.struct(F.lit("parent").alias("kind"), F.col("_parent").cast("string").alias("id"))

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.operators import chunking as ch
+from docweave.operators import embedding as em
 from docweave.operators import normalize as nm
 from docweave.operators import rollup as ru
 from docweave.operators.centroids import domain_centroids
-from docweave.operators.embedding import embed_sparse, unembedded
 from docweave.plans import catalog as ca
 from docweave.sources import discovery as di
 from docweave.sources import facts as fa
@@ -68,6 +68,8 @@ def normalize(store: Store) -> DataFrame:
             records.append(rows.select("document_id", F.col("metadata.domain").alias("domain"), F.lit(table).alias("file_name"), order.alias("line"), "retrieval_text"))
     if records:
         streams.append(nm.normalize_records(records[0] if len(records) == 1 else records[0].unionByName(records[1])))
+    if not streams:
+        raise ValueError("nothing is parsed yet")
     merged = streams[0]
     for other in streams[1:]:
         merged = merged.unionByName(other)
@@ -106,6 +108,8 @@ def retrieval_units(store: Store) -> DataFrame:
                     F.col("metadata.domain").alias("domain"), F.col("retrieval_text").alias("text"), F.col("metadata.file_name").alias("file_name"),
                 )
             )
+    if not parts:
+        raise ValueError("there are no chunks, profiles or category documents yet")
     merged = parts[0]
     for other in parts[1:]:
         merged = merged.unionByName(other)
@@ -113,11 +117,15 @@ def retrieval_units(store: Store) -> DataFrame:
 
 
 def index(store: Store, embed) -> DataFrame:
-    """Adds embeddings of units that have none; ``embed`` maps a text column to a vector column."""
+    """Embeddings of the current units: those of unchanged texts stay, changed and new texts get new ones, and those of
+    units that are gone go. ``embed`` maps a text column to a vector column."""
     units = retrieval_units(store)
-    todo = unembedded(units, store.read("embeddings")) if store.exists("embeddings") else units.filter("length(trim(text)) > 0")
-    made = embed_sparse(todo.select("unit_id", "domain", "text").withColumn("vector", embed(F.col("text"))))
-    return store.append("embeddings", made.select("unit_id", "domain", "vector", "terms", "weights"), ("domain",))
+    kept = em.still_valid(store.read("embeddings"), units) if store.exists("embeddings") else None
+    todo = units.filter("length(trim(text)) > 0") if kept is None else em.unembedded(units, kept)
+    made = em.embed_sparse(todo.select("unit_id", "domain", "text").withColumn("vector", embed(F.col("text"))))
+    made = made.withColumn("text_hash", em.text_hash()).select("unit_id", "domain", "vector", "terms", "weights", "text_hash")
+    merged = made if kept is None else kept.select(*made.columns).unionByName(made)
+    return store.replace("embeddings", merged, ("domain",))
 
 
 def centroids(store: Store) -> DataFrame:
@@ -126,4 +134,4 @@ def centroids(store: Store) -> DataFrame:
 
 def searchable_units(store: Store) -> DataFrame:
     """Units with their embeddings, as the hybrid search reads them."""
-    return retrieval_units(store).drop("domain").join(store.read("embeddings"), "unit_id")
+    return retrieval_units(store).drop("domain").join(store.read("embeddings").drop("text_hash"), "unit_id")

@@ -16,6 +16,7 @@ from docweave.operators.fuse import (
     term_coverage,
 )
 from docweave.operators.topk import is_small, pinned, scan_topk
+from docweave.session import cut_lineage
 from docweave.settings import DEFAULTS
 
 
@@ -65,11 +66,12 @@ def hybrid_search(
     """
     scoped = routed_queries(queries, centroids, params)
     small = is_small(scoped, params.query_batch_rows)
-    fused = fused_candidates(units, scoped, params)
+    # The hits are read twice below: for the parents they need and for themselves.
+    fused = cut_lineage(fused_candidates(units, scoped, params))
     columns = ["document_id", "source_table", "parent_id", "domain", "text", "file_name"]
     hits = attach_units(fused, units, columns, small)
     if params.expand_parents:
-        hits = expand_to_parents(hits, parents)
+        hits = expand_to_parents(hits, parents, small)
     else:
         hits = hits.withColumn("section_title", F.lit(None).cast("string")).withColumn(
             "section_path", F.lit(None).cast("array<string>")

@@ -139,13 +139,15 @@ def discover_files(spark: SparkSession, sf: str) -> DataFrame:
 def discover_sources(spark: SparkSession, sf: str) -> DataFrame:
     """Pages as crawl manifest entries, some bare, some with a nested configuration, some without url."""
     pages = table(spark, sf, "pages")
-    nested = F.struct("url", F.lit(5).alias("limit"), F.lit(None).cast("struct<formats:array<string>>").alias("scrapeOptions"))
-    rows = pages.select(
-        F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("page "), F.col("page_id").cast("string"))).alias("name"),
-        F.when(F.col("page_id") % 5 != 4, F.col("url")).alias("url"), F.lit(None).cast("string").alias("firecrawl_mode"), F.lit(None).cast("int").alias("limit"),
-        F.when(F.col("page_id") % 3 == 0, nested).alias("firecrawl_config"),
-        F.concat(F.lit("file:/corpus/data/raw/legal/list_"), F.col("page_id").cast("string"), F.lit(".json")).alias("path"),
+    nested = F.struct("url", F.lit(5).alias("limit"), F.array(F.lit("markdown")).alias("formats"))
+    entry = F.to_json(
+        F.struct(
+            F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("page "), F.col("page_id").cast("string"))).alias("name"),
+            F.when(F.col("page_id") % 5 != 4, F.col("url")).alias("url"), F.when(F.col("page_id") % 3 == 0, nested).alias("firecrawl_config"),
+        )
     )
+    path = F.concat(F.lit("file:/corpus/data/raw/legal/list_"), F.col("page_id").cast("string"), F.lit(".json"))
+    rows = pages.select(path.alias("path"), entry.alias("entry"))
     return di.describe_sources(rows, "/corpus").select("document_id", "domain", "file_name", "file_path", "parser_used")
 
 

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from docweave.operators import centroids as ct
 from docweave.operators import fuse
 from docweave.operators.embedding import embed_sparse
-from docweave.operators.topk import scan_topk
+from docweave.operators.topk import is_small, scan_topk
 from docweave.plans import answer as an
-from docweave.plans.hybrid import SearchParams, hybrid_search, routed_queries
+from docweave.plans.hybrid import SearchParams, attach_units, hybrid_search, routed_queries
 from docweave.registry.base import sql_words, table
+from docweave.session import cut_lineage
 from docweave.settings import DEFAULTS
 
 # Units that stand in for child chunks are texts longer than this many characters.
@@ -123,9 +124,10 @@ def hybrid(spark: SparkSession, sf: str) -> DataFrame:
 def parent_expansion(spark: SparkSession, sf: str) -> DataFrame:
     """Children found by sparse search, replaced by their parents."""
     units, queries = document_units(spark, sf), questions(spark, sf)
-    found = scan_topk(units, queries, "sparse", 20)
-    hits = units.select("unit_id", "source_table", "parent_id", "text").join(found, "unit_id")
-    return fuse.expand_to_parents(hits, document_parents(spark, sf)).select(
+    found = cut_lineage(scan_topk(units, queries, "sparse", 20))
+    small = is_small(queries, DEFAULTS.query_batch_rows)
+    hits = attach_units(found, units, ["source_table", "parent_id", "text"], small)
+    return fuse.expand_to_parents(hits, document_parents(spark, sf), small).select(
         "query_id", "rank", "unit_id", "source_table", "parent_id", "section_title",
         F.array_join("section_path", ">").alias("section_path"), F.length("text").alias("text_chars"),
     )

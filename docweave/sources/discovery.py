@@ -13,15 +13,12 @@ from docweave.functions.ids import document_id
 LOCAL_PARSERS = {"pdf": "llamaparse", "csv": "pandas"}
 SUPPORTED_SUFFIXES = (".csv", ".html", ".pdf")
 
-MANIFEST = (
-    "name string, url string, firecrawl_mode string, limit int, "
-    "firecrawl_config struct<url:string,limit:int,scrapeOptions:struct<formats:array<string>>>"
-)
-
-
 def local_files(spark: SparkSession, input_dir: str, root: str) -> DataFrame:
     """Files one level below ``input_dir/<domain>/``; only names and sizes are read."""
-    listed = spark.read.format("binaryFile").load(f"{input_dir}/*/*").select("path", "length")
+    pattern = f"{input_dir}/*/*"
+    if not _matches(spark, pattern):
+        return describe_files(spark.createDataFrame([], "path string, length long"), root)
+    listed = spark.read.format("binaryFile").load(pattern).select("path", "length")
     # The pattern also lists folders; what lies deeper is not part of the corpus.
     listed = listed.filter(F.col("path").rlike(_quoted(input_dir.strip("/")) + "/[^/]+/[^/]+$"))
     return describe_files(listed, root)
@@ -64,28 +61,40 @@ def _quoted(text: str) -> str:
     return re.escape(text)
 
 
+def _matches(spark: SparkSession, pattern: str) -> bool:
+    """Is there a file of this pattern? Reading a pattern without one raises."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def crawl_sources(spark: SparkSession, input_dir: str, root: str) -> DataFrame:
-    """Entries of the JSON manifests ``input_dir/<domain>/*.json``; a file holds a list or one object."""
-    rows = spark.read.schema(MANIFEST).option("multiLine", True).json(f"{input_dir}/*/*.json")
-    return describe_sources(rows.select("*", F.col("_metadata.file_path").alias("path")), root)
+    """Entries of the JSON manifests ``input_dir/<domain>/*.json``; a file holds a list or one object.
+
+    Entries stay JSON texts, so that every setting of a crawl is kept. No manifest: no rows.
+    """
+    pattern = f"{input_dir}/*/*.json"
+    if not _matches(spark, pattern):
+        return describe_sources(spark.createDataFrame([], "path string, entry string"), root)
+    files = spark.read.option("wholetext", True).text(pattern).select(F.col("_metadata.file_path").alias("path"), "value")
+    whole = F.regexp_replace("value", "^\ufeff", "")
+    entries = F.when(whole.rlike(r"^\s*\["), F.from_json(whole, "array<string>")).otherwise(F.array(whole))
+    return describe_sources(files.select("path", F.explode(entries).alias("entry")), root)
 
 
 def describe_sources(rows: DataFrame, root: str) -> DataFrame:
-    """Manifest entries with a url -> discovered html documents."""
-    own = F.struct(F.col("url"), F.col("limit"), F.lit(None).cast("struct<formats:array<string>>").alias("scrapeOptions"))
-    config = F.coalesce("firecrawl_config", own)
+    """Manifest entries (``path, entry`` as JSON text) with a url -> discovered html documents."""
+    value = lambda name, of="entry": F.get_json_object(of, f"$.{name}")
     stem = F.regexp_extract("path", r"([^/]*?)(?:\.[^./]*)?$", 1)
     relative = F.regexp_replace("path", r"^(?:file:)?/*" + _quoted(root.strip("/")) + "/", "")
-    found = rows.withColumn("config", config).withColumn("at", F.col("config.url")).filter("at IS NOT NULL AND at <> ''")
+    # An entry without a nested configuration is the configuration itself.
+    found = rows.withColumn("config", F.coalesce(value("firecrawl_config"), F.col("entry"))).withColumn("at", value("url", "config"))
+    found = found.filter("at IS NOT NULL AND at <> ''")
     domain = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
-    meta = F.to_json(
-        F.struct(
-            relative.alias("manifest_path"), F.coalesce("firecrawl_mode", F.lit("crawl")).alias("firecrawl_mode"),
-            F.col("config").alias("firecrawl_config"),
-        )
-    )
+    head = F.to_json(F.struct(relative.alias("manifest_path"), F.coalesce(value("firecrawl_mode"), F.lit("crawl")).alias("firecrawl_mode")))
+    meta = F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"firecrawl_config":'), F.col("config"), F.lit("}"))
     return found.select(
         document_id(domain, F.lit("html"), F.col("at")).alias("document_id"), domain.alias("domain"),
-        F.coalesce(F.nullif(F.col("name"), F.lit("")), stem).alias("file_name"), F.lit("html").alias("source_type"),
+        F.coalesce(F.nullif(value("name"), F.lit("")), stem).alias("file_name"), F.lit("html").alias("source_type"),
         F.col("at").alias("file_path"), F.lit("firecrawl").alias("parser_used"), meta.alias("metadata"),
     )

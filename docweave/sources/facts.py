@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docweave.functions import text as tx
 from docweave.operators.topk import is_small
@@ -44,23 +43,32 @@ NULL_TEXTS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-RAW_SCHEMA = T.StructType([T.StructField(header, T.StringType()) for header in COLUMNS])
+def _has_open_quotes(spark: SparkSession, path: str) -> bool:
+    """Does some line end inside quotes? Then records span lines, and a scan cut at lines would tear them."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
 
 
-def read_rows(spark: SparkSession, path: str, document_id: str, domain: str, multiline: bool = False) -> DataFrame:
+def read_rows(spark: SparkSession, path: str, document_id: str, domain: str, multiline: bool | None = None) -> DataFrame:
     """Every data row as strings, with ``source_row_number`` = position in the file + 1 for the header.
 
+    Columns go by the names in the header, whatever their order; other columns are left out and a missing one raises.
     Rows of one file split are consecutive, so a row's number is its offset in the split
     plus the rows of the splits before it; no file passes through one task.
-    ``multiline`` reads quoted line breaks, at the price of one split per file.
+    ``multiline`` reads quoted line breaks, at the price of one split per file; None looks whether there are any.
     """
+    if multiline is None:
+        multiline = _has_open_quotes(spark, path)
     scan = (
-        spark.read.schema(RAW_SCHEMA)
-        .option("header", True).option("multiLine", multiline).option("escape", '"').option("mode", "PERMISSIVE")
-        .csv(path)
+        spark.read.option("header", True).option("enforceSchema", False).option("multiLine", multiline)
+        .option("escape", '"').option("mode", "PERMISSIVE").csv(path)
     )
+    named = {name.lstrip("\ufeff").strip(): name for name in scan.columns}
+    if missing := [header for header in COLUMNS if header not in named]:
+        raise ValueError(f"columns missing in {path}: {', '.join(missing)}")
+    quoted = lambda name: F.col("`" + name.replace("`", "``") + "`")
     rows = scan.select(
-        *[F.col(f"`{header}`").alias(name) for header, name in COLUMNS.items()],
+        *[quoted(named[header]).alias(name) for header, name in COLUMNS.items()],
         F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"),
     ).withColumn("_seq", F.monotonically_increasing_id())
     splits = rows.groupBy("_file", "_split").agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_rows"))

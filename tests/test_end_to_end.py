@@ -36,6 +36,14 @@ def test_command_line(spark, tmp_path, capsys):
     spark.createDataFrame([(1, "keep insulin cold.")], "query_id bigint, query string").write.parquet(str(tmp_path / "q"))
     run("query", "--questions", str(tmp_path / "q"))
     assert done.read("answers").first().answer == "Keep insulin cold. [1]"
+    # A changed page keeps its chunk ids; its vectors follow the new text, and those of lost chunks go.
+    changed = [(*pages[0][:3], "<h1>Insulin</h1><p>Glucagon raises glucose.</p>", *pages[0][4:])]
+    spark.createDataFrame(changed, "document_id string, domain string, page_number int, html string, url string, title string").write.parquet(str(tmp_path / "pages2"))
+    run("parse-pages", "--pages", str(tmp_path / "pages2"))
+    for command in ("normalize", "chunk", "index"):
+        run(command)
+    terms = {tuple(sorted(r.terms)) for r in done.read("embeddings").collect()}
+    assert done.read("embeddings").count() == 3 and ("glucagon", "glucose.", "raises") in terms
     (tmp_path / "scores.csv").write_text("domain,faithfulness,context_precision\nmedical,1.0,\nout_of_scope,0.5,NaN\n")
     run("evaluate", "--scores", str(tmp_path / "scores.csv"))
     assert "in_scope" in capsys.readouterr().out

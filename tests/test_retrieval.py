@@ -133,3 +133,10 @@ def test_models_are_pluggable(spark):
     sparse = embed_sparse(df.selectExpr("'b a b' AS text")).first()
     assert sparse.terms == ["b", "a"] and sparse.weights[0] == pytest.approx(math.log(3))
     assert embed_sparse(df.selectExpr("'b a b' AS text"), max_terms=1).first().terms == ["b"]
+
+
+def test_fusion_order_holds_for_deep_lists(spark):
+    dense = spark.createDataFrame([(1, "d", 2_000_000, 0.5)], "query_id int, unit_id string, rank int, score double")
+    sparse = spark.createDataFrame([(1, "s", 2_000_000, 0.5)], "query_id int, unit_id string, rank int, score double")
+    got = fuse.reciprocal_rank_fusion(dense, sparse).orderBy("rank").collect()
+    assert [r.unit_id for r in got] == ["d", "s"]

@@ -209,18 +209,43 @@ def test_pdf_elements_and_splice(spark):
         assert [r.element_id for r in out] == ["d:p3:00000", "d:p3:img_p3_0", "d:p3:00002", "d:p3:00003", "d:p3:img_p3_1", "d:p3:img_p3_2", "d:p3:00006"]
 
 
+def test_facts_go_by_header_and_are_never_torn(spark, tmp_path):
+    header = ["Extra", *reversed(fa.COLUMNS)]
+    lines = []
+    for i in range(40):
+        values = {"Facility ID": f"F{i}", "Facility Name": f'"Name ""{i}""\nline, two"' if i % 3 == 0 else f"Name {i}"}
+        lines.append(",".join(["x", *(values.get(h, "") for h in reversed(fa.COLUMNS))]))
+    path = tmp_path / "facts.csv"
+    path.write_text("\ufeff" + ",".join(header) + "\n" + "\n".join(lines) + "\n", encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        rows = fa.read_rows(spark, str(path), "d", "medical").orderBy("source_row_number").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r.facility_id, r.source_row_number) for r in rows] == [(f"F{i}", i + 2) for i in range(40)]
+    assert rows[0].facility_name == 'Name "0"\nline, two' and rows[1].facility_name == "Name 1"
+    path.write_text("Facility ID,Facility Name\n1,a\n")
+    with pytest.raises(ValueError, match="columns missing"):
+        fa.read_rows(spark, str(path), "d", "medical")
+
+
 def test_discovery(spark, tmp_path):
     for name in ("legal/A.PDF", "legal/b.csv", "legal/c.txt", "legal/deep/x.pdf"):
         (tmp_path / "raw" / name).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / "raw" / name).write_text("abc")
     (tmp_path / "raw" / "legal" / "list.json").write_text(json.dumps([{"name": "N", "firecrawl_config": {"url": "http://X.org/Y"}}, {"url": "http://z.org"}, {"other": 1}]))
-    (tmp_path / "raw" / "legal" / "one.json").write_text(json.dumps({"url": "http://w.org", "firecrawl_mode": "scrape"}))
+    (tmp_path / "raw" / "legal" / "one.json").write_text(json.dumps({"url": "http://w.org", "firecrawl_mode": "scrape", "maxDepth": 3, "note": "a}b"}))
     files = {r.file_name: r for r in di.local_files(spark, str(tmp_path / "raw"), str(tmp_path)).collect()}
     assert set(files) == {"A.PDF", "b.csv"} and files["A.PDF"].file_path == "raw/legal/A.PDF"
     assert files["A.PDF"].document_id == str(uuid.uuid5(uuid.NAMESPACE_URL, "legal:pdf:raw/legal/a.pdf")) and files["A.PDF"].metadata == '{"file_size_bytes":3}'
     pages = {r.file_path: r for r in di.crawl_sources(spark, str(tmp_path / "raw"), str(tmp_path)).collect()}
     assert {u: r.file_name for u, r in pages.items()} == {"http://X.org/Y": "N", "http://z.org": "list", "http://w.org": "one"}
-    assert json.loads(pages["http://w.org"].metadata)["firecrawl_mode"] == "scrape"
+    kept = json.loads(pages["http://w.org"].metadata)
+    assert kept["firecrawl_mode"] == "scrape" and kept["firecrawl_config"] == {"url": "http://w.org", "firecrawl_mode": "scrape", "maxDepth": 3, "note": "a}b"}
+    assert json.loads(pages["http://X.org/Y"].metadata)["firecrawl_config"] == {"url": "http://X.org/Y"}
+    (tmp_path / "none" / "legal").mkdir(parents=True)
+    assert di.crawl_sources(spark, str(tmp_path / "none"), str(tmp_path)).count() == 0
+    assert di.local_files(spark, str(tmp_path / "none"), str(tmp_path)).count() == 0
     assert set(di.SUPPORTED_SUFFIXES) == {".pdf", ".html", ".csv"}
 
 
