@@ -104,4 +104,64 @@ QUERIES = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+
+_METRICS = """SELECT r, lang, source, 'word_length' AS metric, 100 * word_chars // n_words AS v, 100 AS spread FROM c WHERE n_words > 0
+  UNION ALL SELECT r, lang, source, 'symbol_share', 10000 * n_symbols // word_chars, 400 FROM c WHERE word_chars > 0
+  UNION ALL SELECT r, lang, source, 'dup_line_share', 10000 * n_dup_lines // n_lines, 1500 FROM c WHERE n_lines > 0
+  UNION ALL SELECT r, lang, source, 'repeat_share', 10000 * n_repeat_words // n_words, 1000 FROM c WHERE n_words > 0"""
+
+
+def _sql_quartiles(name: str, keys: str) -> str:
+    """Quartiles of the sketches summed over ``keys``."""
+    return f"""{name} AS (SELECT {keys}metric, any_value(total) AS n, min(CASE WHEN upto * 4 >= total THEN b END) AS q1,
+    min(CASE WHEN upto * 4 >= total * 3 THEN b END) AS q3
+  FROM (SELECT {keys}metric, b, sum(n) OVER (PARTITION BY {keys}metric ORDER BY b) AS upto, sum(n) OVER (PARTITION BY {keys}metric) AS total
+    FROM (SELECT {keys}metric, b, sum(n) AS n FROM sketch GROUP BY {keys}metric, b)) GROUP BY {keys}metric)"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, {_WORDS}) AS w,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, {_WORDS})) AS ls FROM d),
+g AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM g) WHERE n > 1),
+rep AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM twice) GROUP BY r),
+c AS (SELECT w.r, doc_id, lang, source, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+  len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, len(ls) AS n_lines,
+  coalesce(rep.n, 0) AS n_repeat_words FROM w LEFT JOIN rep USING (r)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c),
+m AS ({_METRICS}),
+sketch AS (SELECT lang, source, metric, (v - v % (2 ** greatest(length(bin(v)) - 7, 0))::BIGINT) AS b, count(*) AS n
+  FROM m SEMI JOIN (SELECT r FROM f WHERE NOT base_failed) USING (r) GROUP BY ALL),
+{_sql_quartiles("own", "lang, source, ")},
+{_sql_quartiles("by_lang", "lang, ")},
+{_sql_quartiles("everything", "")},
+q AS (SELECT o.lang, o.source, o.metric, CASE WHEN o.n >= 200 THEN o.q1 WHEN l.n >= 200 THEN l.q1 ELSE e.q1 END AS q1,
+    CASE WHEN o.n >= 200 THEN o.q3 WHEN l.n >= 200 THEN l.q3 ELSE e.q3 END AS q3
+  FROM own o JOIN by_lang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.metric = l.metric JOIN everything e ON o.metric = e.metric),
+out AS (SELECT m.r FROM m JOIN q ON m.lang IS NOT DISTINCT FROM q.lang AND m.source IS NOT DISTINCT FROM q.source AND m.metric = q.metric
+  WHERE v > q3 + 3 * greatest(q3 - q1, spread) OR m.metric = 'word_length' AND v < q1 - 3 * greatest(q3 - q1, spread))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND r NOT IN (SELECT r FROM out) AS kept FROM f""",
+    "op3_line_dedup": f"""
+WITH l AS (SELECT doc_id, unnest(s) AS line, generate_subscripts(s, 1) - 1 AS line_no FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)),
+t AS (SELECT doc_id, line_no, list_sort(list_distinct(regexp_extract_all(line, {_WORDS}))) AS s FROM l),
+c AS (SELECT s, row_number() OVER () AS id, len(s) AS n, place FROM (SELECT s, min(struct_pack(d := doc_id, l := line_no)) AS place FROM t WHERE len(s) > 0 GROUP BY s)),
+x AS (SELECT id, n, place, unnest(s) AS tok FROM c),
+f AS (SELECT tok, count(*) AS k FROM x GROUP BY tok),
+p AS (SELECT id, n, place, tok FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY k, tok) AS i FROM x JOIN f USING (tok)) WHERE i <= n - (4 * n + 4) // 5 + 1),
+pairs AS (SELECT DISTINCT a.id AS a, b.id AS b FROM p a JOIN p b ON a.tok = b.tok AND a.place > b.place WHERE 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)),
+hit AS (SELECT DISTINCT a FROM pairs JOIN c x ON x.id = a JOIN c y ON y.id = b WHERE 9 * len(list_intersect(x.s, y.s)) >= 4 * (x.n + y.n))
+SELECT doc_id, line_no::INT AS line_no, struct_pack(d := doc_id, l := line_no) > place AS copy FROM t JOIN c USING (s)
+WHERE struct_pack(d := doc_id, l := line_no) > place OR id IN (SELECT a FROM hit)""",
+    "op5_substring_dedup": f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS w FROM documents),
+h AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM w)),
+m AS (SELECT doc_id, i FROM (SELECT *, min(struct_pack(d := doc_id, i := i)) OVER (PARTITION BY h) AS lead FROM h) WHERE struct_pack(d := doc_id, i := i) > lead),
+g AS (SELECT DISTINCT doc_id, j FROM (SELECT doc_id, unnest(range(i, i + 20)) AS j FROM m)),
+x AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM w),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS kept, count(*) AS n FROM x ANTI JOIN g USING (doc_id, j) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN k USING (doc_id)""",
+}
