@@ -31,6 +31,13 @@ def discover(store: Store, input_dir: str, root: str) -> DataFrame:
     return store.replace("documents", merged)
 
 
+def _parsed(store: Store, done: DataFrame) -> None:
+    """The documents in ``done`` are parsed now, and no longer pending."""
+    if store.exists("documents"):
+        changes = done.select("document_id", F.lit("parsed").alias("status"))
+        store.replace("documents", ca.set_status(store.read("documents"), changes))
+
+
 def parse_facts(store: Store, path: str, document_id: str, domain: str) -> DataFrame:
     """One facts CSV -> ``facts``, ``profiles`` and ``category_docs``; an earlier import of it is replaced."""
     rows = fa.read_rows(store.spark, path, document_id, domain)
@@ -38,6 +45,7 @@ def parse_facts(store: Store, path: str, document_id: str, domain: str) -> DataF
     for table, made in outputs.items():
         kept = ca.replace_documents(store.read(table), made) if store.exists(table) else made
         store.replace(table, kept)
+    _parsed(store, store.spark.createDataFrame([(document_id,)], "document_id string"))
     return ru.rollup_counts(rows, store.read("profiles"), store.read("category_docs"))
 
 
@@ -46,8 +54,10 @@ def parse_pages(store: Store, pages: DataFrame) -> DataFrame:
     if pages.isEmpty():
         raise ValueError("the crawl returned no pages")
     domains = pages.select("document_id", "domain").distinct()
-    nested = ht.structured_pages(ht.extract_pages(pages)).join(domains, "document_id")
-    return store.replace("structured_html", nested)
+    nested = ht.all_pages(pages, ht.structured_pages(ht.extract_pages(pages))).join(domains, "document_id")
+    written = store.replace("structured_html", nested)
+    _parsed(store, domains)
+    return written
 
 
 def normalize(store: Store) -> DataFrame:

@@ -138,17 +138,23 @@ def _parse():
     return run.asNondeterministic()
 
 
+def page_rows(pages: DataFrame) -> DataFrame:
+    """Crawled pages with their ``page_id``, source url and title; other columns stay."""
+    url, title = F.coalesce("url", F.lit("")), F.coalesce(F.nullif(F.col("title"), F.lit("")), F.concat(F.lit("Crawled page "), F.col("page_number").cast("string")))
+    return pages.select(
+        "*", url.alias("source_url"), title.alias("page_title"),
+        uuid5(F.coalesce(F.nullif(url, F.lit("")), title), F.col("page_number").cast("string")).alias("page_id"),
+    )
+
+
 def extract_pages(pages: DataFrame) -> DataFrame:
     """``document_id, page_number, html, url, title`` -> one row per content element with its section.
 
     Elements without text (and images without source) are dropped but keep their sequence number.
     A heading opens a section; what comes before belongs to the page's root section.
     """
-    url, title = F.coalesce("url", F.lit("")), F.coalesce(F.nullif(F.col("title"), F.lit("")), F.concat(F.lit("Crawled page "), F.col("page_number").cast("string")))
-    named = pages.select(
-        "document_id", "page_number", url.alias("source_url"), title.alias("page_title"),
-        uuid5(F.coalesce(F.nullif(url, F.lit("")), title), F.col("page_number").cast("string")).alias("page_id"),
-        _parse()(F.col("html"), F.col("url")).alias("found"),
+    named = page_rows(pages).select(
+        "document_id", "page_number", "source_url", "page_title", "page_id", _parse()(F.col("html"), F.col("url")).alias("found")
     )
     rows = named.select("document_id", "page_number", "source_url", "page_title", "page_id", F.explode_outer("found").alias("e"))
     kept = rows.filter((F.col("e.text") != "") | F.col("e.image_url").isNotNull())
@@ -189,6 +195,14 @@ def structured_pages(elements: DataFrame) -> DataFrame:
     )
 
 
+def all_pages(pages: DataFrame, structured: DataFrame) -> DataFrame:
+    """``structured`` with a row, without sections, for every crawled page that has no content element."""
+    key = ["document_id", "page_number", "page_id", "source_url", "title"]
+    every = page_rows(pages).withColumn("title", F.col("page_title")).select(*key).distinct()
+    kind = structured.schema["sections"].dataType
+    return every.join(structured, key, "left").withColumn("sections", F.coalesce("sections", F.array().cast(kind)))
+
+
 def combined_markdown(pages: DataFrame) -> DataFrame:
     """All pages of a document as one markdown text, in page order."""
     block = F.concat(

@@ -23,10 +23,13 @@ def test_command_line(spark, tmp_path, capsys):
     assert set(docs) == {"csv", "html"}
     assert docs["csv"].parser_version and docs["html"].parser_version is None
     html = "<h1>Insulin</h1><p>Insulin lowers glucose levels.</p><h2>Storage</h2><p>Keep insulin cold.</p>"
-    pages = [(docs["html"].document_id, "medical", 1, html, "http://h.org/guide", "Guide")]
+    pages = [(docs["html"].document_id, "medical", 1, html, "http://h.org/guide", "Guide"), (docs["html"].document_id, "medical", 2, "<div></div>", "http://h.org/empty", "")]
     spark.createDataFrame(pages, "document_id string, domain string, page_number int, html string, url string, title string").write.parquet(str(tmp_path / "pages"))
     run("parse-facts", "--path", str(raw / "facts.csv"), "--document-id", docs["csv"].document_id, "--domain", "medical")
     run("parse-pages", "--pages", str(tmp_path / "pages"))
+    # A page without content is still a page; parsed documents aren't pending.
+    assert Store(spark, store).read("structured_html").count() == 2
+    assert {r.status for r in Store(spark, store).read("documents").collect()} == {"parsed"}
     for command in ("normalize", "chunk", "index", "index", "centroids", "stats"):
         run(command)
     done = Store(spark, store)
