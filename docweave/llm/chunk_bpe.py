@@ -20,7 +20,7 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _ROLL, _BITS = 8, 9
 
 # Bytes of chunks and ids that a worker keeps for reuse before it starts over.
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 32 << 20
 
 
 def byte_letters() -> list[str]:

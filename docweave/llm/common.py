@@ -21,7 +21,7 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 NULL_ID = np.iinfo(np.int64).min
 
 # Bytes of text that one step of a task works on.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:

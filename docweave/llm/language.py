@@ -21,7 +21,7 @@ LETTERS = regex.compile(r"[\p{L}\p{M}]+")
 LETTER = regex.compile(r"\p{L}")
 
 # Bounds of the model, whatever the corpus: languages, rows learned from per language (on average), entries.
-MAX_LANGUAGES, ROWS_PER_LANGUAGE, MAX_ENTRIES = 500, 3_000, 400_000
+MAX_LANGUAGES, ROWS_PER_LANGUAGE, MAX_ENTRIES = 500, 3_000, 250_000
 MAX_GRAM = 4
 
 # Words that count as evidence for the score; more words don't make it surer.

@@ -21,6 +21,9 @@ PLACE = ("doc_id", "line_no")
 # Rarest tokens of a class by which it is compared with the first class that has them.
 LEADS = 4
 
+# What a row of a token's list carries besides the class: place, size, position of the token, end and size of the prefix.
+CARRIED = (*PLACE, "n", "i", "end", "p")
+
 
 def lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, line) of (doc_id, text)."""
@@ -138,21 +141,21 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     classes = stored(classes.select(F.monotonically_increasing_id().alias("id"), "c1", "c2", "at.*", "n", "prefix"))
 
     def postings(tokens: Column) -> DataFrame:
-        return classes.select(F.posexplode(tokens).alias("i", "token"), "id", *PLACE, "n")
+        end = F.element_at("prefix", -1).alias("end")
+        return classes.select(F.posexplode(tokens).alias("i", "token"), "id", *PLACE, "n", end, F.size("prefix").alias("p"))
 
     by_token = Window.partitionBy("token").orderBy(*PLACE, "id")
-    lead = F.first(F.struct("id", *PLACE, "n", "i")).over(by_token.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    led = postings(F.slice("prefix", 1, LEADS)).select("id", *PLACE, "n", "i", lead.alias("y")).filter("y.id <> id")
-    led = led.select(*_side("x"), F.col("y.id").alias("y"), *(F.col(f"y.{c}").alias(f"{c}_y") for c in (*PLACE, "n", "i")))
-    settled = stored(_verified(docs, ranks, classes, _pairs(led, classes)))
+    lead = F.first(F.struct("id", *CARRIED)).over(by_token.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    led = postings(F.slice("prefix", 1, LEADS)).select("id", *CARRIED, lead.alias("lead")).filter("lead.id <> id")
+    settled = stored(_verified(docs, ranks, classes, _pairs(led.select(*_side("x"), *_side("y", "lead.")), leads=True)))
 
     # Both inputs of the join are the same shuffle; what is settled is left out behind it.
     dealt = postings(F.col("prefix")).repartition("token")
-    done = settled.withColumnRenamed("x", "id")
-    open_ = dealt.join(F.broadcast(done) if done.count() <= BROADCAST_LINES else done, "id", "left_anti")
-    left = open_.select("token", *_side("x"))
-    right = dealt.select(F.col("token").alias("t"), F.col("id").alias("y"), *(F.col(c).alias(f"{c}_y") for c in (*PLACE, "n", "i")))
-    two = _pairs(left.join(right, (F.col("token") == F.col("t")) & (F.col("x") != F.col("y")) & _earlier() & _close()), classes)
+    done = settled.select(F.col("x").alias("id"), F.lit(True).alias("done"))
+    # An outer join, since an anti join would be moved below the shuffle.
+    open_ = dealt.join(F.broadcast(done) if done.count() <= BROADCAST_LINES else done, "id", "left").filter("done IS NULL")
+    left, right = open_.select("token", *_side("x")), dealt.select(F.col("token").alias("t"), *_side("y"))
+    two = _pairs(left.join(right, (F.col("token") == F.col("t")) & (F.col("x") != F.col("y")) & _earlier() & _close()))
     matched = settled.unionByName(_verified(docs, ranks, classes, two)).distinct()
 
     marked = classes.join(matched.withColumnRenamed("x", "id").withColumn("hit", F.lit(True)), "id", "left").select(
@@ -162,8 +165,8 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return all_lines.select(*PLACE, "c1", "c2").join(marked, ["c1", "c2"]).select(*PLACE, copy.alias("copy"), "hit").filter("copy OR hit").drop("hit")
 
 
-def _side(name: str) -> list[Column]:
-    return [F.col("id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in (*PLACE, "n", "i"))]
+def _side(name: str, of: str = "") -> list[Column]:
+    return [F.col(f"{of}id").alias(name), *(F.col(of + c).alias(f"{c}_{name}") for c in CARRIED)]
 
 
 def _earlier() -> Column:
@@ -178,25 +181,28 @@ def _close() -> Column:
     return length & _similar(F.least(i_x, i_y) + 1 + F.least(n_x - i_x - 1, n_y - i_y - 1), n_x, n_y)
 
 
-def _pairs(shared: DataFrame, classes: DataFrame) -> DataFrame:
+def _pairs(shared: DataFrame, leads: bool = False) -> DataFrame:
     """(x, y) of rows with one shared token each: the filters above, then the positional filter over all shared tokens.
 
     Let the prefix of x end earlier, in the order of rarity, than that of y. What x shares with y up to there is
-    counted; behind it x has ``n - prefix`` tokens, and y those behind the last shared one. In the bound for one
-    shared token (``rest`` below when the ends are equal) both sides have those behind the last shared one.
+    counted; behind it x has ``n - prefix`` tokens, and y those behind the last shared one. With equal ends both sides
+    have those behind the last shared one. ``leads``: only the ``LEADS`` rarest tokens are in ``shared``, so that is all
+    that is known of either side; of longer lines only those with two of them in common are tried, since what isn't
+    settled here is left to the full join.
     """
-    grouped = (
-        shared.filter(_earlier() & _close())
-        .groupBy("x", "y")
-        .agg(F.count(F.lit(1)).alias("shared"), *(F.max(c).alias(c) for c in ("n_x", "n_y", "i_x", "i_y")))
-    )
-    ends = classes.select("id", F.element_at("prefix", -1).alias("end"), F.size("prefix").alias("p"))
-    sides = (ends.select(F.col("id").alias(s), F.col("end").alias(f"end_{s}"), F.col("p").alias(f"p_{s}")) for s in "xy")
-    for side, name in zip(sides, "xy"):
-        grouped = grouped.join(side, name)
-    known = lambda s, other: F.when(F.col(f"end_{s}") < F.col(f"end_{other}"), F.col(f"p_{s}")).otherwise(F.col(f"i_{s}") + 1)
-    rest = F.least(F.col("n_x") - known("x", "y"), F.col("n_y") - known("y", "x"))
-    return grouped.filter(_similar(F.col("shared") + rest, F.col("n_x"), F.col("n_y"))).select("x", "y")
+
+    def behind(side: str, other: str) -> Column:
+        last = F.col(f"n_{side}") - F.col(f"i_{side}") - 1
+        if leads:
+            return last
+        return F.when(F.col(f"end_{side}") < F.col(f"end_{other}"), F.col(f"n_{side}") - F.col(f"p_{side}")).otherwise(last)
+
+    size = (F.col("n_x") + F.col("n_y")).alias("size")
+    rows = shared.filter(_earlier() & _close()).select("x", "y", size, F.least(behind("x", "y"), behind("y", "x")).alias("rest"))
+    grouped = rows.groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared"), F.min("rest").alias("rest"), F.max("size").alias("size"))
+    if leads:
+        grouped = grouped.filter((F.col("shared") >= 2) | (F.col("size") <= 20))
+    return grouped.filter((F.col("shared") + F.col("rest")) * 9 >= F.col("size") * 4).select("x", "y")
 
 
 def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
