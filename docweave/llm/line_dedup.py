@@ -211,8 +211,10 @@ def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     A document whose every line with a word goes is dropped; one that had no word stays. Repeated rows are cut alike.
     A column ``n_chars``, if there is one, is not recomputed.
     """
-    gone = repeated_lines(docs, doc_id, text).distinct().groupBy("doc_id").agg(F.collect_list("line_no").alias("_gone"))
-    gone = gone.withColumnRenamed("doc_id", "_of")
+    repeated = stored(repeated_lines(docs, doc_id, text).select(*PLACE).distinct())
+    gone = repeated.groupBy("doc_id").agg(F.collect_list("line_no").alias("_gone")).withColumnRenamed("doc_id", "_of")
+    if repeated.count() <= BROADCAST_LINES:
+        gone = F.broadcast(gone)
     joined = docs.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("_of")), "left")
     kept = F.filter(F.split(text, "\n"), lambda _, i: ~F.coalesce(F.array_contains("_gone", i), F.lit(False)))
     cut = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
