@@ -11,7 +11,7 @@ from docweave.llm.common import stored
 OTHER_SPACES = "\t\x0b\x0c\r"
 
 # Hash buckets of the rarity table; a table row is one integer, whatever the number of distinct tokens.
-RARITY_BITS = 18
+RARITY_BITS = 21
 
 # Lines whose tokens are fetched with a broadcast of their places; more are fetched with a shuffle join.
 BROADCAST_LINES = 1_000_000
