@@ -44,6 +44,21 @@ class Vocabulary:
         table = {**{i: t for t, i in ranks.items()}, **{i: s.encode() for s, i in self.special.items()}}
         self.tokens = pa.array([table.get(i, b"") for i in range(max(table) + 1)], pa.large_binary())
 
+    def decoded(self, rows: list[bytes]) -> pa.Array:
+        """Texts of rows of ids: the bytes of the tokens as UTF-8, malformed bytes replaced."""
+        numbers = np.frombuffer(b"".join(rows), "<u4").astype(np.int64)
+        known = numbers < len(self.tokens)
+        taken = self.tokens.take(pa.array(np.where(known, numbers, 0)))
+        ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in rows])]).astype(np.int64)
+        if known.all():
+            offsets = np.frombuffer(taken.buffers()[1], np.int64)[: len(numbers) + 1]
+            data = memoryview(taken.buffers()[2]) if taken.buffers()[2] is not None else memoryview(b"")
+            texts = [bytes(data[offsets[a] : offsets[b]]) for a, b in zip(ends[:-1], ends[1:])]
+        else:
+            single = [t if k else b"" for t, k in zip(taken.to_pylist(), known.tolist())]
+            texts = [b"".join(single[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+        return pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())
+
 
 def _safe(chunk: bytes, at: int) -> bool:
     """A space between a visible ASCII character and an ASCII letter: the split puts a boundary here in any context."""
@@ -162,24 +177,30 @@ class ChunkCoder:
         return [b"".join(p if isinstance(p, bytes) else ids[p] for p in row) for row in plan]
 
 
-def encode_texts(docs: DataFrame, content: str, text: str = "text", cache_bytes: int = CACHE_BYTES) -> DataFrame:
-    """``docs`` with ``n_tokens`` and ``ids`` (binary, little-endian unsigned 32-bit integers).
+def encode_texts(docs: DataFrame, content: str, text: str = "text", cache_bytes: int = CACHE_BYTES, decode: bool = False) -> DataFrame:
+    """``docs`` with ``n_tokens`` and ``ids`` (binary, little-endian unsigned 32-bit integers), and with ``decode`` also
+    ``decoded``, the text of these ids; in the same pass, since two passes in a row keep two workers per task busy.
 
     ``content``: the vocabulary file as a string. One pass without a shuffle; a worker keeps at most ``cache_bytes`` of
     chunks. Null or empty text: no ids. Repeated rows: one result each. Empty table: no rows. Columns of ``docs`` with
     these names are replaced.
     """
+    fields: dict[str, T.DataType] = {"n_tokens": T.LongType(), "ids": T.BinaryType()}
+    if decode:
+        fields["decoded"] = T.StringType()
 
     def make() -> Callable:
-        coder = ChunkCoder(_vocabulary(content), cache_bytes)
+        vocabulary = _vocabulary(content)
+        coder = ChunkCoder(vocabulary, cache_bytes)
 
         def compute(texts: pa.Array) -> list[pa.Array]:
             ids = coder.encode_all(texts.to_pylist())
-            return [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            found = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            return [*found, vocabulary.decoded(ids)] if decode else found
 
         return compute
 
-    return with_text_columns(docs, text, {"n_tokens": T.LongType(), "ids": T.BinaryType()}, make)
+    return with_text_columns(docs, text, fields, make)
 
 
 _LOADED: dict[int, Vocabulary] = {}
@@ -201,23 +222,11 @@ def decode_ids(encoded: DataFrame, content: str, ids: str = "ids") -> DataFrame:
     place = [f.name for f in kept].index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _vocabulary(content).tokens
+        vocabulary = _vocabulary(content)
         for batch in batches:
             for offset, length in slices(batch.column(place)):
                 part = batch.slice(offset, length)
-                rows = [x or b"" for x in part.column(place).to_pylist()]
-                numbers = np.frombuffer(b"".join(rows), "<u4").astype(np.int64)
-                known = numbers < len(tokens)
-                taken = tokens.take(pa.array(np.where(known, numbers, 0)))
-                offsets = np.frombuffer(taken.buffers()[1], np.int64)[: len(numbers) + 1]
-                data = memoryview(taken.buffers()[2]) if taken.buffers()[2] is not None else memoryview(b"")
-                ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in rows])])
-                if known.all():
-                    texts = [bytes(data[offsets[a] : offsets[b]]) for a, b in zip(ends[:-1], ends[1:])]
-                else:
-                    single = [t if k else b"" for t, k in zip(taken.to_pylist(), known.tolist())]
-                    texts = [b"".join(single[a:b]) for a, b in zip(ends[:-1], ends[1:])]
-                decoded = pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())
+                decoded = vocabulary.decoded([x or b"" for x in part.column(place).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=schema.names)
 
     return encoded.select(*(f"`{f.name}`" for f in kept)).mapInArrow(run, schema)

@@ -68,10 +68,9 @@ def op7_token_count(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
-    from docweave.llm.chunk_bpe import decode_ids, encode_texts
+    from docweave.llm.chunk_bpe import encode_texts
 
-    content = vocabulary("byte_bpe_50k.json")
-    decoded = decode_ids(encode_texts(documents(spark, folder).select("doc_id", "text"), content).drop("text"), content)
+    decoded = encode_texts(documents(spark, folder).select("doc_id", "text"), vocabulary("byte_bpe_50k.json"), decode=True)
     digests = (F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
     return decoded.select("doc_id", "n_tokens", *digests)
 

@@ -55,6 +55,7 @@ def test_table(spark, library):
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
     encoded = B.encode_texts(docs, CONTENT)
     got = B.decode_ids(encoded, CONTENT).collect()
+    assert got == B.encode_texts(docs, CONTENT, decode=True).collect()
     for (i, text, _), row in zip(rows, got):
         expected = library.encode(text or "", add_special_tokens=False).ids
         assert (row.doc_id, ids(bytes(row.ids)), row.n_tokens) == (i, expected, len(expected))
