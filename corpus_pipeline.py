@@ -50,9 +50,8 @@ def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, checked by decoding them: ``(doc_id, lang, source, n_tokens, ids, round_trip)``."""
     ship_package(spark)
-    content = queries.vocabulary("byte_bpe_50k.json")
-    encoded = chunk_bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"), content)
-    decoded = chunk_bpe.decode_ids(encoded, content)
+    rows = docs.select("doc_id", "lang", "source", "text")
+    decoded = chunk_bpe.encode_texts(rows, queries.vocabulary("byte_bpe_50k.json"), decode=True)
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return decoded.select("doc_id", "lang", "source", "n_tokens", "ids", same.alias("round_trip"))
 
