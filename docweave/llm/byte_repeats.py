@@ -47,13 +47,15 @@ class _Hasher:
 
 
 def passages(hasher: _Hasher, texts: list[bytes], width: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(row, start, windows, minimiser, two halves of a 128-bit content hash) of the runs of windows with one minimiser."""
+    """(row, start, windows, minimiser, two halves of a 128-bit content hash, inner) of the runs of windows with one
+    minimiser; ``inner``: the minimiser stands at several places of the run, so that windows of it may be equal."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     joined = b"".join(texts)
     raw = np.frombuffer(joined, np.uint8)
     if len(raw) < width:
-        return tuple(np.zeros(0, np.int64) for _ in range(6))
-    low = sliding_min(hasher.grams(raw, gram), width - gram + 1)
+        return (*(np.zeros(0, np.int64) for _ in range(6)), np.zeros(0, bool))
+    grams = hasher.grams(raw, gram)
+    low = sliding_min(grams, width - gram + 1)
     ends = np.cumsum(sizes)
     row_of = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
     inside = row_of[: len(low)] == row_of[width - 1 :]
@@ -65,7 +67,19 @@ def passages(hasher: _Hasher, texts: list[bytes], width: int, gram: int) -> tupl
     stop = np.minimum(stop, ends[row] - width + 1)
     digest = b"".join(xxhash.xxh3_128_digest(joined[a:b]) for a, b in zip(begin.tolist(), (stop + width - 1).tolist()))
     content = np.frombuffer(digest, np.int64).reshape(-1, 2)
-    return row, begin - (ends - sizes)[row], stop - begin, low[begin].view(np.int64), content[:, 0], content[:, 1]
+    inner = (stop - begin > 1) & (_occurrences(grams, low, begin, stop + (width - gram)) > 1)
+    return row, begin - (ends - sizes)[row], stop - begin, low[begin].view(np.int64), content[:, 0], content[:, 1], inner
+
+
+def _occurrences(grams: np.ndarray, low: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """How often the minimiser ``low[begin]`` stands in ``grams[begin:end]``, for every run of windows."""
+    # A gram is the least of some window around it exactly if it equals the greatest minimum of these windows.
+    pad = np.zeros(len(grams) - len(low), np.uint64)
+    at = np.flatnonzero(~sliding_min(~np.concatenate([pad, low, pad]), len(pad) + 1) == grams)
+    values, rank = np.unique(grams[at], return_inverse=True)
+    keys = np.sort(rank * (len(grams) + 1) + at)
+    mine = np.searchsorted(values, low[begin]) * (len(grams) + 1)
+    return np.searchsorted(keys, mine + end) - np.searchsorted(keys, mine + begin)
 
 
 def _texts(column: pa.Array) -> list[bytes]:
@@ -78,7 +92,7 @@ def _list_passages(width: int, gram: int) -> Callable:
         for batch in batches:
             for offset, length in slices(batch.column(2)):
                 part = batch.slice(offset, length)
-                row, start, windows, low, c1, c2 = passages(hasher, _texts(part.column(2)), width, gram)
+                row, start, windows, low, c1, c2, inner = passages(hasher, _texts(part.column(2)), width, gram)
                 yield pa.RecordBatch.from_arrays(
                     [
                         longs(low),
@@ -88,8 +102,9 @@ def _list_passages(width: int, gram: int) -> Callable:
                         longs(part.column(1).to_numpy()[row]),
                         pa.array(start.astype(np.int32)),
                         pa.array(windows.astype(np.int32)),
+                        pa.array(inner),
                     ],
-                    names=["gram", "c1", "c2", "doc_id", "text_hash", "start", "windows"],
+                    names=["gram", "c1", "c2", "doc_id", "text_hash", "start", "windows", "inner"],
                 )
 
     return run
@@ -258,20 +273,29 @@ def repeated_windows(
     (``keep_first``: earlier).
 
     1. A passage is a run of windows that share the least hash of their grams. Equal windows have equal least grams,
-       so a passage whose gram occurs once holds no repeat. Only small rows are shuffled for this.
+       so a passage whose gram occurs once, in other passages and in itself, holds no repeat. A gram that stands at
+       several places of one passage (text with a short period) makes it ``inner``. Only small rows are shuffled for this.
     2. Passages with equal content are one class. Other copies of a class are settled at once; its first stands for it.
-    3. First passages of grams with several classes are cut from the texts, packed and sorted in suffix arrays.
-    A gram with more than ``hot_passages`` classes would fill one array; its windows are grouped by a 128-bit hash
-    instead, which Spark combines and spreads.
+    3. First passages of grams with several classes, or with an inner one, are cut from the texts, packed and sorted in
+       suffix arrays.
+    A gram with more than ``hot_passages`` classes, or whose classes hold more than ``bucket_bytes``, would fill one
+    array; its windows are grouped by a 128-bit hash instead, which Spark combines and spreads.
     """
-    fields = "gram long, c1 long, c2 long, doc_id long, text_hash long, start int, windows int"
+    fields = "gram long, c1 long, c2 long, doc_id long, text_hash long, start int, windows int, inner boolean"
     # A repeated row gives the same passages again; they are one.
     listed = cut_lineage(rows.mapInArrow(_list_passages(width, gram), fields))
-    several = listed.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    several = listed.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.max("inner").alias("inner"))
+    several = several.filter("n > 1 or inner").select("gram")
     known = cut_lineage(listed.join(several, "gram", "left_semi").distinct())
     at = F.struct("doc_id", "start", "text_hash", "windows")
-    classes = known.groupBy("gram", "c1", "c2").agg(F.count(F.lit(1)).alias("copies"), F.min(at).alias("lead"))
-    of_gram = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("classes"))
+    classes = known.groupBy("gram", "c1", "c2").agg(
+        F.count(F.lit(1)).alias("copies"), F.min(at).alias("lead"), F.max("inner").alias("inner")
+    )
+    of_gram = classes.groupBy("gram").agg(
+        F.count(F.lit(1)).alias("classes"),
+        F.sum(F.col("lead.windows") + F.lit(width - 1).cast("bigint")).alias("bytes"),
+        F.max("inner").alias("any_inner"),
+    )
     classes = cut_lineage(classes.join(of_gram, "gram"))
 
     copies = known.join(classes.filter("copies > 1").select("gram", "c1", "c2", "lead"), ["gram", "c1", "c2"])
@@ -280,9 +304,9 @@ def repeated_windows(
         copies = copies.filter(place("") > place("lead."))
     marks = copies.select("doc_id", "text_hash", "start", "windows")
 
-    compare = classes.filter("classes > 1")
-    wanted = compare.select("gram", "classes", "lead.*")
-    packed_bytes = wanted.agg(F.sum(F.col("windows") + (width - 1)).alias("n"), F.max("classes").alias("most")).first()
+    hot = (F.col("classes") > hot_passages) | (F.col("bytes") > bucket_bytes)
+    wanted = classes.filter("classes > 1 or any_inner").select("gram", hot.alias("hot"), "lead.*")
+    packed_bytes = wanted.agg(F.sum(F.col("windows") + (width - 1)).alias("n"), F.max("hot").alias("hot")).first()
     buckets = max(1, -(-(packed_bytes["n"] or 0) // bucket_bytes))
 
     def cut(passages: DataFrame) -> DataFrame:
@@ -291,13 +315,12 @@ def repeated_windows(
         same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))
         return rows.join(of_row, same).drop("d", "h")
 
-    sent = cut(wanted.filter(F.col("classes") <= hot_passages)).mapInArrow(
+    sent = cut(wanted.filter("not hot")).mapInArrow(
         _send_passages(width, buckets), "bucket long, ids binary, texts binary, starts binary, sizes binary, packed binary"
     )
     marks = marks.unionByName(sent.groupBy("bucket").applyInArrow(_sort_passages(width, keep_first), MARKS))
-    if (packed_bytes["most"] or 0) > hot_passages:
-        hot = cut(wanted.filter(F.col("classes") > hot_passages))
-        listed_windows = hot.mapInArrow(_hash_windows(width), "c1 long, c2 long, doc_id long, text_hash long, start int")
+    if packed_bytes["hot"]:
+        listed_windows = cut(wanted.filter("hot")).mapInArrow(_hash_windows(width), "c1 long, c2 long, doc_id long, text_hash long, start int")
         windows = cut_lineage(listed_windows.distinct())
         groups = windows.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "start")).alias("lead"))
         again = windows.join(groups.filter("n > 1"), ["c1", "c2"])

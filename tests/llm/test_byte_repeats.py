@@ -50,3 +50,25 @@ def test_matches_brute_force(spark, rows, keep_first, sizes):
 
 def test_empty_table(spark):
     assert R.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("keep_first", [True, False])
+@pytest.mark.parametrize("sizes", [{}, {"bucket_bytes": 500}, {"hot_passages": 1}])
+def test_repeats_inside_one_passage(spark, keep_first, sizes):
+    rng = random.Random(5)
+    make = lambda n: "".join(rng.choices("abcdefgh é", k=n))
+    line, block = make(25), make(33)
+    rows = [(1, line * 9), (2, make(50) + block * 4 + make(50)), (3, make(60) + "-" * 1000 + make(9)), (4, make(300))]
+    # An own period per text, and one periodic text in two documents.
+    rows += [(5, make(7) + "xyz" * 60), (6, make(41) + make(2) * 300), (7, "pqr" * 60), (8, "pqr" * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = R.remove_repeats(docs.repartition(3), width=40, keep_first=keep_first, gram=12, **sizes).collect()
+    expected = slow(rows, 40, keep_first)
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == expected
+    assert sum(e[2] > 0 for e in expected) >= 6
+
+
+def test_passages_with_a_gram_at_two_places_are_inner():
+    inner = lambda text: bool(R.passages(R._Hasher(), [text.encode()], 40, 12)[6].any())
+    once = "".join(chr(97 + (i * i + 3 * i) % 26) + str(i) for i in range(100))
+    assert inner("-" * 60) and inner("The same line\n" * 5) and not inner(once) and not inner("-" * 40)
