@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -17,6 +18,10 @@ from docweave.llm.common import ids_back, ids_of, longs, mix, slices, sliding_mi
 # Words of the hashed grams whose least hash names a window's bucket.
 GRAM = 2
 
+# Words of the grams that split the windows of a minimiser too large for a bucket; windows of one that is still too
+# large are dealt by the window itself.
+LONG_GRAM = 8
+
 # Text bytes that one step of a map task packs; copies inside a step are resolved before the shuffle.
 PACK_BYTES = 8 << 20
 
@@ -43,25 +48,66 @@ def _window_keys(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix((sums[width:] - sums[:-width]) * down[: len(hashes) - width + 1])
 
 
-def super_kmers(rows: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """(row, start word, words, minimiser, packed string) of the runs of windows that share a minimiser."""
+def _among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Flags of the keys that are among the sorted ``known`` ones."""
+    if not len(known):
+        return np.zeros(len(keys), bool)
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+
+
+def _minimisers(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of every window by its least short gram, and by that and its least long gram."""
+    least = lambda size: sliding_min(_window_keys(hashes, size), width - size + 1)
+    low = least(GRAM)
+    return low, mix(low ^ mix(least(min(width, LONG_GRAM))))
+
+
+def _deal(hashes: np.ndarray, width: int, large: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The key of every window, equal for equal windows: the first one that isn't ``large``."""
+    if not len(large[0]):
+        return sliding_min(_window_keys(hashes, GRAM), width - GRAM + 1)
+    key, finer = _minimisers(hashes, width)
+    split = _among(key, large[0])
+    key = np.where(split, finer, key)
+    split &= _among(finer, large[1])
+    return np.where(split, _window_keys(hashes, width), key)
+
+
+def _runs_of(keys: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, begin, stop) of the runs of windows with one key inside one row; ``first``: first word of each row and the end."""
+    row_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    inside = row_of[: len(keys)] == row_of[width - 1 :]
+    begins = inside.copy()
+    begins[1:] &= ~(inside[:-1] & (keys[1:] == keys[:-1]))
+    begin = np.flatnonzero(begins)
+    # A run ends where the next begins or its row has no more window.
+    stops = np.append(begin[1:], len(keys))[: len(begin)]
+    return row_of[begin], begin, np.minimum(stops, first[row_of[begin] + 1] - width + 1)
+
+
+def _hashed(rows: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """(word numbers, distinct words, hashes of the words in order, first word of each row and the end)."""
     words, vocabulary, first = words_of(rows)
+    distinct = vocabulary.cast(pa.large_binary()).to_pylist()
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, distinct), np.uint64, len(distinct))
+    return words, distinct, hashes[words], first
+
+
+NONE_LARGE = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+
+
+def super_kmers(
+    rows: pa.Array, width: int, large: tuple[np.ndarray, np.ndarray] = NONE_LARGE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """(row, start word, words, key, packed string) of the runs of windows that share a key, see ``_deal``."""
+    words, distinct, hashes, first = _hashed(rows)
     empty = np.zeros(0, np.int64)
     if len(words) < width:
         return empty, empty, empty, empty.view(np.uint64), []
-    distinct = vocabulary.cast(pa.large_binary()).to_pylist()
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, distinct), np.uint64, len(distinct))[words]
-    low = sliding_min(_window_keys(hashes, GRAM), width - GRAM + 1)
-    row_of = np.repeat(np.arange(len(rows)), np.diff(first))
-    inside = row_of[: len(low)] == row_of[width - 1 :]
-    begins = inside.copy()
-    begins[1:] &= ~(inside[:-1] & (low[1:] == low[:-1]))
-    begin = np.flatnonzero(begins)
+    keys = _deal(hashes, width, large)
+    row, begin, stops = _runs_of(keys, first, width)
     if not len(begin):
         return empty, empty, empty, empty.view(np.uint64), []
-    # A run ends where the next begins or its row has no more window.
-    stops = np.append(begin[1:], len(low))
-    stops = np.minimum(stops, first[row_of[begin] + 1] - width + 1)
     spaced = pa.array([w + b" " for w in distinct], pa.large_binary()).take(pa.array(words))
     text = spaced.buffers()[2].to_pybytes() if len(spaced) else b""
     lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))[words] + 1
@@ -69,7 +115,50 @@ def super_kmers(rows: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.
     left = (ends - lengths)[begin].tolist()
     right = (ends[stops + width - 2] - 1).tolist()
     strings = [text[a:b] for a, b in zip(left, right)]
-    return row_of[begin], begin - first[row_of[begin]], stops - begin + width - 1, low[begin], strings
+    return row, begin - first[row], stops - begin + width - 1, keys[begin], strings
+
+
+def _count_keys(width: int, share: float) -> Callable:
+    """Packed bytes per key of both levels, equal super-k-mers of a step once; keys with less than ``share`` of the
+    step's text are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for offset, length in slices(batch.column(0), PACK_BYTES):
+                part = batch.column(0).slice(offset, length)
+                words, distinct, hashes, first = _hashed(part)
+                if len(words) < width:
+                    continue
+                least = share * pc.sum(pc.binary_length(part)).as_py()
+                lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))[words] + 1
+                before = np.concatenate([[0], np.cumsum(lengths)])
+                up, down = _powers(len(hashes))
+                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up)])
+                for level, keys in enumerate(_minimisers(hashes, width)):
+                    _, begin, stops = _runs_of(keys, first, width)
+                    ends = stops + width - 1
+                    _, once = np.unique(mix((sums[ends] - sums[begin]) * down[begin]), return_index=True)
+                    values, group = np.unique(keys[begin[once]], return_inverse=True)
+                    size = np.bincount(group, before[ends[once]] - before[begin[once]], len(values)).astype(np.int64)
+                    many = size >= least
+                    yield pa.RecordBatch.from_arrays(
+                        [longs(np.full(int(many.sum()), level)), longs(values[many].view(np.int64)), longs(size[many])],
+                        names=["level", "key", "bytes"],
+                    )
+
+    return run
+
+
+def large_keys(rows: DataFrame, width: int, total: int, bucket_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of both levels that hold more packed bytes than a bucket should.
+
+    What a step leaves out is in sum at most half a bucket per key, so with half a bucket as the bound no key above
+    ``bucket_bytes`` is missed. There are at most about ``12 * total / bucket_bytes`` keys.
+    """
+    counted = rows.select("text").mapInArrow(_count_keys(width, bucket_bytes / (2 * total)), "level long, key long, bytes long")
+    summed = counted.groupBy("level", "key").agg(F.sum("bytes").alias("bytes")).filter(F.col("bytes") >= bucket_bytes / 2)
+    found = summed.select("level", "key").collect()
+    return tuple(np.sort(np.array([r.key for r in found if r.level == level], np.int64).view(np.uint64)) for level in (0, 1))
 
 
 def _places(ids: np.ndarray, texts: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> bytes:
@@ -83,7 +172,7 @@ def _unplaced(raw: bytes) -> list[np.ndarray]:
     return [np.cumsum(np.frombuffer(raw, np.int64, size)), *numbers]
 
 
-def _pack(width: int, buckets: int) -> Callable:
+def _pack(width: int, buckets: int, large: tuple[np.ndarray, np.ndarray]) -> Callable:
     """Map side: one row per bucket and step, and the windows that an equal super-k-mer of the step already covers."""
     types = {"bucket": pa.int64(), "places": pa.binary(), "packed": pa.binary(), "marks": pa.binary()}
 
@@ -94,7 +183,7 @@ def _pack(width: int, buckets: int) -> Callable:
                 part = batch.slice(offset, length)
                 part = part.take(pa.array(np.argsort(ids_of(part.column(0)), kind="stable")))
                 ids, hashes = ids_of(part.column(0)), part.column(1).to_numpy()
-                row, start, count, low, strings = super_kmers(part.column(2), width)
+                row, start, count, low, strings = super_kmers(part.column(2), width, large)
                 bucket = (low % np.uint64(buckets)).astype(np.int64)
                 known: dict[bytes, int] = {}
                 send = np.ones(len(strings), bool)
@@ -203,12 +292,14 @@ def repeated_windows(rows: DataFrame, width: int, bucket_bytes: int = BUCKET_BYT
     """``MARKS`` of ``rows`` (doc_id, text_hash, text): runs of windows whose words also start earlier.
 
     Every map step sends each distinct super-k-mer once, whatever the number of its copies, so a passage that a
-    third of all documents share gives one packed string per step. Equal windows have equal minimisers and meet
-    in one bucket; the number of buckets follows the bytes of text.
+    third of all documents share gives one packed string per step. Equal windows have equal keys and meet
+    in one bucket; the number of buckets follows the bytes of text. Windows of a minimiser that alone would fill a bucket
+    (a frequent pair of words with a small hash) are dealt by longer grams, at last by the window itself.
     """
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-3 * total // bucket_bytes))
-    packed = rows.mapInArrow(_pack(width, buckets), "bucket long, places binary, packed binary, marks binary")
+    large = large_keys(rows, width, total, bucket_bytes) if buckets > 1 else NONE_LARGE
+    packed = rows.mapInArrow(_pack(width, buckets, large), "bucket long, places binary, packed binary, marks binary")
     return packed.groupBy("bucket").applyInArrow(_sort_bucket(width), MARKS)
 
 

@@ -56,3 +56,29 @@ def test_equal_keys_are_compared_by_words():
     got = R.later_windows(ids, starts, counts, words, np.zeros(40, np.uint64), 5)
     expected = [False] * 26 + [not (5 in range(s, s + 5)) for s in range(26)]
     assert got.tolist() == expected
+
+
+def test_a_pair_in_all_rows_is_dealt_to_many_buckets(spark):
+    rng = random.Random(2)
+    # The pair of words whose hash is less than that of all others.
+    pairs = [(f"p{i}", f"q{i}") for i in range(20_000)]
+    words = np.array([[R.xxhash.xxh64_intdigest(w) for w in pair] for pair in pairs], np.uint64)
+    low = [R._window_keys(pair, 2)[0] for pair in words]
+    pair = " ".join(pairs[int(np.argmin(low))])
+    make = lambda n: " ".join(f"w{rng.randrange(400)}" for _ in range(n))
+    shared = f"{make(9)} {pair} {make(14)}"
+    rows = [(i, " ".join([f"{make(8)} {pair} {make(9)}" for _ in range(3)] + ([shared] if i % 3 == 0 else []))) for i in range(60)]
+    check(spark, rows, 20, bucket_bytes=4000)
+    docs = R.keyed(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    total = sum(len(t) for _, t in rows)
+    large = R.large_keys(docs, 20, total, 4000)
+    assert min(low) in large[0]
+
+    def most(large):
+        _, _, _, key, strings = R.super_kmers(R.pa.array([t for _, t in rows]), 20, large)
+        size = defaultdict(int)
+        for k, string in {(int(k), s) for k, s in zip(key, strings)}:
+            size[k] += len(string)
+        return max(size.values())
+
+    assert most(large) <= 4000 < most(R.NONE_LARGE)
