@@ -29,7 +29,12 @@ KINDS = ("assign", "access", "hex")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|&#[0-9]{1,7};|&#x[0-9A-Fa-f]{1,6};)+")
 _ONE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|&#([0-9]{1,7});|&#x([0-9A-Fa-f]{1,6});")
-_BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{16,}|[A-Za-z0-9_-]{16,})={0,2}")
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_ALPHABETS = tuple(re.compile(p) for p in (r"[A-Za-z0-9+/]{16,}={0,2}", r"[A-Za-z0-9_-]{16,}={0,2}"))
+# Pieces on following lines, as MIME and PEM break them.
+_LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+_PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
+LEAST_TOKEN = 16
 
 # Decoded bytes that one text may give in all layers; what is beyond isn't unwrapped and is reported as ``truncated``.
 LAYER_BYTES = 64 << 20
@@ -127,43 +132,94 @@ def _rewritten(layer: Layer, pattern: re.Pattern, decode: Callable[[str], list[t
     return Layer("".join(parts), firsts, starts, ends, plain)
 
 
-def _inflated(raw: bytes, room: int) -> tuple[bytes, bool]:
-    """Decompressed bytes (zlib, gzip or raw bytes as they are) and whether the room was too small."""
-    if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78":
-        reader = zlib.decompressobj(47)
-        try:
-            out = reader.decompress(raw, room)
-        except zlib.error:
-            return raw, False
-        return out, bool(reader.unconsumed_tail)
-    return raw, False
+def _inflated(raw: bytes, room: int) -> tuple[bytes, int, bool]:
+    """Bytes after all compressed layers (zlib, gzip with all members) are opened, how many bytes that gave in sum, and
+    whether the room was too small. What isn't compressed comes back as it is."""
+    spent, met = 0, set()
+    while raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78":
+        key = hashlib.sha256(raw).digest()
+        if key in met:  # a stream that holds itself
+            break
+        met.add(key)
+        parts: list[bytes] = []
+        rest = raw
+        while rest:
+            if spent >= room:
+                return b"", spent, True
+            reader = zlib.decompressobj(47)
+            try:
+                part = reader.decompress(rest, room - spent)
+            except zlib.error:
+                break
+            parts.append(part)
+            spent += len(part)
+            if reader.unconsumed_tail:
+                return b"", spent, True
+            rest = reader.unused_data.lstrip(b"\0") if reader.eof else b""
+        if not parts:
+            break
+        raw = b"".join(parts)
+    return raw, spent, False
+
+
+def _tokens(text: str) -> list[tuple[int, int]]:
+    """Spans that may be base64, longer ones first: runs of both alphabets, of one, and runs broken by single line ends.
+
+    Broken runs start and end where the width of the lines says so (lines of one width, with or without the one before
+    and the one after), or at all lines; one line has ``LEAST_TOKEN`` characters.
+    """
+    spans = {m.span() for pattern in (_BASE64, *_ALPHABETS) for m in pattern.finditer(text)}
+    for m in _LINES.finditer(text):
+        pieces = [p.span() for p in _PIECE.finditer(text, m.start(), m.end())]
+        widths = [b - a for a, b in pieces]
+        if max(widths) < LEAST_TOKEN:
+            continue
+        spans.add(m.span())
+        first = 0
+        while first < len(pieces):
+            last = first
+            while last + 1 < len(pieces) and widths[last + 1] == widths[first]:
+                last += 1
+            if widths[first] >= LEAST_TOKEN:
+                for a in {max(first - 1, 0), first}:
+                    for b in {last, min(last + 1, len(pieces) - 1)}:
+                        spans.add((pieces[a][0], m.end() if b == len(pieces) - 1 else pieces[b][1]))
+            first = last + 1
+    return sorted(spans, key=lambda s: (s[0] - s[1], s[0]))
 
 
 def _blobs(layer: Layer, room: int) -> Iterator[tuple[Layer | None, int]]:
-    """Layers inside base64 tokens, compressed or not, with their size; None for one beyond the room."""
-    for m in _BASE64.finditer(layer.text):
-        token = m[0].rstrip("=")
+    """Layers inside base64 tokens, compressed or not, with what they inflate to; None for one beyond the room.
+
+    Bytes that aren't UTF-8 (other character sets, archives) are read as one character each. A token inside one that
+    gave clean text isn't read again.
+    """
+    clean: list[tuple[int, int]] = []  # disjoint spans in order
+    for begin, end in _tokens(layer.text):
+        at = bisect_right(clean, (begin, len(layer.text)))
+        if at and end <= clean[at - 1][1]:
+            continue
+        token = "".join(layer.text[begin:end].split()).rstrip("=")
         if len(token) % 4 == 1:
             continue
         try:
             raw = base64.b64decode(token.replace("-", "+").replace("_", "/") + "=" * (-len(token) % 4), validate=True)
         except (binascii.Error, ValueError):
             continue
-        if not raw.isascii() or any(b < 9 for b in raw[:8]):
-            # Compressed data or text in other alphabets.
-            opened, over = _inflated(raw, room)
-            if over:
-                yield None, room
-                continue
-            try:
-                text = opened.decode("utf-8")
-            except UnicodeDecodeError:
-                continue
+        opened, spent, over = _inflated(raw, room)
+        if over:
+            yield None, room
+            continue
+        try:
+            text = opened.decode("utf-8")
+        except UnicodeDecodeError:
+            text = opened.decode("latin-1")
         else:
-            opened, text = raw, raw.decode("ascii")
-        if text and sum(c.isprintable() or c in "\t\n\r" for c in text) == len(text):
-            yield _whole(text, layer.start(m.start()), layer.end(m.end())), len(opened)
-            room = max(1, room - len(opened))
+            if all(c.isprintable() or c in "\t\n\r" for c in text) and not any(a < end and begin < b for a, b in clean[max(at - 1, 0) : at + 1]):
+                clean.insert(at, (begin, end))
+        if text:
+            yield _whole(text, layer.start(begin), layer.end(end)), spent
+            room = max(1, room - spent)
 
 
 def find_secrets(text: str | None, room: int = LAYER_BYTES) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]], bool]:
@@ -195,10 +251,10 @@ def find_secrets(text: str | None, room: int = LAYER_BYTES) -> tuple[list[tuple[
             if below is None:
                 truncated = True
                 continue
-            room -= size
-            if room <= 0:
+            if size and room <= size:
                 truncated = True
                 continue
+            room -= size
             key = (below.starts[0], below.ends[-1], hashlib.sha256(below.text.encode("utf-8", "replace")).digest())
             if below.text and key not in seen:
                 seen.add(key)

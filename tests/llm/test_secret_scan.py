@@ -1,5 +1,6 @@
 import base64
 import gzip
+import random
 import re
 import urllib.parse
 import zlib
@@ -71,3 +72,41 @@ def test_table(spark):
     assert len(got) == 5
     assert {(r.doc_id, r.n_assign, r.spans[:7]) for r in got} == {(1, 0, ""), (2, 0, ""), (3, 1, "assign:"), (None, 1, "assign:")}
     assert S.scan_secrets(docs.limit(0)).count() == 0
+
+
+def hidden(token, around="é before {} after"):
+    text = around.format(token)
+    base, spans, truncated = S.find_secrets(text)
+    at = text.index(token)
+    return not truncated and any(k == "assign" and at <= a < b <= at + len(token) for a, b, k in set(spans) - set(base))
+
+
+def test_urlsafe_tokens_of_compressed_data():
+    rng = random.Random(4)
+    for _ in range(200):
+        inner = "token=" + "".join(rng.choices("ghijkmnpqrstuvwxyzGHIJ", k=rng.randint(8, 40)))
+        assert hidden(base64.urlsafe_b64encode(zlib.compress(inner.encode())).decode())
+
+
+def test_broken_lines():
+    rng = random.Random(6)
+    lines = "".join(f"{rng.random()} line\n" for _ in range(20))
+    inner = f"{lines}token={'ghijkmnp' * 3}\n{lines}".encode()
+    for raw in (inner, zlib.compress(inner), gzip.compress(inner)):
+        flat = base64.b64encode(raw).decode()
+        for width in (64, 76):
+            for end in ("\n", "\r\n"):
+                token = end.join(flat[k : k + width] for k in range(0, len(flat), width))
+                assert hidden(token) and hidden(token, "-----BEGIN CERTIFICATE-----\n{}\n-----END") and hidden(token, "word\n{}\nword\nword")
+
+
+def test_compressed_layers_and_members():
+    inner = f"token={'ghijkmnp' * 3}".encode()
+    for raw in (
+        gzip.compress(gzip.compress(inner)),
+        gzip.compress(zlib.compress(gzip.compress(inner))),
+        gzip.compress(b"first member ") + gzip.compress(inner),
+        gzip.compress(b"caf\xe9 \x00\x01 " + inner),
+        b"\x00\x02 caf\xe9 " + inner,
+    ):
+        assert hidden(base64.b64encode(raw).decode())
