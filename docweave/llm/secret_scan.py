@@ -36,7 +36,7 @@ _LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[\x20\t]*+[A-
 _PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
 LEAST_TOKEN = 16
 
-# Decoded bytes that one text may give in all layers; what is beyond isn't unwrapped and is reported as ``truncated``.
+# Bytes that compressed layers of one text may inflate to; what is beyond isn't unwrapped and is reported as ``truncated``.
 LAYER_BYTES = 64 << 20
 
 
@@ -188,11 +188,11 @@ def _tokens(text: str) -> list[tuple[int, int]]:
     return sorted(spans, key=lambda s: (s[0] - s[1], s[0]))
 
 
-def _blobs(layer: Layer, room: int) -> Iterator[tuple[Layer | None, int]]:
+def _blobs(layer: Layer, room: int, met: dict[tuple, bool]) -> Iterator[tuple[Layer | None, int]]:
     """Layers inside base64 tokens, compressed or not, with what they inflate to; None for one beyond the room.
 
     Bytes that aren't UTF-8 (other character sets, archives) are read as one character each. A token inside one that
-    gave clean text isn't read again.
+    gave clean text isn't read again, and neither is one that another layer held at the same place (``met``).
     """
     clean: list[tuple[int, int]] = []  # disjoint spans in order
     for begin, end in _tokens(layer.text):
@@ -206,6 +206,12 @@ def _blobs(layer: Layer, room: int) -> Iterator[tuple[Layer | None, int]]:
             raw = base64.b64decode(token.replace("-", "+").replace("_", "/") + "=" * (-len(token) % 4), validate=True)
         except (binascii.Error, ValueError):
             continue
+        key = (layer.start(begin), layer.end(end), hashlib.sha256(raw).digest())
+        if key in met:
+            if met[key] and not any(a < end and begin < b for a, b in clean[max(at - 1, 0) : at + 1]):
+                clean.insert(at, (begin, end))
+            continue
+        met[key] = False
         opened, spent, over = _inflated(raw, room)
         if over:
             yield None, room
@@ -217,6 +223,7 @@ def _blobs(layer: Layer, room: int) -> Iterator[tuple[Layer | None, int]]:
         else:
             if all(c.isprintable() or c in "\t\n\r" for c in text) and not any(a < end and begin < b for a, b in clean[max(at - 1, 0) : at + 1]):
                 clean.insert(at, (begin, end))
+                met[key] = True
         if text:
             yield _whole(text, layer.start(begin), layer.end(end)), spent
             room = max(1, room - spent)
@@ -237,6 +244,7 @@ def find_secrets(text: str | None, room: int = LAYER_BYTES) -> tuple[list[tuple[
     found, truncated = set(base), False
     first = Layer(text, [0], [0], [len(text)], [True])
     queue, seen = [first], {(0, len(text), hashlib.sha256(text.encode("utf-8", "replace")).digest())}
+    met: dict[tuple, bool] = {}
     while queue:
         layer = queue.pop()
         if layer is not first:
@@ -245,18 +253,18 @@ def find_secrets(text: str | None, room: int = LAYER_BYTES) -> tuple[list[tuple[
         inner: list[tuple[Layer | None, int]] = []
         for pattern, decode in ((_PERCENT, _unpercent), (_ESCAPE, _unescape)):
             if (changed := _rewritten(layer, pattern, decode)) is not None:
-                inner.append((changed, len(changed.text)))
-        inner += _blobs(layer, max(1, room))
+                inner.append((changed, 0))  # shorter than its layer, so it takes no room
+        inner += _blobs(layer, max(1, room), met)
         for below, size in inner:
             if below is None:
                 truncated = True
                 continue
-            if size and room <= size:
-                truncated = True
-                continue
-            room -= size
             key = (below.starts[0], below.ends[-1], hashlib.sha256(below.text.encode("utf-8", "replace")).digest())
             if below.text and key not in seen:
+                if size and room <= size:
+                    truncated = True
+                    continue
+                room -= size
                 seen.add(key)
                 queue.append(below)
     return base, list(found), truncated
@@ -279,9 +287,9 @@ FIELDS: dict[str, T.DataType] = {
 
 def scan_secrets(docs: DataFrame, text: str = "text", room: int = LAYER_BYTES) -> DataFrame:
     """``docs`` with the number of base secrets per kind, ``base_spans``, ``spans`` (with those of decoded layers) and
-    ``truncated`` (true where a text unwraps to more than ``room`` bytes, so that deeper layers weren't read).
+    ``truncated`` (true where compressed layers of a text inflate to more than ``room`` bytes, so that deeper layers weren't read).
 
-    One pass without a shuffle. A text is held by one task; its layers are bounded by ``room``. Null or empty text:
+    One pass without a shuffle. A text is held by one task; inflated layers are bounded by ``room``, the others by the text. Null or empty text:
     no spans. Repeated rows: one result each. Empty table: no rows. Columns of ``docs`` with these names are replaced.
     """
 

@@ -110,3 +110,17 @@ def test_compressed_layers_and_members():
         b"\x00\x02 caf\xe9 " + inner,
     ):
         assert hidden(base64.b64encode(raw).decode())
+
+
+def test_room_is_for_inflated_bytes_only():
+    plain, escaped = "pass%77ord=abc%64efgh", "\\u0070assword=abcdefgh"
+    token = base64.b64encode(zlib.compress(b"token=ghijkmnp")).decode()
+    text = f"{plain} {escaped} {token} " + "n " * 5000
+    _, spans, truncated = S.find_secrets(text, room=1000)
+    assert not truncated and spans_of(spans, text) >= {plain, escaped, token}
+    # The same layers, met again in the rewritten texts, take no more room.
+    assert not S.find_secrets(text, room=20)[2]
+
+
+def spans_of(spans, text):
+    return {text[a:b] for a, b, _ in spans}
