@@ -90,6 +90,24 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    from docweave.llm.filter_audit import audit_filters
+
+    return audit_filters(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+def op12_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from docweave.llm.packing import pack_documents
+
+    return pack_documents(documents(spark, folder), vocabulary("word_bpe_49k.json"))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    from docweave.llm.collocations import collocations
+
+    return collocations(documents(spark, folder))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_template_leaks": op2_template_leaks,
@@ -101,6 +119,9 @@ QUERIES = {
     "op8_bpe_codec": op8_bpe_codec,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_language_id": op10_language_id,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_collocations": op13_collocations,
 }
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
@@ -163,4 +184,40 @@ g AS (SELECT DISTINCT doc_id, j FROM (SELECT doc_id, unnest(range(i, i + 20)) AS
 x AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM w),
 k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS kept, count(*) AS n FROM x ANTI JOIN g USING (doc_id, j) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN k USING (doc_id)""",
+    "op11_filter_audit": f"""
+WITH l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id FROM documents),
+w AS (SELECT *, regexp_extract_all(text, {_WORDS}) AS w FROM d),
+m AS (SELECT doc_id, part, CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > first_id THEN 16 ELSE 0 END AS mask FROM w),
+c AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM f a, f b, f c, f d, f e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (SELECT filter_order, step, 1 << (ascii(filter_order[step]) - 65) AS bit,
+    coalesce(list_sum([1 << (ascii(x) - 65) FOR x IN string_split(filter_order[1:step - 1], '') IF x <> '']), 0)::INT AS before FROM o, range(1, 6) r(step)),
+r AS (SELECT part, filter_order, step::INT AS step, bit, sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN mask & before <> 0 AND mask & bit <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost FROM c, s GROUP BY ALL)
+SELECT * EXCLUDE (bit), (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r""",
+    "op13_collocations": """
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) r(k))),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+i AS (SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(a) AS within
+  FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS s FROM (SELECT *, unnest(range(2, k)) AS m FROM c)) GROUP BY ALL),
+x AS (SELECT c.lang, c.phrase, c.a, unnest(range(1, c.k)) AS cut, c.k, c.w FROM c LEFT JOIN i USING (lang, phrase) WHERE within IS NULL OR 100 * within < 100 * a),
+y AS (SELECT x.lang, x.phrase, x.a, cut, h.a AS l, e.a AS r, n, (1000::HUGEINT * x.a * n // (h.a::HUGEINT * e.a))::BIGINT AS score FROM x
+  JOIN f h ON h.lang = x.lang AND h.phrase = array_to_string(w[1:cut], ' ') JOIN f e ON e.lang = x.lang AND e.phrase = array_to_string(w[cut + 1:x.k], ' ')
+  JOIN t ON t.lang = x.lang),
+b AS (SELECT lang, phrase, a, arg_min(struct_pack(l := l, r := r, n := n, score := score), struct_pack(s := score, c := cut)) AS b FROM y GROUP BY ALL)
+SELECT lang, rank, phrase, a, b.l AS l, b.r AS r, b.n AS n, b.score AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY b.score DESC, a DESC, phrase) AS rank FROM b) WHERE rank <= 2000""",
 }
