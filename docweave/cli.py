@@ -11,7 +11,7 @@ from docweave.operators.embedding import embed_sparse
 from docweave.plans import answer as an
 from docweave.plans import corpus
 from docweave.plans import evaluation as ev
-from docweave.plans.catalog import pending_documents
+from docweave.plans.catalog import pending_documents, recoverable_documents
 from docweave.plans.hybrid import SearchParams, hybrid_search
 from docweave.session import build_session
 from docweave.settings import DEFAULTS
@@ -49,6 +49,11 @@ def arguments() -> argparse.ArgumentParser:
     for name in ("--path", "--document-id", "--domain"):
         facts.add_argument(name, required=True)
     commands.add_parser("parse-pages").add_argument("--pages", required=True)
+    commands.add_parser("parse-crawl").add_argument("--parsed", required=True, help="folder with <domain>/html/<name>.raw.json")
+    pdf = commands.add_parser("parse-pdf")
+    pdf.add_argument("--parsed", required=True, help="folder with <domain>/pdf/<name>.structured.json and .images.json")
+    pdf.add_argument("--images", required=True, help="folder with <domain>/<name>/<image files>")
+    commands.add_parser("recover").add_argument("--limit", type=int, default=20)
     for name in ("normalize", "chunk", "index", "centroids", "stats"):
         commands.add_parser(name)
     ask = commands.add_parser("query")
@@ -72,7 +77,13 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "parse-facts":
         corpus.parse_facts(store, args.path, args.document_id, args.domain).show()
     elif args.command == "parse-pages":
-        crawl_counts(corpus.parse_pages(store, spark.read.parquet(args.pages))).show()
+        crawl_counts(corpus.parse_pages(store, spark.read.parquet(args.pages))[0]).show()
+    elif args.command == "parse-crawl":
+        print(corpus.parse_crawl(store, args.parsed))
+    elif args.command == "parse-pdf":
+        print(corpus.parse_pdf(store, args.parsed, args.images))
+    elif args.command == "recover":
+        recoverable_documents(store.read("documents")).select("document_id", "file_name", "metadata.parse_outputs").show(args.limit, truncate=False)
     elif args.command == "normalize":
         corpus.normalize(store).groupBy("domain", "source_type").count().show()
     elif args.command == "chunk":

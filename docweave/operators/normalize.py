@@ -42,8 +42,13 @@ def pdf_content(documents: DataFrame) -> DataFrame:
     items of a page.
     """
     pages = documents.select("document_id", "domain", F.posexplode_outer("pages").alias("page", "p"))
-    kept = F.filter(F.col("p.items"), lambda i: i["type"].isin(*CONTENT_TYPES) & (item_text(i) != ""))
-    items = pages.select("document_id", "domain", "page", F.col("p.page_number").alias("page_number"), F.posexplode_outer(kept).alias("idx", "item"))
+    return page_content(pages.select("document_id", "domain", "page", "p.page_number", "p.items"))
+
+
+def page_content(pages: DataFrame) -> DataFrame:
+    """As :func:`pdf_content`, from one row per page: ``document_id, domain, page, page_number, items``."""
+    kept = F.filter("items", lambda i: i["type"].isin(*CONTENT_TYPES) & (item_text(i) != ""))
+    items = pages.select("document_id", "domain", "page", "page_number", F.posexplode_outer(kept).alias("idx", "item"))
     return items.filter("item IS NOT NULL").select(
         "document_id", "domain", "page", "page_number", "idx", F.col("item.type").alias("element_type"),
         item_text(F.col("item")).alias("text"), item_y(F.col("item")).alias("y"),
@@ -82,26 +87,34 @@ def image_context(content: DataFrame, images: DataFrame) -> DataFrame:
     band = F.floor(F.col("y") / BAND)
     down = running(
         levels, keys, band, ["y"],
-        {"h": ("max", F.col("heading")), "b": ("max", F.col("before")), "l": ("max", F.col("last")), "upto": ("sum", F.col("items"))},
+        {"_h": ("max", F.col("heading")), "_b": ("max", F.col("before")), "_l": ("max", F.col("last")), "upto": ("sum", F.col("items"))},
     )
     up = running(
         levels.select(*keys, "y", "spot", "after", "first"), keys, band, [F.col("y").desc()],
-        {"a": ("min", F.col("after")), "f": ("min", F.col("first"))}, descending_blocks=True, inclusive=False,
+        {"_a": ("min", F.col("after")), "_f": ("min", F.col("first"))}, descending_blocks=True, inclusive=False,
     )
     spot = [*keys, "y"]
-    above = down.filter("spot").select(*spot, (F.col("upto") - F.coalesce("items", F.lit(0))).alias("below"), "h", "b", "l")
-    under = up.filter("spot").select(*spot, "a", "f")
-    table = F.when(F.col("l.element_type") == "table", F.col("l.text")).when(F.col("f.element_type") == "table", F.col("f.text"))
+    above = down.filter("spot").select(*spot, (F.col("upto") - F.coalesce("items", F.lit(0))).alias("below"), "_h", "_b", "_l")
+    under = up.filter("spot").select(*spot, "_a", "_f")
+    table = F.when(F.col("_l.element_type") == "table", F.col("_l.text")).when(F.col("_f.element_type") == "table", F.col("_f.text"))
     return (
         images.join(above, spot, "left").join(under, spot, "left")
         .select(
             *images.columns, F.coalesce("below", F.lit(0)).cast("bigint").alias("below"),
-            F.coalesce("h.text", F.lit("")).alias("section_title"), F.coalesce("b.text", F.lit("")).alias("nearby_text_before"),
-            F.coalesce("a.text", F.lit("")).alias("nearby_text_after"), table.alias("nearby_table_markdown"),
+            F.coalesce("_h.text", F.lit("")).alias("section_title"), F.coalesce("_b.text", F.lit("")).alias("nearby_text_before"),
+            F.coalesce("_a.text", F.lit("")).alias("nearby_text_after"), table.alias("nearby_table_markdown"),
         )
     )
 
 
+def on_pages(images: DataFrame, pages: DataFrame) -> DataFrame:
+    """``images`` (``document_id``, ``page`` as the number in their name) with ``domain``, ``page_number`` and ``page``, the place
+    of their page in the document. The page list drives: a page without any content keeps its images, and an image whose
+    number no page has is left out."""
+    places = pages.select("document_id", "domain", "page", "page_number")
+    return images.withColumnRenamed("page", "page_number").join(places, ["document_id", "page_number"])
+
+
 def context_fields() -> dict[str, Column]:
     return {c: F.col(c) for c in ("section_title", "nearby_text_before", "nearby_text_after", "nearby_table_markdown")}
 
@@ -110,21 +123,21 @@ def page_order(content: DataFrame, images: DataFrame, block_rows: int = DEFAULTS
     """Content and images of every document in reading order, with ``order`` from 0.
 
     An image stands before the content item whose index equals its ``below``; images at the
-    same place go by (y, x). ``images`` need ``document_id, domain, page, page_number, below, x, y,
-    filename, text``.
+    same place go by (y, x) and then by ``idx``, their place in the parser's list. ``images`` need ``document_id, domain,
+    page, page_number, below, x, y, idx, filename, text``; a page of theirs may have no content.
     """
     items = content.select(
         "document_id", "domain", "page", "page_number", F.col("idx").cast("bigint").alias("slot"), F.lit(1).alias("kind"),
-        F.lit(0.0).alias("y"), F.lit(0.0).alias("x"), F.lit("").alias("filename"), "element_type", "text",
+        F.lit(0.0).alias("y"), F.lit(0.0).alias("x"), F.lit(0).cast("bigint").alias("listed"), F.lit("").alias("filename"), "element_type", "text",
     )
     pictures = images.select(
         "document_id", "domain", "page", "page_number", F.col("below").cast("bigint").alias("slot"), F.lit(0).alias("kind"),
-        "y", "x", "filename", F.lit("image").alias("element_type"), "text",
+        "y", "x", F.col("idx").cast("bigint").alias("listed"), "filename", F.lit("image").alias("element_type"), "text",
     )
     rows = items.unionByName(pictures)
     one = {"at": ("sum", F.lit(1).cast("bigint"))}
     block = F.floor(F.col("slot") / block_rows)
-    placed = running(rows, ["document_id", "page"], block, ["slot", "kind", "y", "x", "filename"], one)
+    placed = running(rows, ["document_id", "page"], block, ["slot", "kind", "y", "x", "listed"], one)
     sizes = rows.groupBy("document_id", "page").agg(F.count(F.lit(1)).alias("n"))
     starts = running(
         sizes, ["document_id"], F.floor(F.col("page") / block_rows), ["page"], {"start": ("sum", F.col("n"))}, inclusive=False

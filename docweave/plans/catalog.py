@@ -28,7 +28,7 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], keep: tupl
     return old.join(new, keys, "full").select(*keys, *[pick(c).alias(c) for c in others]).select(*existing.columns)
 
 
-def latest(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+def latest(rows: DataFrame, keys: list[str], order: str | Column) -> DataFrame:
     """The last row of every key, as if rows had been upserted one by one."""
     others = [c for c in rows.columns if c not in keys]
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("_r")).select(*keys, "_r.*").select(*rows.columns)

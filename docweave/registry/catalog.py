@@ -147,7 +147,7 @@ def discover_sources(spark: SparkSession, sf: str) -> DataFrame:
         )
     )
     path = F.concat(F.lit("file:/corpus/data/raw/legal/list_"), F.col("page_id").cast("string"), F.lit(".json"))
-    rows = pages.select(path.alias("path"), entry.alias("entry"))
+    rows = pages.select(path.alias("path"), entry.alias("entry"), F.lit(0).alias("position"))
     return di.describe_sources(rows, "/corpus").select("document_id", "domain", "file_name", "file_path", "parser_used")
 
 

@@ -16,7 +16,7 @@ SUPPORTED_SUFFIXES = (".csv", ".html", ".pdf")
 def local_files(spark: SparkSession, input_dir: str, root: str) -> DataFrame:
     """Files one level below ``input_dir/<domain>/``; only names and sizes are read."""
     pattern = f"{input_dir}/*/*"
-    if not _matches(spark, pattern):
+    if not files_match(spark, pattern):
         return describe_files(spark.createDataFrame([], "path string, length long"), root)
     listed = spark.read.format("binaryFile").load(pattern).select("path", "length")
     # The pattern also lists folders; what lies deeper is not part of the corpus.
@@ -61,7 +61,7 @@ def _quoted(text: str) -> str:
     return re.escape(text)
 
 
-def _matches(spark: SparkSession, pattern: str) -> bool:
+def files_match(spark: SparkSession, pattern: str) -> bool:
     """Is there a file of this pattern? Reading a pattern without one raises."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
@@ -74,16 +74,17 @@ def crawl_sources(spark: SparkSession, input_dir: str, root: str) -> DataFrame:
     Entries stay JSON texts, so that every setting of a crawl is kept. No manifest: no rows.
     """
     pattern = f"{input_dir}/*/*.json"
-    if not _matches(spark, pattern):
-        return describe_sources(spark.createDataFrame([], "path string, entry string"), root)
+    if not files_match(spark, pattern):
+        return describe_sources(spark.createDataFrame([], "path string, entry string, position int"), root)
     files = spark.read.option("wholetext", True).text(pattern).select(F.col("_metadata.file_path").alias("path"), "value")
     whole = F.regexp_replace("value", "^\ufeff", "")
     entries = F.when(whole.rlike(r"^\s*\["), F.from_json(whole, "array<string>")).otherwise(F.array(whole))
-    return describe_sources(files.select("path", F.explode(entries).alias("entry")), root)
+    return describe_sources(files.select("path", F.posexplode(entries).alias("position", "entry")), root)
 
 
 def describe_sources(rows: DataFrame, root: str) -> DataFrame:
-    """Manifest entries (``path, entry`` as JSON text) with a url -> discovered html documents."""
+    """Manifest entries (``path, entry`` as JSON text, ``position``) with a url -> discovered html documents, one per entry, with
+    ``listed_in`` and ``position``: of two entries with one url the later one holds."""
     value = lambda name, of="entry": F.get_json_object(of, f"$.{name}")
     stem = F.regexp_extract("path", r"([^/]*?)(?:\.[^./]*)?$", 1)
     relative = F.regexp_replace("path", r"^(?:file:)?/*" + _quoted(root.strip("/")) + "/", "")
@@ -96,5 +97,5 @@ def describe_sources(rows: DataFrame, root: str) -> DataFrame:
     return found.select(
         document_id(domain, F.lit("html"), F.col("at")).alias("document_id"), domain.alias("domain"),
         F.coalesce(F.nullif(value("name"), F.lit("")), stem).alias("file_name"), F.lit("html").alias("source_type"),
-        F.col("at").alias("file_path"), F.lit("firecrawl").alias("parser_used"), meta.alias("metadata"),
+        F.col("at").alias("file_path"), F.lit("firecrawl").alias("parser_used"), meta.alias("metadata"), F.col("path").alias("listed_in"), "position",
     )

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions.ids import uuid5
+from docweave.operators.ordered import running
 
 # The tags that carry content, and those whose inner tags are not told apart.
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
@@ -26,6 +27,12 @@ ENDS_P = (*HEADINGS, "p", "ul", "ol", "table", "blockquote", "pre", "div", "sect
 IMPLIED = {"li": ("li",), "tr": ("td", "th", "tr"), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd")}
 SCOPES = ("table", "ul", "ol", "dl")
 
+# What a crawl tells about a page besides its markup; a missing column is NULL, a missing list is empty.
+PAGE_FIELDS = {"description": "string", "status_code": "string", "language": "string", "links": "array<string>", "images": "array<string>"}
+
+# Sections of one page that are scanned together.
+BLOCK_SECTIONS = 512
+
 ELEMENT = (
     "array<struct<sequence:int,tag:string,text:string,table_html:string,table_markdown:string,"
     "image_url:string,alt_text:string,title:string>>"
@@ -129,10 +136,21 @@ def parse_elements(html: str | None, url: str | None) -> list[dict]:
     return parser.result()
 
 
+PARSED = f"struct<found:{ELEMENT},error:string>"
+
+
+def _parsed(html: str | None, url: str | None) -> dict:
+    """Elements of a page, or why it has none; a page that the parser can't take doesn't end the job."""
+    try:
+        return {"found": parse_elements(html, url), "error": None}
+    except Exception as error:  # noqa: BLE001 - whatever the markup makes the parser raise
+        return {"found": [], "error": f"{type(error).__name__}: {error}"}
+
+
 def _parse():
-    @F.pandas_udf(ELEMENT)
-    def run(html: pd.Series, url: pd.Series) -> pd.Series:
-        return pd.Series([parse_elements(h, u) for h, u in zip(html, url)])
+    @F.pandas_udf(PARSED)
+    def run(html: pd.Series, url: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_parsed(h, u) for h, u in zip(html, url)], columns=["found", "error"])
 
     # Keeps a filter on the result from calling the parser a second time.
     return run.asNondeterministic()
@@ -147,15 +165,23 @@ def page_rows(pages: DataFrame) -> DataFrame:
     )
 
 
+def parsed_pages(pages: DataFrame) -> DataFrame:
+    """``pages`` with ``page_id``, ``found`` (their content elements) and ``error`` (NULL unless the parser gave up)."""
+    return page_rows(pages).withColumn("_p", _parse()(F.col("html"), F.col("url"))).select("*", "_p.found", "_p.error").drop("_p")
+
+
 def extract_pages(pages: DataFrame) -> DataFrame:
-    """``document_id, page_number, html, url, title`` -> one row per content element with its section.
+    """``document_id, page_number, html, url, title`` -> one row per content element with its section."""
+    return page_elements(parsed_pages(pages))
+
+
+def page_elements(parsed: DataFrame) -> DataFrame:
+    """Content elements of :func:`parsed_pages`, one row each.
 
     Elements without text (and images without source) are dropped but keep their sequence number.
     A heading opens a section; what comes before belongs to the page's root section.
     """
-    named = page_rows(pages).select(
-        "document_id", "page_number", "source_url", "page_title", "page_id", _parse()(F.col("html"), F.col("url")).alias("found")
-    )
+    named = parsed.select("document_id", "page_number", "source_url", "page_title", "page_id", "found")
     rows = named.select("document_id", "page_number", "source_url", "page_title", "page_id", F.explode_outer("found").alias("e"))
     kept = rows.filter((F.col("e.text") != "") | F.col("e.image_url").isNotNull())
     is_heading = F.col("tag").isin(*HEADINGS)
@@ -172,7 +198,7 @@ def structured_pages(elements: DataFrame) -> DataFrame:
     A page is one row of input, so its elements fit an array again. Pages of a document
     stay separate rows, because a crawl can hold any number of them.
     """
-    item = F.struct("sequence", "element_id", "type", "text", "heading_level", "table_html", "table_markdown", "image_url", "alt_text")
+    item = F.struct("sequence", "element_id", "type", "text", "heading_level", "tag", "table_html", "table_markdown", "image_url", "alt_text", "title")
     by_page = elements.groupBy("document_id", "page_number", "page_id", "source_url", "page_title").agg(
         F.sort_array(F.collect_list(item)).alias("elements")
     )
@@ -184,21 +210,46 @@ def structured_pages(elements: DataFrame) -> DataFrame:
         "document_id", "page_number", "page_id", "source_url", "page_title", "nth",
         F.slice("elements", F.col("at") + 1, until - F.col("at")).alias("elements"),
     ).withColumn("head", F.when(F.get("elements", F.lit(0))["type"] == "heading", F.get("elements", F.lit(0))))
-    section = F.struct(
-        "nth", F.coalesce("head.text", "page_title").alias("heading"), F.coalesce("head.heading_level", F.lit(0)).alias("heading_level"),
+    named = sections.select(
+        "document_id", "page_number", "page_id", "source_url", "page_title", "nth", "elements",
+        F.coalesce("head.text", "page_title").alias("heading"), F.coalesce("head.heading_level", F.lit(0)).alias("heading_level"),
         F.when(F.col("head").isNull(), uuid5(F.col("page_id"), F.lit("root")))
         .otherwise(uuid5(F.col("page_id"), F.col("head.sequence").cast("string"), F.col("head.text"))).alias("section_id"),
-        "elements",
     )
-    return sections.groupBy("document_id", "page_number", "page_id", "source_url", F.col("page_title").alias("title")).agg(
+    section = F.struct("nth", "heading", "heading_level", "section_id", "section_path", "elements")
+    return section_paths(named).groupBy("document_id", "page_number", "page_id", "source_url", F.col("page_title").alias("title")).agg(
         F.sort_array(F.collect_list(section)).alias("sections")
     )
 
 
+def section_paths(sections: DataFrame, keys: tuple[str, ...] = ("document_id", "page_number", "page_id"), block: int = BLOCK_SECTIONS) -> DataFrame:
+    """``sections`` (``keys, nth, heading, heading_level``) with ``section_path``: the headings a section stands under, and its own.
+
+    A heading ends all earlier ones of its level or below, whatever levels are skipped. So the one of a level that still
+    holds is the last of that level, if none of a higher level came after it. The last heading per level is a running
+    maximum, which joins over blocks of sections; no page is walked heading by heading. A section of level 0 is the
+    page itself and stands under nothing.
+    """
+    levels = range(1, len(HEADINGS) + 1)
+    here = F.struct("nth", "heading")
+    last = {f"_h{n}": ("max", F.when(F.col("heading_level") == n, here)) for n in levels}
+    seen = running(sections, list(keys), F.floor(F.col("nth") / block), ["nth"], last)
+    place = lambda n: F.coalesce(F.col(f"_h{n}.nth"), F.lit(-1))
+    holds = lambda n: F.greatest(F.lit(-1), *(place(m) for m in range(1, n)), F.lit(-1)) < place(n)
+    path = F.array(*(F.when((F.col("heading_level") >= n) & holds(n), F.col(f"_h{n}.heading")) for n in levels))
+    path = F.when(F.col("heading_level") == 0, F.array("heading")).otherwise(F.array_compact(path))
+    return seen.withColumn("section_path", path).drop(*last)
+
+
 def all_pages(pages: DataFrame, structured: DataFrame) -> DataFrame:
-    """``structured`` with a row, without sections, for every crawled page that has no content element."""
+    """``structured`` with ``PAGE_FIELDS``, and a row, without sections, for every crawled page that has no content element."""
     key = ["document_id", "page_number", "page_id", "source_url", "title"]
-    every = page_rows(pages).withColumn("title", F.col("page_title")).select(*key).distinct()
+    field = lambda c, kind: F.col(c).cast(kind) if c in pages.columns else F.lit(None).cast(kind)
+    filled = lambda c, kind: F.coalesce(field(c, kind), F.array().cast(kind)) if kind.startswith("array") else field(c, kind)
+    named = (pages if "page_id" in pages.columns else page_rows(pages)).withColumn("title", F.col("page_title"))
+    fields = F.struct(*(filled(c, kind).alias(c) for c, kind in PAGE_FIELDS.items()))
+    # A page listed twice is one page.
+    every = named.select(*key, fields.alias("_f")).groupBy(*key).agg(F.max("_f").alias("_f")).select(*key, "_f.*")
     kind = structured.schema["sections"].dataType
     return every.join(structured, key, "left").withColumn("sections", F.coalesce("sections", F.array().cast(kind)))
 
