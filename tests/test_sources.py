@@ -196,8 +196,8 @@ def test_pdf_elements_and_splice(spark):
     docs = spark.read.schema(schema).json(spark.sparkContext.parallelize([json.dumps({"document_id": "d", "domain": "legal", "pages": [page]})]))
     content = nm.pdf_content(docs)
     images = spark.createDataFrame(
-        [("d", "legal", 0, 3, "img_p3_1.png", 0.0, 60.0), ("d", "legal", 0, 3, "img_p3_2.png", 0.0, 60.0), ("d", "legal", 0, 3, "img_p3_0.png", 0.0, 0.5)],
-        "document_id string, domain string, page int, page_number int, filename string, x double, y double",
+        [("d", "legal", 0, 3, 1, "img_p3_1.png", 0.0, 60.0), ("d", "legal", 0, 3, 2, "img_p3_2.png", 0.0, 60.0), ("d", "legal", 0, 3, 3, "img_p3_0.png", 0.0, 0.5)],
+        "document_id string, domain string, page int, page_number int, idx bigint, filename string, x double, y double",
     )
     found = nm.image_context(content, images)
     ctx = {r.filename: r for r in found.collect()}
