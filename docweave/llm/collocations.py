@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docweave.llm.common import SLICE_BYTES, mix, stored
+from docweave.llm.common import mix, stored
 
 # Words of the longest phrase.
 ORDER = 5
@@ -30,8 +30,11 @@ TABLE_BITS = 27
 # Blocks that pair counts are dealt in; one block of one task's counts is one row.
 BLOCKS_PER_TASK = 64
 
+# Bytes of text that one step of a task works on.
+PART_BYTES = 2 << 20
+
 # Pairs whose counts a task gathers before it hands them over.
-PAIR_STEP = 1 << 22
+PAIR_STEP = 1 << 21
 
 _KIND = np.zeros(256, np.uint8)  # 0: part of a word, 1: blank, 2: ends a piece
 _KIND[list(b" \t")] = 1
@@ -40,7 +43,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def parts_of(texts: pa.Array, langs: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, list[str], np.ndarray]]:
+def parts_of(texts: pa.Array, langs: pa.Array, limit: int = PART_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, list[str], np.ndarray]]:
     """(bytes, first byte of each text, languages, language number of each text), ``limit`` bytes of text or little more at
     a time. A longer text is cut where a piece ends, so no phrase is torn."""
     names = pc.fill_null(langs, NO_LANGUAGE).dictionary_encode()

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docweave.llm.chunk_bpe import byte_letters
 from docweave.llm.common import longs, slices, stored, words_of
 
 CAPACITY = 2048
@@ -24,6 +27,39 @@ SHARD_PIECES = 8192
 CACHE_WORDS, CACHE_LENGTH = 1_000_000, 64
 
 
+# ASCII signs that start a token of their own behind a letter, whatever follows: all but the apostrophe, which may start
+# an ending, and the signs of special strings.
+SIGNS = b'!"#$%&()*+,-./:;=?@[\\]^_`{}~'
+
+
+def apart(texts: pa.Array) -> pa.Array:
+    """``texts`` with a space between a letter and a sign of ``SIGNS`` behind it, and in lower case where no special string
+    can arise by that: the same tokens from far fewer distinct words. Letters are those of ASCII and Latin-1."""
+    whole = pc.fill_null(texts, "").cast(pa.large_string())
+    _, offsets, values = whole.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[whole.offset : whole.offset + len(whole) + 1]
+    data = np.frombuffer(values, np.uint8)[offsets[0] : offsets[-1]] if len(whole) and offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    kind = _KIND[data]
+    letter = kind == 1
+    # The second byte of a two-byte letter; 0x97 and 0xB7 are the signs for multiplication and division.
+    letter[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    cut = np.flatnonzero(letter[:-1] & (kind[1:] == 2)) + 1
+    if b"<|" not in data.tobytes():
+        data = _LOWER[data]
+    spaced = np.insert(data, cut, ord(" "))
+    # A sign at the start of a text may get its space at the end of the text before; no word changes by that.
+    moved = offsets + np.searchsorted(cut, offsets, side="left")
+    return pa.Array.from_buffers(pa.large_string(), len(whole), [None, pa.py_buffer(moved.astype(np.int64)), pa.py_buffer(spaced)])
+
+
+_KIND = np.zeros(256, np.uint8)  # 1: letter, 2: sign
+_KIND[[c for c in range(128) if chr(c).isalpha()]] = 1
+_KIND[list(SIGNS)] = 2
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+
+
 class WordEncoder:
     """Ids of texts by the tokenizers library, each distinct word once: no token of a word-end vocabulary crosses ASCII
     white space, and neither do its special strings."""
@@ -35,34 +71,34 @@ class WordEncoder:
         self.coder = Tokenizer.from_str(content)
         self.coder.no_truncation()
         self.coder.no_padding()
+        self.merges, self.letters = self.coder.model, byte_letters()
         self.room = room
         self.known: dict[str, bytes] = {}
 
     def _parts(self, words: list[str]) -> list[bytes]:
-        new = [w for w in words if w not in self.known]
-        ids = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, self.coder.encode_batch_fast(new, add_special_tokens=False))}
-        parts = [ids[w] if w in ids else self.known[w] for w in words]
-        if len(self.known) + len(ids) > self.room:
+        parts = list(map(self.known.get, words))
+        new = [i for i, part in enumerate(parts) if part is None]
+        if len(self.known) + len(new) > self.room:
             self.known.clear()
-        self.known.update((w, x) for w, x in ids.items() if len(w) <= CACHE_LENGTH)
+        # Small letters of Latin-1 are their own normal form and one piece of the split, so the merges alone decide.
+        plain = [i for i in new if words[i].isalpha() and words[i].islower() and max(words[i]) <= "ÿ"]
+        for i in plain:
+            word = words[i] if words[i].isascii() else "".join(map(self.letters.__getitem__, words[i].encode()))
+            parts[i] = array("I", [token.id for token in self.merges.tokenize(word)]).tobytes()
+        rest = [i for i in new if parts[i] is None]
+        for i, encoded in zip(rest, self.coder.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):
+            parts[i] = array("I", encoded.ids).tobytes()
+        self.known.update((words[i], parts[i]) for i in new if len(words[i]) <= CACHE_LENGTH)
         return parts
 
-    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, each followed by ``end``; the first place of every text and the end)."""
-        words, vocabulary, first = words_of(texts)
+    def encode(self, texts: pa.Array, end: int) -> list[bytes]:
+        """The ids of every text, followed by ``end``, as little-endian unsigned 32-bit integers."""
+        words, vocabulary, first = words_of(apart(texts))
         parts = self._parts(vocabulary.to_pylist())
-        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        pool = np.frombuffer(b"".join(parts), "<u4")
-        begin = np.concatenate([[0], np.cumsum(size)])
-        each = size[words]
-        upto = np.concatenate([[0], np.cumsum(each)])
-        total = int(upto[-1])
-        counts = np.diff(upto[first])
-        ids = np.full(total + len(texts), end, np.uint32)
-        place = np.arange(total)
-        source = np.repeat(begin[words] - upto[:-1], each) + place
-        ids[place + np.repeat(np.arange(len(texts)), counts)] = pool[source]
-        return ids, np.concatenate([[0], np.cumsum(counts + 1)])
+        each = list(map(parts.__getitem__, words.tolist()))
+        last = end.to_bytes(4, "little")
+        bounds = first.tolist()
+        return [b"".join(each[a:z]) + last for a, z in zip(bounds, bounds[1:])]
 
 
 _LOADED: dict[int, WordEncoder] = {}
@@ -95,20 +131,19 @@ def token_pieces(
         for batch in batches:
             for offset, length in slices(batch.column(1)):
                 part = batch.slice(offset, length)
-                ids, first = encoder.encode(part.column(1), end)
-                sizes = np.diff(first)
+                ids = encoder.encode(part.column(1), end)
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
                 pieces = -(-sizes // capacity)
                 row = np.repeat(np.arange(len(sizes)), pieces)
                 number = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
                 start = number * capacity
                 held = np.minimum(capacity, sizes[row] - start)
-                data = memoryview(ids.astype("<u4", copy=False)).cast("B")
-                at = ((first[row] + start) * 4).tolist()
-                cut = [data[a : a + 4 * n] for a, n in zip(at, held.tolist())]
+                step = 4 * capacity
+                cut = [x[a : a + step] for x in ids for a in range(0, len(x), step)]
                 columns = [part.column(0).take(pa.array(row)), pa.array(number.astype(np.int32)), longs(start), longs(held)]
                 columns.append(longs(np.fromiter(map(zlib.crc32, cut), np.int64, len(cut))))
                 if keep_ids:
-                    columns.append(pa.array([bytes(x) for x in cut], pa.binary()))
+                    columns.append(pa.array(cut, pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).mapInArrow(run, schema)

@@ -59,7 +59,7 @@ def test_bins_are_near_the_least_number():
 def test_documents_against_the_library(spark):
     rng = random.Random(7)
     letters = "ab éßΣİ'\n\t,.<|>12 ́語"
-    texts = [None, "", " \n", "<|endoftext|>a <|startoftext|>", "ΟΔΟΣ it's we'LL", "é ́e", "many words " * 3000, "x" * 5000, "語" * 4096]
+    texts = [None, "", " \n", "<|endoftext|>a <|startoftext|>", "ΟΔΟΣ it's we'LL", "é ́e", "many words " * 3000, "x" * 5000, "語" * 4096, "<|STARTOFTEXT|> A,b", "É,é.×,a÷.b", ", starts", "ends a", "E\u0301,e\u0301. A\u030a", "it's,'s we'll.I'M", "a,\u0301b"]
     texts += ["".join(rng.choices(letters, k=rng.randint(0, 300))) for _ in range(150)]
     rows = [(i, t, "old", 1) for i, t in enumerate(texts)] + [(3, texts[3], "old", 1)] * 2 + [(None, "null id", None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, sequence_id string, offset int")
