@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions.text import token_count
@@ -37,6 +38,13 @@ def hashed_vector(text):
     return run(text)
 
 
+def answered(store: Store, asked: DataFrame, params: SearchParams, floor: float) -> DataFrame:
+    """Answers to ``query_id, query`` from everything that is indexed."""
+    queries = embed_sparse(asked.withColumn("vector", hashed_vector(F.col("query"))), "query")
+    hits = hybrid_search(corpus.searchable_units(store), queries, store.read("domain_centroids"), store.read("parent_sections"), params)
+    return an.answer_queries(hits, queries, floor)
+
+
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="docweave")
     parser.add_argument("--store", required=True)
@@ -62,6 +70,9 @@ def arguments() -> argparse.ArgumentParser:
     ask.add_argument("--route-k", type=int, default=DEFAULTS.route_k)
     ask.add_argument("--no-parents", action="store_true")
     ask.add_argument("--context-min-score", type=float, default=DEFAULTS.score_floor)
+    run = commands.add_parser("evaluation-run")
+    run.add_argument("--questions", required=True, help="parquet folder with item_id, question, ground_truth, domain")
+    run.add_argument("--limit", type=int)
     commands.add_parser("evaluate").add_argument("--scores", required=True, help="CSV with domain and metric columns")
     return parser
 
@@ -95,11 +106,14 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "stats":
         corpus.retrieval_units(store).groupBy("source_table", "domain").count().show()
     elif args.command == "query":
-        asked = spark.read.parquet(args.questions)
-        queries = embed_sparse(asked.withColumn("vector", hashed_vector(F.col("query"))), "query")
         params = SearchParams(rerank_k=args.top_k, route_k=args.route_k, expand_parents=not args.no_parents)
-        hits = hybrid_search(corpus.searchable_units(store), queries, store.read("domain_centroids"), store.read("parent_sections"), params)
-        store.replace("answers", an.answer_queries(hits, queries, args.context_min_score)).select("query", "answer").show(truncate=False)
+        told = answered(store, spark.read.parquet(args.questions), params, args.context_min_score)
+        store.replace("answers", told).select("query", "answer").show(truncate=False)
+    elif args.command == "evaluation-run":
+        answer = lambda asked: answered(store, asked, SearchParams(), DEFAULTS.score_floor)
+        rows = ev.evaluation_run(store, spark.read.parquet(args.questions), answer, limit=args.limit)
+        ev.slice_scores(rows).orderBy("slice").show(truncate=False)
+        ev.coverage(rows).show()
     elif args.command == "evaluate":
         scores = spark.read.option("header", True).csv(args.scores)
         metrics = [F.col(m).cast("double").alias(m) for m in ev.METRICS if m in scores.columns]

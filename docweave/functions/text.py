@@ -40,7 +40,7 @@ def clean_title(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Offline tokenizer: the whitespace-separated words of the text."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), "")
 
 
 def token_count(text: Column) -> Column:

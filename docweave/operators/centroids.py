@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,20 +17,50 @@ from docweave.operators.topk import scan_topk
 def domain_centroids(units: DataFrame) -> DataFrame:
     """``(domain, vector, source_count)``: mean vector of every domain's embedded units.
 
-    Sums per (domain, position) combine on the map side, so a domain that holds most of
-    the units still reaches the reducers as one row per position and task.
+    A task adds up whole vectors and hands over one row per domain, so what is shuffled depends on tasks and domains,
+    not on units or places. The sums of a domain are added in a fixed order of tasks.
     """
-    embedded = units.filter(F.col("vector").isNotNull())
-    places = embedded.select("domain", F.posexplode("vector").alias("place", "value"))
-    means = places.groupBy("domain", "place").agg(
-        F.avg(F.col("value").cast("double")).alias("value"), F.count(F.lit(1)).alias("n")
-    )
-    return means.groupBy("domain").agg(
-        F.expr("transform(sort_array(collect_list(struct(place, value))), x -> x.value)").alias("vector"),
-        F.max("n").alias("source_count"),
+    embedded = units.filter(F.col("vector").isNotNull()).select("domain", F.col("vector").cast("array<double>").alias("vector"))
+    partial = embedded.mapInArrow(_partial_sums, SUMS)
+    return partial.groupBy("domain").applyInArrow(_mean, "domain string, vector array<double>, source_count bigint")
+
+
+SUMS = "domain string, part int, total array<double>, n bigint"
+
+
+def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums: dict[str | None, np.ndarray] = {}
+    counts: dict[str | None, int] = {}
+    for batch in batches:
+        names, vectors = batch.column(0).dictionary_encode(), batch.column(1)
+        if not batch.num_rows:
+            continue
+        width = len(vectors[0])
+        flat = vectors.flatten().to_numpy(zero_copy_only=False)
+        if len(flat) != width * batch.num_rows:
+            raise ValueError("vectors of different lengths")
+        codes = pc.fill_null(names.indices, len(names.dictionary)).to_numpy(zero_copy_only=False)
+        for code in np.unique(codes).tolist():
+            name = names.dictionary[code].as_py() if code < len(names.dictionary) else None
+            rows = flat.reshape(-1, width)[codes == code]
+            sums[name] = sums.get(name, 0.0) + rows.sum(axis=0)
+            counts[name] = counts.get(name, 0) + len(rows)
+    part = TaskContext.get().partitionId()
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(sums), pa.string()), pa.array([part] * len(sums), pa.int32()), pa.array(list(sums.values()), pa.list_(pa.float64())), pa.array(list(counts.values()), pa.int64())],
+        names=["domain", "part", "total", "n"],
     )
 
 
+def _mean(table: pa.Table) -> pa.Table:
+    table = table.sort_by("part")
+    rows = [np.array(x) for x in table["total"].to_pylist()]
+    if len({len(x) for x in rows}) > 1:
+        raise ValueError("vectors of different lengths")
+    n = pc.sum(table["n"]).as_py()
+    return pa.table({"domain": table["domain"][:1], "vector": pa.array([np.sum(rows, axis=0) / n], pa.list_(pa.float64())), "source_count": pa.array([n], pa.int64())})
+
+
 def route(queries: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
     """``(query_id, domain, distance, rank)``: the k nearest domains of every query."""
     points = centroids.select(F.col("domain").cast("string").alias("unit_id"), "domain", "vector")

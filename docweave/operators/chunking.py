@@ -145,23 +145,71 @@ def exit_table(counts: np.ndarray, budget: int) -> list[int]:
     return [int(table[0])] if (table == table[0]).all() else table.tolist()
 
 
-def _chain():
-    """Entry state of every block of a document from the exit tables of its blocks."""
+# Exit tables that one row holds; a group of them is composed into one.
+FAN = 1000
+
+
+def after(table: np.ndarray, states: np.ndarray) -> np.ndarray:
+    """Exit states of a block for these entry states; a table of one value has it for every entry."""
+    return np.full_like(states, table[0]) if len(table) == 1 else np.asarray(table)[states + 1]
+
+
+def compose(tables: list[np.ndarray], budget: int) -> list[int]:
+    """The exit table of some neighbouring blocks as if they were one."""
+    states = np.arange(CLOSED, budget + 2)
+    for table in tables:
+        states = after(table, states)
+    return [int(states[0])] if (states == states[0]).all() else states.tolist()
+
 
+def _composed(budget: int):
     @F.pandas_udf("array<int>")
     def run(tables: pd.Series) -> pd.Series:
-        def entries(blocks) -> list[int]:
-            state, found = CLOSED, []
+        return tables.map(lambda blocks: compose(blocks, budget))
+
+    return run
+
+
+def _chain():
+    """Entry state of each of some neighbouring blocks from that of the first one."""
+
+    @F.pandas_udf("array<int>")
+    def run(tables: pd.Series, start: pd.Series) -> pd.Series:
+        def entries(blocks, state: int) -> list[int]:
+            found = []
             for table in blocks:
                 found.append(state)
                 state = int(table[0] if len(table) == 1 else table[state + 1])
             return found
 
-        return tables.map(entries)
+        return pd.Series([entries(blocks, int(state)) for blocks, state in zip(tables, start)])
 
     return run
 
 
+def block_entries(tables: DataFrame, budget: int, fan: int = FAN) -> DataFrame:
+    """``(document_id, block, entry)``: the state that every block is entered with, from ``(document_id, block, exits)``.
+
+    Tables compose, so they form a tree: ``fan`` blocks make a group, whose table tells what it does as a whole. The groups
+    of a document are chained first, then the blocks inside each group, so no row holds more than ``fan`` tables
+    below ``fan * fan`` blocks, some billion elements.
+    """
+
+    def grouped(level: DataFrame, by: Column) -> DataFrame:
+        listed = F.sort_array(F.collect_list(F.struct("block", "exits")))
+        return level.groupBy("document_id", by.alias("above")).agg(listed.alias("t"))
+
+    def chained(groups: DataFrame, start: Column) -> DataFrame:
+        told = groups.select("document_id", F.col("t.block").alias("blocks"), _chain()(F.col("t.exits"), start).alias("entries"))
+        return told.select("document_id", F.inline_outer(F.arrays_zip("blocks", "entries")).alias("block", "entry"))
+
+    low = grouped(tables, F.floor(F.col("block") / fan))
+    high = low.select("document_id", F.col("above").alias("block"), _composed(budget)(F.col("t.exits")).alias("exits"))
+    first = chained(grouped(high, F.lit(0)), F.lit(CLOSED))
+    entered = low.join(first.withColumnRenamed("block", "above"), ["document_id", "above"])
+    return chained(entered, F.col("entry"))
+
+
 def _exit_tables(budget: int):
     @F.pandas_udf("array<int>")
     def run(counts: pd.Series) -> pd.Series:
@@ -202,10 +250,7 @@ def assign_parents(elements: DataFrame, params: ChunkParams = ChunkParams()) ->
     tables = _skeleton(rows.join(long, "document_id", "left_semi")).select(
         "document_id", "block", _exit_tables(params.parent_max)(F.col("items.size")).alias("exits")
     )
-    chained = tables.groupBy("document_id").agg(F.sort_array(F.collect_list(F.struct("block", "exits"))).alias("t")).select(
-        "document_id", F.col("t.block").alias("blocks"), _chain()(F.col("t.exits")).alias("entries")
-    )
-    entries = chained.select("document_id", F.inline_outer(F.arrays_zip("blocks", "entries")).alias("block", "entry"))
+    entries = block_entries(tables, params.parent_max)
 
     folded = (
         blocks.join(entries, ["document_id", "block"], "left")

@@ -34,8 +34,14 @@ def numbered(hits: DataFrame) -> DataFrame:
 
 
 def citations(hits: DataFrame) -> DataFrame:
+    """One row per hit with its label and ``metadata``: the hit's own, else an empty map."""
     label = F.concat(F.lit("["), F.col("number").cast("string"), F.lit("]"))
-    return numbered(hits).select("query_id", "document_id", F.col("unit_id").alias("chunk_id"), label.alias("label"), "number")
+    own = F.col("metadata").cast("map<string,string>") if "metadata" in hits.columns else F.lit(None).cast("map<string,string>")
+    # Hits are sorted as a list, and maps have no order.
+    listed = hits.withColumn("metadata", F.map_entries(F.coalesce(own, F.create_map().cast("map<string,string>"))))
+    return numbered(listed).select(
+        "query_id", "document_id", F.col("unit_id").alias("chunk_id"), label.alias("label"), "number", F.map_from_entries("metadata").alias("metadata")
+    )
 
 
 def context_blocks(hits: DataFrame) -> DataFrame:

@@ -179,33 +179,63 @@ def _image_files(store: Store, image_dir: str) -> DataFrame:
     return files.select(part(1).alias("domain"), part(2).alias("folder"), part(3).alias("filename"), F.sha2("content", 256).alias("sha"))
 
 
-def captioned_images(store: Store, content: DataFrame, caption_model: str = "none", model: cp.CaptionModel | None = None) -> DataFrame:
-    """Kept images of ``pdf_images`` on their pages, with the caption of their group as ``text``.
-
-    The first image of a group speaks for all of it: its surroundings are described and its content is captioned, by
-    the stored captions or ``model``, else by the surroundings alone.
-    """
+def _image_leads(store: Store, content: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(kept images on their pages, the first image of every group with its surroundings)."""
     kept = store.read("pdf_images").filter("reason IS NULL")
     placed = cut_lineage(nm.on_pages(kept.drop("domain"), store.read("pdf_pages")))
     lead = placed.groupBy("document_id", "group_id").agg(F.min("idx").alias("idx"))
     context = nm.image_context(content, placed.join(lead, ["document_id", "group_id", "idx"], "left_semi"))
-    rows = context.withColumn("path_ok", F.lit(True))
+    return placed, context.withColumn("path_ok", F.lit(True))
+
+
+def caption(store: Store, model_name: str, make_client: cp.ClientMaker, batch_rows: int = 1000, tries: int = cp.TRIES, pause: float = 1.0) -> dict[str, int]:
+    """Captions of all kept images -> ``captions``; counts of what was made and what failed.
+
+    A content is asked for once per model, whatever its number of images. Contents are dealt in batches by their hash,
+    and each batch is stored before the next one starts, so a run that died has lost one batch at most. Failed
+    contents aren't stored: the next run asks for them again.
+    """
+    _, leads = _image_leads(store, store.read("pdf_content"))
+    prompts = leads.filter("sha IS NOT NULL").groupBy("sha").agg(F.min(tx.caption_prompt(nm.context_fields())).alias("prompt"))
+    if store.exists("captions"):
+        known = store.read("captions").filter(F.col("model") == model_name)
+        prompts = prompts.join(known.select("sha"), "sha", "left_anti")
+    prompts = cut_lineage(prompts)
+    number = 1 + prompts.count() // batch_rows
+    counts = {"generated": 0, "generation_failed": 0}
+    for batch in range(number):
+        asked = prompts.filter(F.pmod(F.xxhash64("sha"), F.lit(number)) == batch)
+        seen = Observation(f"caption-{batch}")
+        made = cp.made_captions(asked, make_client, tries, pause).observe(
+            seen, F.count_if(F.col("text").isNotNull()).alias("generated"), F.count_if(F.col("text").isNull()).alias("generation_failed")
+        )
+        made = cut_lineage(made)
+        rows = made.filter("text IS NOT NULL").select(F.lit(model_name).alias("model"), "sha", "text")
+        store.merge("captions", rows.withColumn("caption_id", F.concat_ws(":", "model", "sha")), "caption_id")
+        counts = {name: counts[name] + seen.get[name] for name in counts}
+    return counts
+
+
+def captioned_images(store: Store, content: DataFrame, model_name: str = "none") -> DataFrame:
+    """Kept images of ``pdf_images`` on their pages, with the caption of their group as ``text``: what ``caption`` has stored
+    for the content of the group's first image, else the surroundings of that image."""
+    placed, leads = _image_leads(store, content)
     cache = store.read("captions") if store.exists("captions") else store.spark.createDataFrame([], "model string, sha string, text string")
-    told = cp.caption_images(rows, cache, caption_model, nm.context_fields(), model)
+    told = cp.caption_images(leads, cache, model_name, nm.context_fields())
     captions = told.groupBy("document_id", "group_id").agg(F.min(F.struct("idx", "caption")).alias("c"))
     spots = nm.image_context(content, placed).select(*placed.columns, "below")
     named = spots.join(captions.select("document_id", "group_id", F.col("c.caption").alias("caption")), ["document_id", "group_id"], "left")
     return named.withColumn("text", F.coalesce("caption", F.lit(tx.NO_CAPTION))).drop("caption")
 
 
-def normalize(store: Store) -> DataFrame:
-    """Parsed tables -> ``elements``."""
+def normalize(store: Store, caption_model: str = "none") -> DataFrame:
+    """Parsed tables -> ``elements``; images have the stored captions of ``caption_model``."""
     streams = []
     if store.exists("structured_html"):
         streams.append(nm.normalize_html(store.read("structured_html")))
     if store.exists("pdf_content"):
         content = store.read("pdf_content")
-        streams.append(nm.normalize_pdf(content, captioned_images(store, content)))
+        streams.append(nm.normalize_pdf(content, captioned_images(store, content, caption_model)))
     records = []
     for table, key in (("category_docs", "category_doc_id"), ("profiles", "profile_id")):
         if store.exists(table):

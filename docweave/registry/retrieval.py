@@ -153,7 +153,10 @@ def score_floor(spark: SparkSession, sf: str) -> DataFrame:
 
 def citations(spark: SparkSession, sf: str) -> DataFrame:
     hits, _ = _hits(spark, sf)
-    return an.citations(fuse.score_floor(hits, DEFAULTS.score_floor))
+    held = fuse.score_floor(hits, DEFAULTS.score_floor)
+    # Hits of odd documents carry metadata, the others have none.
+    held = held.withColumn("metadata", F.when(F.pmod(F.col("document_id").cast("bigint"), F.lit(2)) == 1, F.create_map(F.lit("file_name"), F.col("file_name"))))
+    return an.citations(held).select("query_id", "document_id", "chunk_id", "label", "number", F.element_at("metadata", "file_name").alias("file_name"))
 
 
 def context_blocks(spark: SparkSession, sf: str) -> DataFrame:
@@ -340,7 +343,8 @@ ORACLES = {
     )
     + " SELECT query_id, unit_id, round(rerank_score, 6) AS rerank_score, rank::INT AS rank FROM kept",
     "citations": _HYBRID + "," + _floored(0.1)
-    + """ SELECT query_id, document_id, unit_id AS chunk_id, '[' || number || ']' AS label, number::INT AS number FROM numbered""",
+    + """ SELECT query_id, document_id, unit_id AS chunk_id, '[' || number || ']' AS label, number::INT AS number,
+    CASE WHEN document_id::BIGINT % 2 = 1 THEN file_name END AS file_name FROM numbered""",
     "context_blocks": _HYBRID + "," + _floored(0.1) + "," + _BLOCKS
     + " SELECT query_id, md5(context) AS context_md5, length(context)::INT AS context_chars, sources FROM blocks",
     "answers": _HYBRID + "," + _floored(0.1) + "," + _BLOCKS

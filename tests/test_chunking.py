@@ -147,3 +147,22 @@ def test_image_paths_take_first_file_per_reference(spark):
     files = spark.createDataFrame([("law", "a", f"img/law/a/{n}") for n in ("i1.png", "i2.png", "i2.jpg")], "domain string, slug string, path string")
     row = ch.resolve_images(kids, files).first()
     assert row.image_paths == ["img/law/a/i2.jpg", "img/law/a/i1.png", "img/law/a/i2.jpg"]
+
+
+def test_entries_from_a_tree_of_tables(spark):
+    rng = np.random.default_rng(8)
+    budget = 30
+    rows, expected = [], {}
+    for doc, blocks in (("a", 23), ("b", 1), ("c", 7)):
+        state = ch.CLOSED
+        for block in range(blocks):
+            counts = rng.integers(1, 25, rng.integers(1, 6))
+            if rng.random() < 0.1:
+                counts[0] = ch.HEADING
+            expected[doc, block] = state
+            state = min(ch.fold(counts, state, budget)[1], budget + 1)
+            rows.append((doc, block, ch.exit_table(counts, budget)))
+    tables = spark.createDataFrame(rows, "document_id string, block bigint, exits array<int>")
+    for fan in (2, 3, 1000):
+        found = ch.block_entries(tables, budget, fan)
+        assert {(r.document_id, r.block): r.entry for r in found.collect()} == expected

@@ -50,6 +50,17 @@ def test_command_line(spark, tmp_path, capsys):
     (tmp_path / "scores.csv").write_text("domain,faithfulness,context_precision\nmedical,1.0,\nout_of_scope,0.5,NaN\n")
     run("evaluate", "--scores", str(tmp_path / "scores.csv"))
     assert "in_scope" in capsys.readouterr().out
+    items = [(1, "Does glucagon raise glucose?", "Glucagon raises glucose.", "medical"), (2, "Who won?", None, "out_of_scope"), (3, "Glucose?", "Glucose", None)]
+    spark.createDataFrame(items, "item_id bigint, question string, ground_truth string, domain string").write.parquet(str(tmp_path / "items"))
+    run("evaluation-run", "--questions", str(tmp_path / "items"), "--limit", "2")
+    first = {r.item_id: r for r in done.read("evaluation_rows").collect()}
+    assert set(first) == {1, 2} and first[1].answer == "Glucagon raises glucose." and first[1].faithfulness == first[1].context_recall == 1.0
+    # What is answered stays, whatever is asked for later.
+    done.merge("evaluation_rows", done.read("evaluation_rows").filter("item_id = 1").selectExpr("* EXCEPT (answer)", "'kept' AS answer"), "item_id")
+    run("evaluation-run", "--questions", str(tmp_path / "items"))
+    after = {r.item_id: r for r in done.read("evaluation_rows").collect()}
+    assert set(after) == {1, 2, 3} and after[1].answer == "kept" and after[3].domain == "unknown"
+    assert "domain:unknown" in capsys.readouterr().out
 
 
 def test_arrivals_are_indexed_once(spark, tmp_path):

@@ -91,6 +91,27 @@ def test_pdf_outputs_become_elements(spark, tmp_path, capsys):
     assert elements[2].text == "Image context: Section: # Top Nearby text before: one Nearby text after: two"
     assert elements[5].text == "Image element without an available generated caption."
 
+    # Captions are made once per content, a batch at a time; what fails is asked for again.
+    def client():
+        tried = {}
+
+        def ask(sha, prompt):
+            tried[sha] = tried.get(sha, 0) + 1
+            if "Nearby text before: one" in prompt and tried[sha] < 3:
+                raise TimeoutError
+            return "  a   chart " if "Nearby" in prompt else ""
+
+        return ask
+
+    kept = {r.filename: r.sha for r in store.read("pdf_images").filter("reason IS NULL").collect()}
+    assert set(kept) == {"img_p1_9.png", "img_p1_2.png", "img_p2_1.png", "img_p7_1.png"}
+    assert corpus.caption(store, "m", client, batch_rows=2, pause=0.0) == {"generated": 2, "generation_failed": 1}
+    assert {(r.model, r.sha, r.text) for r in store.read("captions").collect()} == {("m", kept[n], "a chart") for n in ("img_p1_9.png", "img_p1_2.png")}
+    assert corpus.caption(store, "m", lambda: lambda sha, prompt: "late", pause=0.0) == {"generated": 1, "generation_failed": 0}
+    texts = {r.element_id.split(":")[-1]: r.text for r in corpus.normalize(store, "m").filter("element_type = 'image'").collect()}
+    assert texts == {"img_p1_9": "a chart", "img_p1_2": "a chart", "img_p2_1": "late"}
+    run("normalize")
+
     # Mended outputs are picked up; what is parsed stays as it is.
     put("B", "structured", {"pages": [page(1, text("mended", 1))]}), put("C", "images", {})
     before = {os.path.join(d, f) for d, _, fs in os.walk(os.path.join(root, "pdf_content")) for f in fs if f.endswith(".parquet")}
