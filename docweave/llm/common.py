@@ -110,4 +110,14 @@ def stored(df: DataFrame) -> DataFrame:
         cut_lineage(spark.range(0))  # names the folder
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_path = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` whose last reader has finished; what was made of them must be stored itself."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

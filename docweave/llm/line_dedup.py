@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.common import stored
+from docweave.llm.common import release, stored
 
 # White space besides the space and the newline; it is read as a space, so that words are split at one character.
-OTHER_SPACES = "\t\x0b\x0c\r"
+OTHER_SPACES = r"[\t\x0b\x0c\r]"
 
 # Hash buckets of the rarity table; a table row is one integer, whatever the number of distinct tokens.
 RARITY_BITS = 21
@@ -21,13 +23,14 @@ PLACE = ("doc_id", "line_no")
 # Rarest tokens of a class by which it is compared with the first class that has them.
 LEADS = 4
 
-# What a row of a token's list carries besides the class: place, size, position of the token, end and size of the prefix.
-CARRIED = (*PLACE, "n", "i", "end", "p")
+# What a row of a token's list carries besides the class: place, size, position of the token, end and size of the prefix,
+# parities of the tokens.
+CARRIED = (*PLACE, "n", "i", "end", "p", "odd")
 
 
 def lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, line) of (doc_id, text)."""
-    spaced = F.translate("text", OTHER_SPACES, " " * len(OTHER_SPACES))
+    spaced = F.regexp_replace("text", OTHER_SPACES, " ")
     return docs.select("doc_id", F.posexplode(F.split(spaced, "\n")).alias("line_no", "line"))
 
 
@@ -39,15 +42,16 @@ def _bucket(token: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(token), 64 - RARITY_BITS).cast("int")
 
 
-def rarity(split: DataFrame) -> DataFrame:
-    """One row: for every hash bucket its rank when buckets are ordered by the number of tokens in them.
+def rarity(docs: DataFrame) -> DataFrame:
+    """One row: for every hash bucket its rank when buckets are ordered by the number of tokens of ``docs`` in them.
 
     Tokens are counted on the map side; the table has ``2 ** RARITY_BITS`` integers at any input size. Tokens that
     share a bucket are ordered by hash, so the order of tokens is total and the join exact.
     """
-    spark = split.sparkSession
+    spark = docs.sparkSession
     all_buckets = spark.range(1 << RARITY_BITS).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("bigint").alias("n"))
-    counted = split.select(F.explode(tokens()).alias("t")).select(_bucket(F.col("t")).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    words = F.split(F.regexp_replace("text", r"[\t\n\x0b\x0c\r]", " "), " ")
+    counted = docs.select(F.explode(words).alias("t")).filter("t <> ''").select(_bucket(F.col("t")).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     summed = counted.unionByName(all_buckets).groupBy("bucket").agg(F.sum("n").alias("n"))
     ordered = summed.agg(F.sort_array(F.collect_list(F.struct("n", "bucket"))).alias("x"))
     ranked = ordered.select(F.posexplode("x").alias("rank", "e")).select("rank", F.col("e.bucket").alias("bucket"))
@@ -83,6 +87,12 @@ def _prefix() -> Column:
     return F.transform(F.slice("keys", 1, length), lambda k: F.shiftright(k, 32).cast("int"))
 
 
+def _parities() -> Column:
+    """64 bits: each is the parity of the tokens whose hash chooses it. Where two lines differ in a bit, some token is in one
+    of them only, and other bits have other tokens; so they differ in no more bits than tokens."""
+    return F.expr("aggregate(keys, 0L, (bits, k) -> bits ^ shiftleft(1L, cast(k & 63 AS INT)))")
+
+
 def _similar(overlap: Column, a: Column, b: Column) -> Column:
     """Jaccard of 4/5 or more in whole numbers; also an upper bound of the overlap can be tested."""
     return overlap * 9 >= (a + b) * 4
@@ -102,14 +112,16 @@ def _fetch(docs: DataFrame, ranks: DataFrame, wanted: DataFrame, count: int) ->
 
 
 def _verified(docs: DataFrame, ranks: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Ids ``x`` of the pairs (x, y) whose Jaccard is 4/5 or more."""
+    """Ids ``x`` of the pairs (x, y) whose Jaccard is 4/5 or more, stored."""
     pairs = stored(pairs)
     ends = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct()
     wanted = stored(classes.join(ends, "id").select("id", "doc_id", "line_no", "c1"))
     sets = _fetch(docs, ranks, wanted, wanted.count())
     left, right = (sets.withColumnsRenamed({"id": side, "keys": f"keys_{side}"}) for side in "xy")
     overlap = F.size(F.array_intersect("keys_x", "keys_y"))
-    return pairs.join(left, "x").join(right, "y").filter(_similar(overlap, F.size("keys_x"), F.size("keys_y"))).select("x").distinct()
+    found = stored(pairs.join(left, "x").join(right, "y").filter(_similar(overlap, F.size("keys_x"), F.size("keys_y"))).select("x").distinct())
+    release(pairs, wanted, sets)
+    return found
 
 
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -120,7 +132,8 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     1. Lines of the same tokens are one class, and its first line stands for it: copies cost one row.
     2. A class lists its rarest tokens. Similar classes share one of them (prefix filter), have sizes within 4/5
-       (length filter), and the tokens behind the shared ones must suffice (positional filter).
+       (length filter), differ in few of 64 parities of tokens, and the tokens behind the shared ones must suffice
+       (positional filter). All of it is part of the join condition, so no other pair is shuffled.
     3. Each class is first compared with the first class that has one of its ``LEADS`` rarest tokens. In a group of near copies this settles
        nearly all of them, so the pairs inside the group aren't made.
     4. Classes still open are joined with all earlier ones on their lists. The join's two inputs are plain shuffles,
@@ -130,24 +143,25 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     (same id) have the same places, of which neither is earlier. Empty table: no rows. Other columns are ignored.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    ranks = stored(rarity(lines(docs)))
+    ranks = stored(rarity(docs))
     keyed = _keys(lines(docs), ranks, *PLACE).filter(F.size("keys") > 0)
     listed = keyed.select(*PLACE, F.xxhash64("keys").alias("c1"), F.xxhash64(F.lit(7), "keys").alias("c2"), F.size("keys").alias("n"), "keys")
-    all_lines = stored(listed.select(*PLACE, "c1", "c2", "n", _prefix().alias("prefix")))
+    all_lines = stored(listed.select(*PLACE, "c1", "c2", "n", _prefix().alias("prefix"), _parities().alias("odd")))
 
     # Same content, same size and prefix.
     first = F.min(F.struct(*PLACE)).alias("at")
-    classes = all_lines.groupBy("c1", "c2").agg(first, F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    classes = stored(classes.select(F.monotonically_increasing_id().alias("id"), "c1", "c2", "at.*", "n", "prefix"))
+    classes = all_lines.groupBy("c1", "c2").agg(first, F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("odd").alias("odd"))
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("id"), "c1", "c2", "at.*", "n", "prefix", "odd"))
 
     def postings(tokens: Column) -> DataFrame:
         end = F.element_at("prefix", -1).alias("end")
-        return classes.select(F.posexplode(tokens).alias("i", "token"), "id", *PLACE, "n", end, F.size("prefix").alias("p"))
+        return classes.select(F.posexplode(tokens).alias("i", "token"), "id", *PLACE, "n", end, F.size("prefix").alias("p"), "odd")
 
-    by_token = Window.partitionBy("token").orderBy(*PLACE, "id")
-    lead = F.first(F.struct("id", *CARRIED)).over(by_token.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    led = postings(F.slice("prefix", 1, LEADS)).select("id", *CARRIED, lead.alias("lead")).filter("lead.id <> id")
-    settled = stored(_verified(docs, ranks, classes, _pairs(led.select(*_side("x"), *_side("y", "lead.")), leads=True)))
+    # The first class of a token is a minimum, combined before the shuffle; joined back, a hot token is split like any other.
+    leading = postings(F.slice("prefix", 1, LEADS))
+    leads = leading.groupBy("token").agg(F.min(F.struct(*PLACE, "id", *CARRIED[2:])).alias("lead"))
+    led = leading.join(leads, "token").select("id", *CARRIED, "lead").filter("lead.id <> id")
+    settled = _verified(docs, ranks, classes, _pairs(led.select(*_side("x"), *_side("y", "lead.")), leads=True))
 
     # Both inputs of the join are the same shuffle; what is settled is left out behind it.
     dealt = postings(F.col("prefix")).repartition("token")
@@ -156,7 +170,9 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     open_ = dealt.join(F.broadcast(done) if done.count() <= BROADCAST_LINES else done, "id", "left").filter("done IS NULL")
     left, right = open_.select("token", *_side("x")), dealt.select(F.col("token").alias("t"), *_side("y"))
     two = _pairs(left.join(right, (F.col("token") == F.col("t")) & (F.col("x") != F.col("y")) & _earlier() & _close()))
-    matched = settled.unionByName(_verified(docs, ranks, classes, two)).distinct()
+    verified = _verified(docs, ranks, classes, two)
+    release(ranks)
+    matched = settled.unionByName(verified).distinct()
 
     marked = classes.join(matched.withColumnRenamed("x", "id").withColumn("hit", F.lit(True)), "id", "left").select(
         "c1", "c2", F.struct(*PLACE).alias("at"), F.coalesce("hit", F.lit(False)).alias("hit")
@@ -175,10 +191,12 @@ def _earlier() -> Column:
 
 
 def _close() -> Column:
-    """Length filter, and the positional filter for one shared token: at most min(i) + 1 + the rest can be shared."""
+    """Length filter; at most a ninth of the sizes' sum may differ, so no more parities; and the positional filter for one
+    shared token: at most min(i) + 1 + the rest can be shared."""
     n_x, n_y, i_x, i_y = (F.col(c) for c in ("n_x", "n_y", "i_x", "i_y"))
     length = (n_x * 5 >= n_y * 4) & (n_y * 5 >= n_x * 4)
-    return length & _similar(F.least(i_x, i_y) + 1 + F.least(n_x - i_x - 1, n_y - i_y - 1), n_x, n_y)
+    differ = F.bit_count(F.col("odd_x").bitwiseXOR(F.col("odd_y"))) * 9 <= n_x + n_y
+    return length & differ & _similar(F.least(i_x, i_y) + 1 + F.least(n_x - i_x - 1, n_y - i_y - 1), n_x, n_y)
 
 
 def _pairs(shared: DataFrame, leads: bool = False) -> DataFrame:
@@ -212,12 +230,13 @@ def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     A column ``n_chars``, if there is one, is not recomputed.
     """
     repeated = stored(repeated_lines(docs, doc_id, text).select(*PLACE).distinct())
-    gone = repeated.groupBy("doc_id").agg(F.collect_list("line_no").alias("_gone")).withColumnRenamed("doc_id", "_of")
+    of, went = f"of_{uuid.uuid4().hex}", f"gone_{uuid.uuid4().hex}"  # no column of ``docs`` has these names
+    gone = repeated.groupBy(F.col("doc_id").alias(of)).agg(F.collect_list("line_no").alias(went))
     if repeated.count() <= BROADCAST_LINES:
         gone = F.broadcast(gone)
-    joined = docs.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("_of")), "left")
-    kept = F.filter(F.split(text, "\n"), lambda _, i: ~F.coalesce(F.array_contains("_gone", i), F.lit(False)))
-    cut = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+    joined = docs.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col(of)), "left")
+    kept = F.filter(F.split(text, "\n"), lambda _, i: ~F.coalesce(F.array_contains(went, i), F.lit(False)))
+    cut = F.when(F.col(went).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     word = F.col(text).rlike(r"[^\x20\x09-\x0D]")
-    left = joined.withColumn(text, cut).filter(F.col("_gone").isNull() | word)
+    left = joined.withColumn(text, cut).filter(F.col(went).isNull() | word)
     return left.select(*(F.col(f"`{c}`") for c in docs.columns))
