@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docweave.llm.common import stored
+
 SEPARATORS = r"[\x20\x09-\x0D]+"
 
 # Characters that don't belong to a word when they stand at one of its ends.
@@ -33,38 +36,54 @@ BLOCK_WINDOWS = 200_000
 BROADCAST_IDS = 1_000_000
 
 
-def _typed(word: Column, before: Column) -> Column:
+def _typed(bare: Column, bare_before: Column, before: Column) -> Column:
     """Template word: a placeholder, the word in lower case without punctuation around it, or '' for punctuation."""
-    bare = F.btrim(word, F.lit(PUNCTUATION))
+    digit = lambda w: F.ascii(w).between(48, 57)
     first = F.ascii(bare)
-    digit = first.between(48, 57)
-    unit = F.lower(bare).isin(UNITS) & F.coalesce(F.ascii(F.btrim(before, F.lit(PUNCTUATION))).between(48, 57), F.lit(False))
     # A capital inside a sentence; words in capitals throughout are shouted, not names.
     head = F.substring(bare, 1, 1)
     capital = first.between(65, 90) | ((first > 127) & (head != F.lower(head)))
     inside = before.isNotNull() & ~F.substring(before, -1, 1).isin(".", "!", "?", ":")
     return (
-        F.when(digit, F.lit(NUMBER))
+        F.when(digit(bare), F.lit(NUMBER))
         .when(capital & inside & (bare != F.upper(bare)), F.lit(NAME))
-        .when(unit, F.lit(UNIT))
+        .when(F.coalesce(digit(bare_before), F.lit(False)) & F.lower(bare).isin(UNITS), F.lit(UNIT))
         .otherwise(F.lower(bare))
     )
 
 
 def templates(rows: DataFrame, *keys: str) -> DataFrame:
-    """(keys, template, bare) of rows with ``text``: template words and the words they stand for."""
+    """(keys, template, bare) of rows with ``text``: template words and the words they stand for. Every step is a column of
+    its own, so a word is trimmed once, and typed once."""
     split = rows.select(*keys, F.array_remove(F.split(F.coalesce("text", F.lit("")), SEPARATORS), "").alias("words"))
-    typed = split.select(*keys, "words", F.transform("words", lambda w, i: _typed(w, F.get("words", i - 1))).alias("all"))
-    bare = F.transform(F.col("words"), lambda w: F.lower(F.btrim(w, F.lit(PUNCTUATION))))
+    trimmed = split.select(*keys, "words", F.transform("words", lambda w: F.btrim(w, F.lit(PUNCTUATION))).alias("trimmed"))
+    typed = F.transform("trimmed", lambda w, i: _typed(w, F.get("trimmed", i - 1), F.get("words", i - 1)))
     # Punctuation is dropped from both lists alike.
-    return typed.select(*keys, F.array_remove("all", "").alias("template"), F.array_remove(bare, "").alias("bare"))
+    return trimmed.select(
+        *keys, F.array_remove(typed, "").alias("template"), F.array_remove(F.transform("trimmed", lambda w: F.lower(w)), "").alias("bare")
+    )
 
 
-def _hashes(window: int) -> Column:
-    """A hash of every window of ``template``; none for a text with fewer words."""
-    last = F.size("template") - window
+def _hashed(rows: DataFrame, window: int) -> DataFrame:
+    """``rows`` with ``hashes``, one of every window of ``template``; none for a text with fewer words. Words are hashed once,
+    and a window's hash is made of those of its words."""
+    each = rows.withColumn("_each", F.transform("template", lambda t: F.xxhash64(t)))
+    last = F.size("_each") - window
     starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(F.slice("template", i + 1, window)))
+    return each.withColumn("hashes", F.transform(starts, lambda i: F.xxhash64(*(F.get("_each", i + k) for k in range(window))))).drop("_each")
+
+
+# Bits of the table that tells which windows may be in the benchmark; 16,384 numbers of 64 bits.
+TABLE_BITS = 20
+
+
+def _bit_table(known: DataFrame) -> DataFrame:
+    """One row ``bits``: for every hash of ``known`` the bit is set that its highest ``TABLE_BITS`` bits name."""
+    place = F.shiftrightunsigned("hash", 64 - TABLE_BITS).cast("int")
+    words = known.sparkSession.range(1 << (TABLE_BITS - 6)).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("bigint").alias("bit"))
+    bits = known.select(place.alias("place")).selectExpr("shiftright(place, 6) AS word", "shiftleft(1L, place & 63) AS bit")
+    summed = bits.unionByName(words).groupBy("word").agg(F.bit_or("bit").alias("bit"))
+    return summed.agg(F.sort_array(F.collect_list(F.struct("word", "bit"))).alias("x")).select(F.transform("x", lambda e: e["bit"]).alias("bits"))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int, literals: int) -> DataFrame:
@@ -74,8 +93,10 @@ def benchmark_windows(benchmark: DataFrame, window: int, literals: int) -> DataF
     any list of numbers or names would match, are left out.
     """
     items = benchmark.filter(F.col("text").isNotNull()).groupBy("text").agg(F.min("item_id").alias("item_id"))
-    made = templates(items, "item_id").select("*", _hashes(window).alias("hashes"))
-    rows = made.select("item_id", F.size("template").alias("item_words"), "template", "bare", F.posexplode("hashes").alias("item_pos", "hash"))
+    made = _hashed(templates(items, "item_id"), window)
+    # An outer generator keeps the arrays from being copied, and computed once more, into a filter below it.
+    rows = made.select("item_id", F.size("template").alias("item_words"), "template", "bare", F.posexplode_outer("hashes").alias("item_pos", "hash"))
+    rows = rows.filter("hash IS NOT NULL")
     part = lambda name: F.slice(name, F.col("item_pos") + 1, window)
     cut = rows.select("hash", "item_id", "item_words", "item_pos", part("template").alias("item_template"), part("bare").alias("item_bare"))
     literal = F.size(F.filter("item_template", lambda t: ~t.isin(NUMBER, UNIT, NAME)))
@@ -116,8 +137,14 @@ def leaks(
     blocks = max(1, -(-known.count() // block_windows))
     made = templates(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id")
     # A row's own number keeps documents with the same id apart.
-    hashed = made.select(F.monotonically_increasing_id().alias("row"), "doc_id", "template", "bare", _hashes(window).alias("hashes"))
-    exploded = hashed.select("row", "doc_id", "template", "bare", F.posexplode("hashes").alias("pos", "hash"))
+    hashed = _hashed(made.select(F.monotonically_increasing_id().alias("row"), "doc_id", "template", "bare"), window)
+    # Only windows that the bit table doesn't rule out become rows; the table is a scalar subquery of a fixed size.
+    hashed = hashed.withColumn("bits", _bit_table(known).scalar())
+    maybe = F.expr(
+        f"filter(transform(hashes, (h, i) -> struct(i AS pos, h AS hash)), x -> shiftright(bits[cast(shiftrightunsigned(x.hash, {64 - TABLE_BITS + 6}) AS INT)],"
+        f" cast(shiftrightunsigned(x.hash, {64 - TABLE_BITS}) & 63 AS INT)) & 1L = 1L)"
+    )
+    exploded = hashed.select("row", "doc_id", "template", "bare", F.inline_outer(maybe)).filter("hash IS NOT NULL")
     part = lambda name: F.slice(name, F.col("pos") + 1, window)
 
     def matches(block: DataFrame) -> DataFrame:
@@ -157,15 +184,13 @@ def leaks(
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the documents that ``leaks`` reports; columns stay as they are."""
-    return without_ids(docs, leaks(docs, benchmark, doc_id, **options).select(F.col("doc_id").alias("_gone")), doc_id)
+    return without_ids(docs, leaks(docs, benchmark, doc_id, **options).select("doc_id"), doc_id)
 
 
 def without_ids(docs: DataFrame, gone: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without the ids in the one column of ``gone``; null is an id like others."""
-    from docweave.llm.common import stored
-
-    (name,) = gone.columns
-    gone = stored(gone.distinct())
+    name = f"gone_{uuid.uuid4().hex}"  # no column of ``docs`` has this name
+    gone = stored(gone.toDF(name).distinct())
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
     return docs.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col(name)), "left_anti")
