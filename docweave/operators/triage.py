@@ -145,23 +145,41 @@ def overlap_edges(boxes: DataFrame, params: TriageParams) -> DataFrame:
 def _acting(edges: DataFrame) -> DataFrame:
     """``(document_id, idx)`` of boxes dropped before their turn comes.
 
-    A box acts unless an earlier acting box drops it. Rounds settle every box whose
-    earlier droppers are settled; chains of droppers are short.
+    A box acts unless an earlier acting box drops it. A round settles every box with an acting dropper, or whose droppers
+    are all settled. A box with one open dropper left does the opposite of it, so it points there; pointers are followed
+    twice as far in every round, so a chain of n such boxes takes about log2(n) rounds.
     """
     drops = edges.filter("keep_a").select("document_id", "a", "b")
-    state = drops.select("document_id", F.col("b").alias("idx"), F.lit(None).cast("boolean").alias("acts")).distinct()
-    state = cut_lineage(state)
+    state = drops.select("document_id", F.col("b").alias("idx")).distinct()
+    state = cut_lineage(state.select("*", F.lit(None).cast("boolean").alias("acts"), F.lit(None).cast("bigint").alias("to"), F.lit(False).alias("flip")))
     while not state.filter("acts IS NULL").isEmpty():
+        open_ = state.filter("acts IS NULL")
         # A dropper outside the state table has no dropper itself, so it acts.
-        droppers = drops.join(
-            state.select("document_id", F.col("idx").alias("a"), F.col("acts").alias("src"), F.lit(True).alias("listed")),
-            ["document_id", "a"], "left",
-        ).withColumn("src", F.when(F.col("listed").isNull(), True).otherwise(F.col("src")))
-        settled = droppers.groupBy("document_id", F.col("b").alias("idx")).agg(
-            F.max(F.coalesce("src", F.lit(False))).alias("hit"), F.min(F.when(F.col("src").isNull(), 0).otherwise(1)).alias("known")
+        sources = state.select("document_id", F.col("idx").alias("a"), F.col("acts").alias("src"), F.lit(True).alias("listed"))
+        droppers = drops.join(open_.select("document_id", F.col("idx").alias("b")), ["document_id", "b"], "left_semi").join(sources, ["document_id", "a"], "left")
+        droppers = droppers.withColumn("src", F.when(F.col("listed").isNull(), True).otherwise(F.col("src")))
+        unknown = F.col("src").isNull()
+        seen = droppers.groupBy("document_id", F.col("b").alias("idx")).agg(
+            F.max(F.coalesce("src", F.lit(False))).alias("hit"), F.count_if(unknown).alias("left"), F.min(F.when(unknown, F.col("a"))).alias("one")
         )
-        acts = F.when(F.col("hit"), False).when(F.col("known") == 1, True)
-        state = cut_lineage(settled.select("document_id", "idx", acts.alias("acts")))
+        told = open_.join(seen, ["document_id", "idx"])
+        acts = F.when(F.col("hit"), False).when(F.col("left") == 0, True)
+        fresh = F.col("to").isNull() & (F.col("left") == 1)
+        told = told.select(
+            "document_id", "idx", acts.alias("acts"), F.when(fresh, F.col("one")).otherwise(F.col("to")).alias("to"), (F.col("flip") != fresh).alias("flip")
+        )
+        told = cut_lineage(state.filter("acts IS NOT NULL").unionByName(told))
+        # One step along every pointer: to the answer, or twice as far.
+        ahead = told.select("document_id", F.col("idx").alias("to"), F.col("acts").alias("_acts"), F.col("to").alias("_to"), F.col("flip").alias("_flip"))
+        first = F.lit(True)  # a target that no one drops acts
+        found = told.filter("acts IS NULL AND to IS NOT NULL").join(ahead.withColumn("_in", F.lit(True)), ["document_id", "to"], "left")
+        target = F.when(F.col("_in").isNull(), first).otherwise(F.col("_acts"))
+        moved = found.select(
+            "document_id", "idx", (F.col("flip") != target).alias("acts"), F.coalesce("_to", "to").alias("to"),
+            F.when(F.col("_to").isNotNull(), F.col("flip") != F.col("_flip")).otherwise(F.col("flip")).alias("flip"),
+        )
+        rest = told.filter("acts IS NOT NULL OR to IS NULL")
+        state = cut_lineage(rest.unionByName(moved))
     return state.filter("NOT acts").select("document_id", "idx")
 
 

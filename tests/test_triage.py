@@ -134,3 +134,14 @@ def test_photographic(spark):
     chart = [(255, 255, 255)] * 4000 + [(200, 0, 0)] * 96
     df = spark.createDataFrame([(1, photo), (2, chart), (3, None)], f"i int, p {pixel}")
     assert [r[0] for r in df.orderBy("i").select(tr.is_photographic(F.col("p"))).collect()] == [True, False, False]
+
+
+def test_a_long_chain_of_overlaps_takes_few_rounds(spark, monkeypatch):
+    # Each box overlaps the next one only, so every second one is dropped.
+    rows = [("d", 1, i, 30.0 * i, 0.0, 100.0, 100.0, "embedded") for i in range(3000)]
+    rounds = []
+    kept = tr.cut_lineage
+    monkeypatch.setattr(tr, "cut_lineage", lambda df: rounds.append(1) or kept(df))
+    got = {r.idx: r.keeper for r in tr.overlap_drops(spark.createDataFrame(rows, BOX), tr.TriageParams(overlap_iou=0.5, bucket_rows=64)).collect()}
+    assert got == {i: i - 1 for i in range(1, 3000, 2)}
+    assert len(rounds) < 40
