@@ -88,4 +88,4 @@ def test_odd_tables(spark, tmp_path, rows):
 def test_registered():
     assert "pipeline" in __spark_entry__.queries()
     numbers = sorted(int(n[2:].split("_")[0]) for n in __spark_entry__.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
