@@ -21,7 +21,7 @@ BROADCAST_LINES = 1_000_000
 PLACE = ("doc_id", "line_no")
 
 # Rarest tokens of a class by which it is compared with the first class that has them.
-LEADS = 4
+LEADS = 8
 
 # What a row of a token's list carries besides the class: place, size, position of the token, end and size of the prefix,
 # parities of the tokens.
@@ -34,10 +34,6 @@ def lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.posexplode(F.split(spaced, "\n")).alias("line_no", "line"))
 
 
-def tokens(line: str = "line") -> Column:
-    return F.array_remove(F.split(line, " "), "")
-
-
 def _bucket(token: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(token), 64 - RARITY_BITS).cast("int")
 
@@ -72,7 +68,8 @@ def _keys(split: DataFrame, ranks: DataFrame, *more: str) -> DataFrame:
         rank = F.coalesce(F.get("ranks", F.shiftrightunsigned(hash_, 64 - RARITY_BITS).cast("int")), F.lit(0)) - half
         return F.shiftleft(rank.cast("bigint"), 64 - RARITY_BITS).bitwiseOR(hash_.bitwiseAND(F.lit(rest)))
 
-    hashed = F.transform(tokens(), lambda t: F.xxhash64(t))
+    # Empty parts go by their hash, which is cheaper than comparing texts.
+    hashed = F.array_remove(F.transform(F.split("line", " "), lambda t: F.xxhash64(t)), F.xxhash64(F.lit("")))
     return split.select(*more, hashed.alias("hashes"), ranks.scalar().alias("ranks")).select(
         *more, F.sort_array(F.array_distinct(F.transform("hashes", key))).alias("keys")
     )
