@@ -21,11 +21,12 @@ BROADCAST_LINES = 1_000_000
 PLACE = ("doc_id", "line_no")
 
 # Rarest tokens of a class by which it is compared with the first class that has them.
-LEADS = 8
+LEADS = 6
 
 # What a row of a token's list carries besides the class: place, size, position of the token, end and size of the prefix,
 # parities of the tokens.
 CARRIED = (*PLACE, "n", "i", "end", "p", "odd")
+LED = (*PLACE, "n", "i", "odd")  # of a lead token
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -155,10 +156,10 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         return classes.select(F.posexplode(tokens).alias("i", "token"), "id", *PLACE, "n", end, F.size("prefix").alias("p"), "odd")
 
     # The first class of a token is a minimum, combined before the shuffle; joined back, a hot token is split like any other.
-    leading = postings(F.slice("prefix", 1, LEADS))
-    leads = leading.groupBy("token").agg(F.min(F.struct(*PLACE, "id", *CARRIED[2:])).alias("lead"))
-    led = leading.join(leads, "token").select("id", *CARRIED, "lead").filter("lead.id <> id")
-    settled = _verified(docs, ranks, classes, _pairs(led.select(*_side("x"), *_side("y", "lead.")), leads=True))
+    leading = postings(F.slice("prefix", 1, LEADS)).select("token", "id", *LED)
+    leads = leading.groupBy("token").agg(F.min(F.struct(*PLACE, "id", *LED[2:])).alias("lead"))
+    led = leading.join(leads, "token").select("id", *LED, "lead").filter("lead.id <> id")
+    settled = _verified(docs, ranks, classes, _pairs(led.select(*_side("x", carried=LED), *_side("y", "lead.", LED)), leads=True))
 
     # Both inputs of the join are the same shuffle; what is settled is left out behind it.
     dealt = postings(F.col("prefix")).repartition("token")
@@ -178,8 +179,8 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return all_lines.select(*PLACE, "c1", "c2").join(marked, ["c1", "c2"]).select(*PLACE, copy.alias("copy"), "hit").filter("copy OR hit").drop("hit")
 
 
-def _side(name: str, of: str = "") -> list[Column]:
-    return [F.col(f"{of}id").alias(name), *(F.col(of + c).alias(f"{c}_{name}") for c in CARRIED)]
+def _side(name: str, of: str = "", carried: tuple[str, ...] = CARRIED) -> list[Column]:
+    return [F.col(f"{of}id").alias(name), *(F.col(of + c).alias(f"{c}_{name}") for c in carried)]
 
 
 def _earlier() -> Column:
