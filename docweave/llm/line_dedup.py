@@ -50,10 +50,17 @@ def rarity(docs: DataFrame) -> DataFrame:
     words = F.split(F.regexp_replace("text", r"[\t\n\x0b\x0c\r]", " "), " ")
     counted = docs.select(F.explode(words).alias("t")).filter("t <> ''").select(_bucket(F.col("t")).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     summed = counted.unionByName(all_buckets).groupBy("bucket").agg(F.sum("n").alias("n"))
-    ordered = summed.agg(F.sort_array(F.collect_list(F.struct("n", "bucket"))).alias("x"))
-    ranked = ordered.select(F.posexplode("x").alias("rank", "e")).select("rank", F.col("e.bucket").alias("bucket"))
-    table = ranked.agg(F.sort_array(F.collect_list(F.struct("bucket", "rank"))).alias("x"))
-    return table.select(F.transform("x", lambda e: e["rank"]).alias("ranks"))
+    # Pairs are packed into one long each: an array of longs takes a fraction of an array of structs.
+    low = F.lit((1 << RARITY_BITS) - 1)
+
+    def packed(high: Column, rest: Column) -> Column:
+        return F.sort_array(F.collect_list(F.shiftleft(high.cast("bigint"), RARITY_BITS).bitwiseOR(rest.cast("bigint"))))
+
+    most = F.lit((1 << (62 - RARITY_BITS)) - 1)
+    ordered = summed.agg(packed(F.least("n", most), F.col("bucket")).alias("x"))
+    ranked = ordered.select(F.posexplode("x").alias("rank", "e")).select("rank", F.col("e").bitwiseAND(low).alias("bucket"))
+    table = ranked.agg(packed(F.col("bucket"), F.col("rank")).alias("x"))
+    return table.select(F.transform("x", lambda e: e.bitwiseAND(low).cast("int")).alias("ranks"))
 
 
 def _keys(split: DataFrame, ranks: DataFrame, *more: str) -> DataFrame:
