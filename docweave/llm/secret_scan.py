@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bz2
 import hashlib
+import lzma
 import re
 import zlib
 from bisect import bisect_right
@@ -27,8 +29,17 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 KINDS = ("assign", "access", "hex")
 
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|&#[0-9]{1,7};|&#x[0-9A-Fa-f]{1,6};)+")
-_ONE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|&#([0-9]{1,7});|&#x([0-9A-Fa-f]{1,6});")
+_ESCAPE = re.compile(
+    r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+"
+)
+_ONE_ESCAPE = re.compile(
+    r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});|\\u\{([0-9A-Fa-f]{1,6})\}"
+)
+# An escape that stands for a character that begins escapes: %25, %5C, %26 and the like.
+_OPENER = re.compile(
+    r"%(?:25|5[Cc]|26)|\\(?:u00|x|U000000)(?:25|5[Cc]|26)|\\u\{0{0,4}(?:25|5[Cc]|26)\}|&#0{0,5}(?:37|92|38);|&#[xX]0{0,4}(?:25|5[Cc]|26);"
+)
+_LONGEST = 11
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _ALPHABETS = tuple(re.compile(p) for p in (r"[A-Za-z0-9+/]{16,}={0,2}", r"[A-Za-z0-9_-]{16,}={0,2}"))
 # Pieces on following lines, as MIME and PEM break them.
@@ -78,7 +89,7 @@ def _unescape(run: str) -> list[tuple[str, int]]:
     """Characters of a run of escapes with the length of each escape; surrogate pairs are joined."""
     out: list[tuple[str, int]] = []
     for m in _ONE_ESCAPE.finditer(run):
-        code = int(m[4]) if m[4] else int(m[1] or m[2] or m[3] or m[5], 16)
+        code = int(m[4]) if m[4] else int(m[1] or m[2] or m[3] or m[5] or m[6], 16)
         if 0xDC00 <= code < 0xE000 and out and "\ud800" <= out[-1][0] < "\udc00":
             high, length = out.pop()
             code = 0x10000 + ((ord(high) - 0xD800) << 10) + (code - 0xDC00)
@@ -97,6 +108,16 @@ def _unpercent(run: str) -> list[tuple[str, int]]:
     return list(zip(text, sizes))
 
 
+def _chain(text: str, char: str, at: int) -> tuple[str, int]:
+    """``char``, decoded from what stands before ``at``, and the characters behind it may be an escape that opens the next
+    one, as in ``%252525``: the last opener of such a chain and the place behind it. Of the texts between, every part without
+    the opener stands in ``text`` as it is, so nothing is lost by not scanning them one by one."""
+    while char in "%\\&" and (m := _OPENER.match(char + text[at : at + _LONGEST])):
+        at += len(m[0]) - 1
+        char = _unpercent(m[0])[0][0] if char == "%" else _unescape(m[0])[0][0]
+    return char, at
+
+
 def _rewritten(layer: Layer, pattern: re.Pattern, decode: Callable[[str], list[tuple[str, int]]]) -> Layer | None:
     """The layer with every escape run decoded; None when it has none."""
     parts, firsts, starts, ends, plain = [], [], [], [], []
@@ -119,41 +140,51 @@ def _rewritten(layer: Layer, pattern: re.Pattern, decode: Callable[[str], list[t
             add(layer.text[low:stop], layer.start(low), layer.end(stop), layer.plain[p])
             low = stop
 
-    for m in pattern.finditer(layer.text):
+    while m := pattern.search(layer.text, done):
         copy(done, m.start())
         at = m.start()
-        for char, length in decode(m[0]):
+        chars = decode(m[0])
+        for char, length in chars[:-1]:
             add(char, layer.start(at), layer.end(at + length), False)
             at += length
-        done = m.end()
+        char, done = _chain(layer.text, chars[-1][0], m.end())
+        add(char, layer.start(at), layer.end(done), False)
     if not done:
         return None
     copy(done, len(layer.text))
     return Layer("".join(parts), firsts, starts, ends, plain)
 
 
+def _reader(raw: bytes):
+    """What opens compressed bytes, told by their first bytes; None for others."""
+    if raw[:2] == b"\x1f\x8b" or (len(raw) > 1 and raw[0] & 15 == 8 and raw[0] < 128 and (raw[0] << 8 | raw[1]) % 31 == 0):
+        return zlib.decompressobj(47)  # any window
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor() if raw[:6] == b"\xfd7zXZ\0" else None
+
+
 def _inflated(raw: bytes, room: int) -> tuple[bytes, int, bool]:
-    """Bytes after all compressed layers (zlib, gzip with all members) are opened, how many bytes that gave in sum, and
+    """Bytes after all compressed layers (zlib, gzip, bzip2, xz, with all members) are opened, how many bytes that gave in sum, and
     whether the room was too small. What isn't compressed comes back as it is."""
     spent, met = 0, set()
-    while raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78":
+    while _reader(raw) is not None:
         key = hashlib.sha256(raw).digest()
         if key in met:  # a stream that holds itself
             break
         met.add(key)
         parts: list[bytes] = []
         rest = raw
-        while rest:
+        while rest and (reader := _reader(rest)) is not None:
             if spent >= room:
                 return b"", spent, True
-            reader = zlib.decompressobj(47)
             try:
                 part = reader.decompress(rest, room - spent)
-            except zlib.error:
+            except (zlib.error, lzma.LZMAError, OSError, EOFError):
                 break
             parts.append(part)
             spent += len(part)
-            if reader.unconsumed_tail:
+            if getattr(reader, "unconsumed_tail", b"") or not (reader.eof or getattr(reader, "needs_input", True)):
                 return b"", spent, True
             rest = reader.unused_data.lstrip(b"\0") if reader.eof else b""
         if not parts:
@@ -162,6 +193,32 @@ def _inflated(raw: bytes, room: int) -> tuple[bytes, int, bool]:
     return raw, spent, False
 
 
+def _deflated(raw: bytes, room: int) -> tuple[bytes, int, bool]:
+    """Like ``_inflated`` for a deflate stream without a header, which must end where ``raw`` ends; else no bytes."""
+    reader = zlib.decompressobj(-15)
+    try:
+        part = reader.decompress(raw, room)
+    except zlib.error:
+        return b"", 0, False
+    # More output than the room holds: it can't be told whether the stream would end well.
+    if reader.unconsumed_tail:
+        return b"", len(part), True
+    if not part or not reader.eof or reader.unused_data.strip(b"\0"):
+        return b"", 0, False
+    opened, spent, over = _inflated(part, max(1, room - len(part)))
+    return opened, len(part) + spent, over
+
+
+def _wide(raw: bytes) -> Iterator[str]:
+    """Texts of bytes that may be UTF-16 or UTF-32, of which ASCII letters have bytes of zero."""
+    if b"\0" in raw:
+        for name in ("utf-16-le", "utf-16-be"):
+            yield raw.decode(name, "replace")
+    if b"\0\0\0" in raw:
+        for name in ("utf-32-le", "utf-32-be"):
+            yield raw.decode(name, "replace")
+
+
 def _tokens(text: str) -> list[tuple[int, int]]:
     """Spans that may be base64, longer ones first: runs of both alphabets, of one, and runs broken by single line ends.
 
@@ -216,17 +273,23 @@ def _blobs(layer: Layer, room: int, met: dict[tuple, bool]) -> Iterator[tuple[La
         if over:
             yield None, room
             continue
+        bare = b""
         try:
             text = opened.decode("utf-8")
         except UnicodeDecodeError:
             text = opened.decode("latin-1")
+            bare, more, over = _deflated(opened, max(1, room - spent))
+            spent += more
+            if over:
+                yield None, room
         else:
             if all(c.isprintable() or c in "\t\n\r" for c in text) and not any(a < end and begin < b for a, b in clean[max(at - 1, 0) : at + 1]):
                 clean.insert(at, (begin, end))
                 met[key] = True
-        if text:
-            yield _whole(text, layer.start(begin), layer.end(end)), spent
-            room = max(1, room - spent)
+        for reading in (text, *_wide(opened), bare.decode("utf-8", "replace"), *_wide(bare)):
+            if reading:
+                yield _whole(reading, layer.start(begin), layer.end(end)), spent
+                room, spent = max(1, room - spent), 0
 
 
 def find_secrets(text: str | None, room: int = LAYER_BYTES) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]], bool]:

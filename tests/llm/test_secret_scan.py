@@ -1,7 +1,10 @@
 import base64
+import bz2
 import gzip
+import lzma
 import random
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -124,3 +127,48 @@ def test_room_is_for_inflated_bytes_only():
 
 def spans_of(spans, text):
     return {text[a:b] for a, b, _ in spans}
+
+
+def raw_deflate(data):
+    maker = zlib.compressobj(9, zlib.DEFLATED, -15)
+    return maker.compress(data) + maker.flush()
+
+
+def small_window(data):
+    maker = zlib.compressobj(9, zlib.DEFLATED, 9)
+    return maker.compress(data) + maker.flush()
+
+
+def test_other_compressions_and_character_sets():
+    rng = random.Random(8)
+    for _ in range(50):
+        inner = ("token=" + "".join(rng.choices("ghijkmnpqrstuvwxyzGHIJ", k=rng.randint(8, 60)))).encode()
+        for raw in (raw_deflate(inner), small_window(inner), bz2.compress(inner), lzma.compress(inner), raw_deflate(gzip.compress(inner)), bz2.compress(inner) * 2):
+            assert hidden(base64.b64encode(raw).decode())
+        for name in ("utf-16", "utf-16-le", "utf-16-be", "utf-32-le", "utf-32-be"):
+            assert hidden(base64.b64encode(inner.decode().encode(name)).decode())
+            assert hidden(base64.b64encode(raw_deflate(inner.decode().encode(name))).decode())
+    for form in ("\\u{{{:x}}}", "\\u{{{:06X}}}", "&#X{:x};"):
+        assert hidden("".join(form.format(ord(c)) for c in "token=ghijkmnp"))
+
+
+def test_long_escape_chains_end_soon():
+    secret = "token=ghijkmnp"
+    chains = ("%" + "25" * 100_000 + "74", "\\x" + "5cx" * 60_000 + "74", "&" + "#38;" * 50_000 + "#116;", "%" + "5cx25" * 40_000 + "74", "\\u" + "005cu" * 40_000 + "0074")
+    for chain in chains:
+        started = time.monotonic()
+        text = f"é {chain}{secret[1:]} after"
+        base, spans, truncated = S.find_secrets(text)
+        assert (2, len(text) - 6, "assign") in spans and not truncated
+        assert time.monotonic() - started < 2
+
+
+def test_short_chains_give_what_single_steps_give(monkeypatch):
+    rng = random.Random(9)
+    pieces = ("%", "25", "5c", "x", "26", "#38;", "u0025", "41", "C3", "%A9", "token=", "abcdef", "&#37;", "\\x25", " ")
+    texts = ["".join(rng.choices(pieces, k=rng.randint(1, 14))) for _ in range(3000)]
+    whole = [S.find_secrets(t)[1] for t in texts]
+    monkeypatch.setattr(S, "_chain", lambda text, char, at: (char, at))
+    for text, spans in zip(texts, whole):
+        # Spans of skipped texts lie inside spans that are found.
+        assert all(any(a <= c and d <= b and k == e for a, b, k in spans) for c, d, e in S.find_secrets(text)[1]), text
