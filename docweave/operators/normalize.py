@@ -6,13 +6,13 @@ page_number, order``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
 from docweave.functions.ids import serial
 from docweave.operators.ordered import running
-from docweave.session import cut_lineage
+from docweave.session import stage_table
 from docweave.settings import DEFAULTS
 
 # Item types with retrievable content, and those that count as running text.
@@ -22,9 +22,6 @@ TEXT_TYPES = ("text", "list", "code")
 DOMAINS = ("legal", "finance", "medical")
 SOURCE_TYPES = ("pdf", "html", "csv")
 
-# Height of a band of a page, in points; only a block size for the running aggregates.
-BAND = 16
-
 
 def item_text(item: Column) -> Column:
     """Markdown of an item, else its value, with collapsed whitespace."""
@@ -55,55 +52,47 @@ def page_content(pages: DataFrame) -> DataFrame:
     )
 
 
-def _levels(content: DataFrame, images: DataFrame) -> DataFrame:
-    """One row per distinct height of a page: what its content items contribute, and whether an image sits there."""
-    page = ["document_id", "page", "y"]
-    is_text = F.col("element_type").isin(*TEXT_TYPES)
-    item = F.struct("idx", "text")
-    typed = F.struct("idx", "element_type", "text")
-    stats = content.groupBy(*page).agg(
-        F.count(F.lit(1)).alias("items"),
-        F.max(F.when(F.col("element_type") == "heading", item)).alias("heading"),
-        F.max(F.when(is_text, item)).alias("before"),
-        F.max(typed).alias("last"),
-        F.min(F.when(is_text, item)).alias("after"),
-        F.min(typed).alias("first"),
-    )
-    spots = images.select(*page).distinct().withColumn("spot", F.lit(True))
-    return stats.join(spots, page, "full")
-
-
 def image_context(content: DataFrame, images: DataFrame) -> DataFrame:
     """Images with ``below`` (content items above them) and their textual surroundings.
 
     Section title and text before come from the last such item at or above the image, text
     after from the first item below it, both in item order. A table counts only when it is
-    the very last item above, else the very first below. All of this is a running maximum or
-    minimum over heights, so no image is paired with the items of its page.
+    the very last item above, else the very first below. The items of a page come from one
+    row of its document, so a page is sorted as a whole: items and images go through one
+    shuffle, and all of this is a running maximum or minimum over their heights.
     """
     keys = ["document_id", "page"]
-    # Read by two running aggregates, and small next to the content.
-    levels = cut_lineage(_levels(content, images))
-    band = F.floor(F.col("y") / BAND)
-    down = running(
-        levels, keys, band, ["y"],
-        {"_h": ("max", F.col("heading")), "_b": ("max", F.col("before")), "_l": ("max", F.col("last")), "upto": ("sum", F.col("items"))},
+    picture = F.struct(*(F.col(c) for c in images.columns))
+    is_text = F.col("element_type").isin(*TEXT_TYPES)
+    item, typed = F.struct("idx", "text"), F.struct("idx", "element_type", "text")
+    items = content.select(*keys, "y", F.lit(None).cast(images.select(picture.alias("i")).schema["i"].dataType).alias("_i"), "idx", "element_type", "text")
+    spots = images.select(
+        *keys, "y", picture.alias("_i"),
+        *(F.lit(None).cast(content.schema[c].dataType).alias(c) for c in ("idx", "element_type", "text")),
     )
-    up = running(
-        levels.select(*keys, "y", "spot", "after", "first"), keys, band, [F.col("y").desc()],
-        {"_a": ("min", F.col("after")), "_f": ("min", F.col("first"))}, descending_blocks=True, inclusive=False,
+    rows = items.unionByName(spots).repartition(*keys)
+    is_item = F.col("_i").isNull()
+    # Rows of one height are peers of this frame; at one height, images come before items in the other.
+    above = Window.partitionBy(*keys).orderBy("y").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    level = Window.partitionBy(*keys, "y")
+    under = Window.partitionBy(*keys).orderBy(F.col("y").desc(), is_item).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.select(
+        *keys, "y", "_i", "idx", "element_type", "text",
+        (F.count_if(is_item).over(above) - F.count_if(is_item).over(level)).alias("below"),
+        F.max(F.when(F.col("element_type") == "heading", item)).over(above).alias("_h"),
+        F.max(F.when(is_text, item)).over(above).alias("_b"),
+        F.max(F.when(is_item, typed)).over(above).alias("_l"),
     )
-    spot = [*keys, "y"]
-    above = down.filter("spot").select(*spot, (F.col("upto") - F.coalesce("items", F.lit(0))).alias("below"), "_h", "_b", "_l")
-    under = up.filter("spot").select(*spot, "_a", "_f")
+    seen = placed.select(
+        "*", F.min(F.when(is_text, item)).over(under).alias("_a"), F.min(F.when(is_item, typed)).over(under).alias("_f")
+    ).filter(~is_item)
+    known = F.col("_i.document_id").isNotNull() & F.col("_i.page").isNotNull() & F.col("_i.y").isNotNull()
+    text = lambda c: F.coalesce(F.when(known, F.col(f"{c}.text")), F.lit(""))
     table = F.when(F.col("_l.element_type") == "table", F.col("_l.text")).when(F.col("_f.element_type") == "table", F.col("_f.text"))
-    return (
-        images.join(above, spot, "left").join(under, spot, "left")
-        .select(
-            *images.columns, F.coalesce("below", F.lit(0)).cast("bigint").alias("below"),
-            F.coalesce("_h.text", F.lit("")).alias("section_title"), F.coalesce("_b.text", F.lit("")).alias("nearby_text_before"),
-            F.coalesce("_a.text", F.lit("")).alias("nearby_text_after"), table.alias("nearby_table_markdown"),
-        )
+    return seen.select(
+        "_i.*", F.when(known, F.col("below")).otherwise(F.lit(0)).cast("bigint").alias("below"),
+        text("_h").alias("section_title"), text("_b").alias("nearby_text_before"),
+        text("_a").alias("nearby_text_after"), F.when(known, table).alias("nearby_table_markdown"),
     )
 
 
@@ -135,9 +124,9 @@ def page_order(content: DataFrame, images: DataFrame, block_rows: int = DEFAULTS
         "y", "x", F.col("idx").cast("bigint").alias("listed"), "filename", F.lit("image").alias("element_type"), "text",
     )
     rows = items.unionByName(pictures)
-    one = {"at": ("sum", F.lit(1).cast("bigint"))}
-    block = F.floor(F.col("slot") / block_rows)
-    placed = running(rows, ["document_id", "page"], block, ["slot", "kind", "y", "x", "listed"], one)
+    # The items of a page come from one row of its document, so a page is one group.
+    on_page = Window.partitionBy("document_id", "page").orderBy("slot", "kind", "y", "x", "listed")
+    placed = rows.withColumn("at", F.row_number().over(on_page).cast("bigint"))
     sizes = rows.groupBy("document_id", "page").agg(F.count(F.lit(1)).alias("n"))
     starts = running(
         sizes, ["document_id"], F.floor(F.col("page") / block_rows), ["page"], {"start": ("sum", F.col("n"))}, inclusive=False
@@ -147,7 +136,7 @@ def page_order(content: DataFrame, images: DataFrame, block_rows: int = DEFAULTS
 
 
 def normalize_pdf(content: DataFrame, images: DataFrame, block_rows: int = DEFAULTS.block_rows) -> DataFrame:
-    ordered = page_order(content, cut_lineage(images), block_rows)
+    ordered = page_order(content, stage_table(images), block_rows)
     stem = F.regexp_replace("filename", r"\.[^./]*$", "")
     name = F.when(F.col("element_type") == "image", stem).otherwise(serial(F.col("order")))
     element_id = F.concat("document_id", F.lit(":p"), F.col("page_number").cast("string"), F.lit(":"), name)
