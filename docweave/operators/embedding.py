@@ -18,6 +18,9 @@ from docweave.settings import DEFAULTS
 TextModel = Callable[[list[str]], list[list[float]]]
 SparseModel = Callable[[list[str], int], list[tuple[list[str], list[float]]]]
 
+# Texts that a sparse model gets at a time.
+MODEL_ROWS = 256
+
 
 def log_count_model(texts: list[str], max_terms: int) -> list[tuple[list[str], list[float]]]:
     """Offline sparse model: log(1 + count) per lower-case word, the heaviest ``max_terms``."""
@@ -31,18 +34,23 @@ def log_count_model(texts: list[str], max_terms: int) -> list[tuple[list[str], l
 def embed_sparse(
     df: DataFrame, text: str = "text", max_terms: int = DEFAULTS.sparse_max_terms, model: SparseModel = log_count_model
 ) -> DataFrame:
-    """Adds ``terms`` and ``weights``. The model sees Arrow batches and nothing is shuffled."""
+    """Adds ``terms`` and ``weights``. The model sees ``MODEL_ROWS`` texts of an Arrow batch at a time, so Python objects
+    never stand for a whole batch; nothing is shuffled."""
+
+    def embedded(texts: pa.Array) -> pa.Array:
+        found = model([t or "" for t in texts.to_pylist()], max_terms)
+        ends = np.cumsum([0] + [len(terms) for terms, _ in found])
+        offsets = pa.array(ends, pa.int32())
+        terms = pa.array(chain.from_iterable(t for t, _ in found), pa.string())
+        weights = pa.array(chain.from_iterable(w for _, w in found), pa.float64())
+        lists = [pa.ListArray.from_arrays(offsets, terms), pa.ListArray.from_arrays(offsets, weights)]
+        return pa.StructArray.from_arrays(lists, ["terms", "weights"])
 
     @F.arrow_udf("terms array<string>, weights array<double>")
     def run(chunks: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for chunk in chunks:
-            found = model([t or "" for t in chunk.to_pylist()], max_terms)
-            ends = np.cumsum([0] + [len(terms) for terms, _ in found])
-            offsets = pa.array(ends, pa.int32())
-            terms = pa.array(chain.from_iterable(t for t, _ in found), pa.string())
-            weights = pa.array(chain.from_iterable(w for _, w in found), pa.float64())
-            lists = [pa.ListArray.from_arrays(offsets, terms), pa.ListArray.from_arrays(offsets, weights)]
-            yield pa.StructArray.from_arrays(lists, ["terms", "weights"])
+            parts = [embedded(chunk.slice(at, MODEL_ROWS)) for at in range(0, len(chunk), MODEL_ROWS)]
+            yield pa.concat_arrays(parts) if parts else embedded(chunk)
 
     # Marked non-deterministic so that no filter pulls a second call of the model below.
     return df.withColumn("_sparse", run.asNondeterministic()(F.col(text))).select(

@@ -29,6 +29,8 @@ from docweave.settings import DEFAULTS
 DIGITS = 9
 # Query columns scored at a time; bounds the score matrix of one batch.
 SLICE = 256
+# Units scored at a time, whatever the size of an Arrow batch; bounds the score matrix as well.
+UNIT_ROWS = 1024
 
 
 @dataclass
@@ -90,7 +92,7 @@ class SparseQueries:
         known = term >= 0
         row, term, weight = row[known], term[known], weight[known]
         total = np.zeros((len(units), hi - lo))
-        step = max(4_000_000 // (hi - lo), 1)
+        step = max(1_000_000 // (hi - lo), 1)
         for at in range(0, len(row), step):
             part = slice(at, at + step)
             first = np.flatnonzero(np.r_[True, np.diff(row[part]) > 0])
@@ -134,8 +136,8 @@ def _trim(frame: pd.DataFrame, k: int) -> pd.DataFrame:
 def best_of(queries, batches: Iterator[pa.RecordBatch], k: int) -> pd.DataFrame:
     """The k best units of every query over a stream of unit batches."""
     best = None
-    for batch in batches:
-        if batch.num_rows == 0 or len(queries.ids) == 0:
+    for batch in (b.slice(at, UNIT_ROWS) for b in batches for at in range(0, b.num_rows, UNIT_ROWS)):
+        if len(queries.ids) == 0:
             continue
         batch = batch.take(pc.sort_indices(batch.column("unit_id")))
         ids = batch.column("unit_id").to_pandas().to_numpy()

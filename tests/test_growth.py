@@ -2,9 +2,13 @@
 
 import re
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from docweave.operators import embedding as em
 from docweave.operators import normalize as nm
+from docweave.operators import topk as tk
 
 
 def exchanges(df):
@@ -26,3 +30,24 @@ def test_image_context_shuffles_its_rows_once(spark):
     got = {r.filename: (r.below, r.section_title, r.nearby_text_before, r.nearby_text_after, r.nearby_table_markdown) for r in found.collect()}
     none = (0, "", "", "", None)
     assert got == {"a.png": (1, "T", "", "after", "| a |"), "b.png": (0, "", "", "after", None), "c.png": none, "d.png": none, "e.png": none}
+
+
+def test_a_sparse_model_gets_few_texts_at_a_time(spark):
+    def model(texts, max_terms):
+        assert len(texts) <= em.MODEL_ROWS
+        return em.log_count_model(texts, max_terms)
+
+    docs = spark.range(0, 3000, 1, 1).select("id", F.when(F.col("id") % 7 != 0, F.concat(F.lit("a b"), "id", F.lit(" a"))).alias("text"))
+    got = {r.id: dict(zip(r.terms, r.weights)) for r in em.embed_sparse(docs, model=model).collect()}
+    assert got[7] == {} and set(got[2999]) == {"a", "b2999"} and got[2999]["a"] > got[2999]["b2999"] and len(got) == 3000
+
+
+def test_few_units_are_scored_at_a_time(monkeypatch):
+    seen = []
+    keys = tk.SparseQueries.keys
+    monkeypatch.setattr(tk.SparseQueries, "keys", lambda self, batch, lo, hi: seen.append(len(batch)) or keys(self, batch, lo, hi))
+    n = 2 * tk.UNIT_ROWS + 5
+    batch = pa.RecordBatch.from_pydict({"unit_id": list(range(n)), "domain": ["d"] * n, "terms": [["a"]] * n, "weights": [[float(i)] for i in range(n)]})
+    queries = tk.SparseQueries.build(pd.DataFrame({"query_id": [1], "domains": [None], "terms": [["a"]], "weights": [[1.0]]}))
+    found = tk.best_of(queries, iter([batch]), 3)
+    assert found["unit_id"].tolist() == [n - 1, n - 2, n - 3] and max(seen) <= tk.UNIT_ROWS
