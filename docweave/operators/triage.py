@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from docweave.functions import vectors as vx
 from docweave.operators.components import near_groups
 from docweave.operators.ordered import running
-from docweave.session import cut_lineage
+from docweave.session import stage_table as cut_lineage
 from docweave.settings import DEFAULTS
 
 

@@ -12,7 +12,7 @@ from docweave.plans import catalog as ca
 from docweave.registry.base import table
 from docweave.registry.catalog import document_table
 from docweave.registry.normalize import _PDF, pdf_documents
-from docweave.session import cut_lineage
+from docweave.session import stage_table
 from docweave.sources import html as ht
 from docweave.sources import structured as st
 
@@ -48,10 +48,10 @@ def structured_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 def parse_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     """What becomes of catalogued documents whose outputs are read: failed with the first error, or parsed and recoverable."""
-    files = cut_lineage(structured_files(spark, sf))
+    files = stage_table(structured_files(spark, sf))
     _, rejected = st.pdf_pages(files)
     errors = st.first_errors(rejected.join(files.select("path", "document_id"), "path"), "document_id").select("document_id", "error")
-    outcomes = cut_lineage(files.select("document_id", F.create_map(F.lit("structured_json_path"), F.col("path")).alias("outputs")).join(errors, "document_id", "left"))
+    outcomes = stage_table(files.select("document_id", F.create_map(F.lit("structured_json_path"), F.col("path")).alias("outputs")).join(errors, "document_id", "left"))
     known = document_table(spark, sf).withColumn("document_id", F.col("document_id").cast("string"))
     done, bad = outcomes.filter("error IS NULL"), outcomes.filter("error IS NOT NULL")
     changed = ca.mark_failed(ca.mark_parsed(known, done.select("document_id", "outputs")), bad.select("document_id", "error"))
@@ -79,7 +79,7 @@ def crawl_pages(spark: SparkSession, sf: str) -> DataFrame:
     _, name = st.file_key(F.col("path"), st.RAW_CRAWL)
     rows = crawled.withColumn("document_id", name)
     # The parser runs once per page.
-    parsed = cut_lineage(ht.parsed_pages(rows))
+    parsed = stage_table(ht.parsed_pages(rows))
     full = ht.all_pages(parsed, ht.structured_pages(ht.page_elements(parsed)))
     return full.select(
         "document_id", "page_number", "source_url", "title", "status_code", "language", F.array_join("links", " ").alias("links"), F.size("sections").alias("sections")

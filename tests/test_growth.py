@@ -2,10 +2,12 @@
 
 import re
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from docweave.operators import components as cc
 from docweave.operators import embedding as em
 from docweave.operators import normalize as nm
 from docweave.operators import topk as tk
@@ -51,3 +53,25 @@ def test_few_units_are_scored_at_a_time(monkeypatch):
     queries = tk.SparseQueries.build(pd.DataFrame({"query_id": [1], "domains": [None], "terms": [["a"]], "weights": [[1.0]]}))
     found = tk.best_of(queries, iter([batch]), 3)
     assert found["unit_id"].tolist() == [n - 1, n - 2, n - 3] and max(seen) <= tk.UNIT_ROWS
+
+
+def test_wide_links_are_few_and_connect_the_same(spark):
+    rng = np.random.default_rng(3)
+    hashes = {s: rng.integers(-(2**63), 2**63 - 1, 300, dtype=np.int64) for s in ("a", "b")}
+    hashes["b"][:200] = hashes["b"][0] ^ (np.int64(1) << rng.integers(0, 62, 200))
+    rows = [(s, int(h)) for s, v in hashes.items() for h in v] + [("a", None), (None, 5)]
+    df = spark.createDataFrame(rows, "scope string, hash bigint")
+    links = cc.block_links(df, 20, 50).cache()
+    assert links.count() <= 4 * len(rows)
+    got = {(r.scope, r.node): r.component for r in cc.connected_components(links).collect()}
+    for s, v in hashes.items():
+        left = {int(h) for h in v}
+        while left:
+            group, todo = set(), [left.pop()]
+            while todo:
+                h = todo.pop()
+                group.add(h)
+                close = {o for o in left if bin((h ^ o) & (2**64 - 1)).count("1") <= 20}
+                left -= close
+                todo += close
+            assert {got.get((s, h), h) for h in group} == {min(group)}
