@@ -9,7 +9,7 @@ from __future__ import annotations
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -137,6 +137,12 @@ def parse_elements(html: str | None, url: str | None) -> list[dict]:
 
 
 PARSED = f"struct<found:{ELEMENT},error:string>"
+_TEXTS = ("tag", "text", "table_html", "table_markdown", "image_url", "alt_text", "title")
+PARSED_ARROW = pa.struct([
+    ("found", pa.list_(pa.struct([("sequence", pa.int32()), *((name, pa.string()) for name in _TEXTS)]))), ("error", pa.string()),
+])
+# Pages whose elements are Python objects at a time.
+PARSE_PAGES = 64
 
 
 def _parsed(html: str | None, url: str | None) -> dict:
@@ -148,9 +154,13 @@ def _parsed(html: str | None, url: str | None) -> dict:
 
 
 def _parse():
-    @F.pandas_udf(PARSED)
-    def run(html: pd.Series, url: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_parsed(h, u) for h, u in zip(html, url)], columns=["found", "error"])
+    @F.arrow_udf(PARSED)
+    def run(html: pa.Array, url: pa.Array) -> pa.Array:
+        parts = [pa.array([], PARSED_ARROW)]
+        for at in range(0, len(html), PARSE_PAGES):
+            pairs = zip(html.slice(at, PARSE_PAGES).to_pylist(), url.slice(at, PARSE_PAGES).to_pylist())
+            parts.append(pa.array([_parsed(h, u) for h, u in pairs], PARSED_ARROW))
+        return pa.concat_arrays(parts)
 
     # Keeps a filter on the result from calling the parser a second time.
     return run.asNondeterministic()

@@ -11,6 +11,7 @@ from docweave.operators import components as cc
 from docweave.operators import embedding as em
 from docweave.operators import normalize as nm
 from docweave.operators import topk as tk
+from docweave.sources import html as ht
 
 
 def exchanges(df):
@@ -75,3 +76,12 @@ def test_wide_links_are_few_and_connect_the_same(spark):
                 left -= close
                 todo += close
             assert {got.get((s, h), h) for h in group} == {min(group)}
+
+
+def test_few_parsed_pages_are_objects_at_a_time(spark, monkeypatch):
+    seen = []
+    kept = pa.array
+    monkeypatch.setattr(pa, "array", lambda values, *more, **named: seen.append(len(values)) or kept(values, *more, **named))
+    texts = kept([f"<h1>T {i}</h1><p>x</p>" if i % 3 else None for i in range(3 * ht.PARSE_PAGES + 1)], pa.string())
+    found = ht._parse().func(texts, kept([None] * len(texts), pa.string())).to_pylist()
+    assert max(seen) <= ht.PARSE_PAGES and [len(r["found"]) for r in found[:4]] == [0, 2, 2, 0] and found[1]["found"][0]["text"] == "T 1"
