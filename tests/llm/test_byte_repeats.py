@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from docweave.llm import byte_repeats as R
@@ -72,3 +74,24 @@ def test_passages_with_a_gram_at_two_places_are_inner():
     inner = lambda text: bool(R.passages(R._Hasher(), [text.encode()], 40, 12)[6].any())
     once = "".join(chr(97 + (i * i + 3 * i) % 26) + str(i) for i in range(100))
     assert inner("-" * 60) and inner("The same line\n" * 5) and not inner(once) and not inner("-" * 40)
+
+
+@pytest.mark.parametrize("keep_first", [True, False])
+def test_grams_of_a_bucket_are_sorted_in_parts(spark, rows, keep_first):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = R.remove_repeats(docs.repartition(3), width=40, keep_first=keep_first, gram=12, sort_bytes=300).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == slow(rows, 40, keep_first)
+
+
+def test_a_suffix_array_takes_few_bytes_per_byte():
+    size, passage = 1 << 20, 512
+    raw = np.random.default_rng(1).integers(97, 123, size, dtype=np.uint8)
+    raw[size // 2 :] = raw[: size // 2]
+    room = (passage - np.arange(size) % passage).astype(np.int32)
+    starts = np.flatnonzero(room >= 400).astype(np.int32)
+    tracemalloc.start()
+    order, tied = R.suffix_order(raw, starts, room, 400)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert tied.sum() == len(starts) // 2 and sorted(order) == starts.tolist()
+    assert peak < 60 * size, peak / size
