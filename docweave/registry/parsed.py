@@ -19,8 +19,9 @@ from docweave.sources import structured as st
 
 def structured_files(spark: SparkSession, sf: str) -> DataFrame:
     """The documents of ``pdf_flatten`` as JSON files, some torn, some with a bad page or bad items."""
-    docs = pdf_documents(spark, sf)
-    whole = F.to_json(F.struct("pages"))
+    # A column of its own: the cases below use it several times.
+    docs = pdf_documents(spark, sf).withColumn("whole", F.to_json(F.struct("pages")))
+    whole = F.col("whole")
     turn = F.col("document_id").cast("bigint") % 7
     text = (
         F.when(turn == 3, F.left(whole, F.length(whole) - 5)).when(turn == 5, F.regexp_replace(whole, r'"page_number":\d*7,', '"number":7,'))

@@ -53,17 +53,29 @@ def _object(text: Column, kind: str) -> Column:
     return F.when(F.ltrim(text).startswith("{"), F.from_json(text, kind))
 
 
-def _whole(text: Column, field: str) -> Column:
-    """The list ``field`` of a JSON object as texts; NULL if the text isn't JSON or has no such list."""
-    return F.when(F.try_parse_json(text).isNotNull(), _object(text, f"struct<{field}:array<string>>")[field])
+def _is_object(text: Column) -> Column:
+    """Whether :func:`_object` gives an object, if need be without any field; not NULL."""
+    return F.coalesce(F.ltrim(text).startswith("{"), F.lit(False))
+
+
+def _listed(files: DataFrame, field: str) -> DataFrame:
+    """``path, json, list, error``: the list ``field`` of every file as texts, or why it has none.
+
+    A file is parsed once: its list is a column of its own, and nothing below it is filtered.
+    """
+    told = files.select("path", "text", (F.col("text").isNotNull() & F.try_parse_json("text").isNotNull()).alias("json"))
+    listed = told.select("path", "json", F.when(F.col("json"), _object(F.col("text"), f"struct<{field}:array<string>>")[field]).alias("list"))
+    why = F.when(F.col("json"), F.lit(f"no list of {field}")).otherwise(F.lit("not JSON"))
+    return listed.select("path", "list", F.when(F.col("list").isNull(), why).alias("error"))
 
 
 def _split(files: DataFrame, field: str) -> tuple[DataFrame, DataFrame]:
     """(``path, page, raw`` per entry of the list ``field``, rejected files)."""
-    listed = files.select("path", F.col("text").isNotNull() & F.try_parse_json("text").isNotNull(), _whole(F.col("text"), field)).toDF("path", "json", "list")
-    why = F.when(F.col("json"), F.lit(f"no list of {field}")).otherwise(F.lit("not JSON"))
-    bad = listed.filter("list IS NULL").select("path", F.lit(None).cast("int").alias("page"), F.lit(None).cast("int").alias("item"), why.alias("error"))
-    return listed.select("path", F.posexplode("list").alias("page", "raw")), bad
+    listed = _listed(files, field)
+    none = F.lit(None).cast("int")
+    bad = listed.filter("error IS NOT NULL").select("path", none.alias("page"), none.alias("item"), "error")
+    # An inner generator would filter by the list, and so read it a second time.
+    return listed.select("path", F.posexplode_outer("list").alias("page", "raw")).filter("page IS NOT NULL"), bad
 
 
 def pdf_pages(files: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -72,25 +84,33 @@ def pdf_pages(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``page`` is the place in the file, from 0; ``items`` are ``struct<type, md, value, bbox>``. ``rejected``: ``path,
     page, item, error``, the levels below a bad file or page NULL. A page needs a whole number; a page without items is
     a page. A first box counts only in a list of boxes. What stands behind the object of a file is ignored.
+
+    A text is parsed once on every level: lists of parsed entries go through outer generators, below which no filter
+    is moved, and all bad records of a file come from one pass over it.
     """
-    pages, bad_files = _split(files, "pages")
-    read = pages.withColumn("p", _object(F.col("raw"), "struct<page_number:int,items:array<string>>"))
-    torn = F.col("p.items").isNull() & F.get_json_object("raw", "$.items").isNotNull()
-    why = F.when(F.col("p.page_number").isNull(), "page without page_number").when(torn, "items is no list")
-    read = read.withColumn("why", why)
-    fine = F.col("why").isNull()
-    bad_pages = read.filter(~fine).select("path", "page", F.lit(None).cast("int").alias("item"), F.col("why").alias("error"))
-    items = F.transform(F.coalesce("p.items", F.array().cast("array<string>")), lambda i: _object(i, ITEM))
-    numbered = read.filter(fine).select("path", "page", F.col("p.page_number").alias("page_number"), items.alias("items"))
-    loose = numbered.select("path", "page", F.posexplode("items").alias("item", "i")).filter("i IS NULL")
-    bad_items = loose.select("path", "page", "item", F.lit("item is no object").alias("error"))
+    parsed = lambda raw: F.struct(raw.alias("raw"), _object(raw, "struct<page_number:int,items:array<string>>").alias("p"))
+    read = _listed(files, "pages").select("path", "error", F.posexplode_outer(F.transform("list", parsed)).alias("page", "e"))
+    torn = F.col("e.p.items").isNull() & F.get_json_object("e.raw", "$.items").isNotNull()
+    why = F.when(F.col("e.p.page_number").isNull(), "page without page_number").when(torn, "items is no list")
+    read = read.select("path", "page", F.col("e.p").alias("p"), F.when(F.col("page").isNull(), F.col("error")).otherwise(why).alias("why"))
+
+    # One list of errors for every file without pages, bad page, and page with bad items.
+    loose = F.filter(F.transform("p.items", lambda i, n: F.when(~_is_object(i), n)), lambda n: n.isNotNull())
+    none = F.lit(None).cast("int")
+    error = lambda item, text: F.struct(item.alias("item"), text.alias("error"))
+    items_of = F.transform(loose, lambda n: error(n, F.lit("item is no object")))
+    errors = F.when(F.col("why").isNotNull(), F.array(error(none, F.col("why")))).otherwise(items_of)
+    bad = read.select("path", "page", F.explode_outer(errors).alias("x")).filter("x IS NOT NULL").select("path", "page", "x.item", "x.error")
+
+    items = F.filter("p.items", _is_object)
     heights = lambda b: F.from_json(b, "array<struct<y:string>>")
     boxes = lambda b: F.when(F.ltrim(b).startswith("["), F.transform(heights(b), lambda x: F.struct(x["y"].try_cast("double").alias("y"))))
     typed = F.transform(
-        F.filter("items", lambda i: i.isNotNull()),
+        F.transform(F.coalesce(items, F.array().cast("array<string>")), lambda i: F.from_json(i, ITEM)),
         lambda i: F.struct(i["type"].alias("type"), i["md"].alias("md"), i["value"].alias("value"), boxes(i["bbox"]).alias("bbox")),
     )
-    return numbered.withColumn("items", typed), bad_files.unionByName(bad_pages).unionByName(bad_items)
+    fine = read.filter("page IS NOT NULL AND why IS NULL")
+    return fine.select("path", "page", F.col("p.page_number").alias("page_number"), typed.alias("items")), bad
 
 
 def pdf_images(files: DataFrame) -> tuple[DataFrame, DataFrame]:

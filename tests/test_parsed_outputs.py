@@ -41,6 +41,24 @@ def test_bad_records_are_named_and_lose_nothing_else(spark):
     assert first["a"] == ("page 1, item 3: item is no object", 2) and first["c"] == ("no list of pages", 1)
 
 
+def test_a_text_is_read_in_one_pass(spark):
+    loose = ["{torn", None, 5, "  {}", [], {"type": "text", "bbox": {"y": 1}}]
+    texts = [("a", json.dumps({"pages": [page(1, *loose), None, "x", {"page_number": 2}, {"page_number": 3, "items": None}]})), ("e", '{"pages": []}'), ("n", None), ("t", '{"pages": [{')]
+    files = spark.createDataFrame(texts, "path string, text string")
+    pages, rejected = st.pdf_pages(files)
+    leaves = lambda df: df._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+    assert leaves(rejected) == 1 and leaves(pages) == 1
+    read = str(pages._jdf.queryExecution().optimizedPlan().toString())
+    assert read.count("array<struct<y:string>>") <= 1 and read.count("Filter") == 1
+    got = {(r.path, r.page): (r.page_number, [(i.type, i.bbox) for i in r["items"]]) for r in pages.collect()}
+    assert got == {("a", 0): (1, [(None, None), (None, None), ("text", None)]), ("a", 3): (2, []), ("a", 4): (3, [])}
+    bad = sorted((r.path, -1 if r.page is None else r.page, -1 if r["item"] is None else r["item"], r.error) for r in rejected.collect())
+    assert bad == [
+        *(("a", 0, n, "item is no object") for n in (1, 2, 4)), *(("a", n, -1, "page without page_number") for n in (1, 2)),
+        ("n", -1, -1, "not JSON"), ("t", -1, -1, "not JSON"),
+    ]
+
+
 def test_image_lists(spark):
     entries = [{"filename": "img_p2_1.png", "bbox": {"x": 1, "h": 4.5}}, "odd", {"bbox": {}}, {"filename": "page_12_image.jpg", "category": "layout", "bbox": None}]
     texts = [("a", json.dumps({"images_content_metadata": {"images": entries}})), ("b", json.dumps({"images_content_metadata": None})), ("c", "{")]
