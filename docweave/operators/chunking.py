@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from docweave.functions import text as tx
 from docweave.functions.ids import uuid5
 from docweave.operators.ordered import running
+from docweave.session import stage_table
 from docweave.settings import DEFAULTS
 
 # Token count that stands for a heading in a fold: it closes the open part.
@@ -243,10 +244,11 @@ def sections(elements: DataFrame, block_rows: int = DEFAULTS.block_rows) -> Data
 
 def assign_parents(elements: DataFrame, params: ChunkParams = ChunkParams()) -> DataFrame:
     """Content elements with ``parent_index`` and ``section`` (position of their heading)."""
-    rows = expand_elements(elements, params).withColumn("block", F.floor(F.col("order") / params.block_rows))
+    # Texts are counted and split once; the steps below without text read only the other columns.
+    rows = stage_table(expand_elements(elements, params).withColumn("block", F.floor(F.col("order") / params.block_rows)))
     blocks = _skeleton(rows)
 
-    long = elements.filter(F.col("order") >= params.block_rows).select("document_id").distinct()
+    long = rows.filter(F.col("order") >= params.block_rows).select("document_id").distinct()
     tables = _skeleton(rows.join(long, "document_id", "left_semi")).select(
         "document_id", "block", _exit_tables(params.parent_max)(F.col("items.size")).alias("exits")
     )

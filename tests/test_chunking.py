@@ -166,3 +166,20 @@ def test_entries_from_a_tree_of_tables(spark):
     for fan in (2, 3, 1000):
         found = ch.block_entries(tables, budget, fan)
         assert {(r.document_id, r.block): r.entry for r in found.collect()} == expected
+
+
+def test_texts_are_cleaned_once_for_all_steps_of_a_fold(spark):
+    """Steps of ``assign_parents`` read the pieces back instead of splitting every text again."""
+    rows = [(f"d{d}", f"{d}:{i}", "heading" if i % 4 == 0 else "text", f"w{i} " * (i + 1), 1, i, "x", "pdf", "f") for d in range(2) for i in range(9)]
+    elements = spark.createDataFrame(rows, "document_id string, element_id string, element_type string, text string, page_number int, order int, domain string, source_type string, file_name string")
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    counted = elements.mapInArrow(seen, elements.schema)
+    placed = ch.assign_parents(counted, ch.ChunkParams(target=8, overlap=2, max_tokens=10, parent_max=12, block_rows=4)).collect()
+    assert {r.element_id.split("#")[0] for r in placed} == {r[1] for r in rows if r[2] == "text"}
+    assert reads.value == len(rows)
