@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docweave.functions import text as tx
 from docweave.operators import chunking as ch
 from docweave.registry.base import sql_uuid5, table
+from docweave.session import stage_table
 
 # Small budgets, so that the given texts exercise every split.
 PARAMS = ch.ChunkParams(target=64, overlap=8, max_tokens=100, parent_max=250)
@@ -97,7 +98,7 @@ def sections(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def section_split(spark: SparkSession, sf: str) -> DataFrame:
-    elements = line_elements(spark, sf)
+    elements = stage_table(line_elements(spark, sf))
     parents = ch.parent_sections(ch.assign_parents(elements, PARAMS), ch.headings(elements, PARAMS))
     return parents.select(
         "parent_id", "document_id", "section_title", F.array_join("section_path", " > ").alias("section_path"),
@@ -107,7 +108,7 @@ def section_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def child_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    elements = line_elements(spark, sf)
+    elements = stage_table(line_elements(spark, sf))
     children = ch.child_chunks(ch.assign_parents(elements, PARAMS), ch.headings(elements, PARAMS), PARAMS)
     return children.select(
         "chunk_id", "parent_id", "document_id", "section_title", "chunk_index",
