@@ -23,9 +23,11 @@ PLACE = ("doc_id", "line_no")
 # Rarest tokens of a class by which it is compared with the first class that has them.
 LEADS = 6
 
-# What a row of a token's list carries besides the class: place, size, position of the token, end and size of the prefix,
-# parities of the tokens.
-CARRIED = (*PLACE, "n", "i", "end", "p", "odd")
+# Tokens of a line up to which 64 parities tell lines apart; longer lines are compared in 128.
+NARROW = 48
+
+# What a row of a token's list carries besides the class: place, size, position of the token, parities of the tokens.
+CARRIED = (*PLACE, "n", "i", "odd", "wide")
 LED = (*PLACE, "n", "i", "odd")  # of a lead token
 
 
@@ -40,7 +42,8 @@ def _bucket(token: Column) -> Column:
 
 
 def rarity(docs: DataFrame) -> DataFrame:
-    """One row: for every hash bucket its rank when buckets are ordered by the number of tokens of ``docs`` in them.
+    """One row: for every hash bucket its rank, from ``-2 ** (RARITY_BITS - 1)`` on, when buckets are ordered by the number of
+    tokens of ``docs`` in them.
 
     Tokens are counted on the map side; the table has ``2 ** RARITY_BITS`` integers at any input size. Tokens that
     share a bucket are ordered by hash, so the order of tokens is total and the join exact.
@@ -60,7 +63,8 @@ def rarity(docs: DataFrame) -> DataFrame:
     ordered = summed.agg(packed(F.least("n", most), F.col("bucket")).alias("x"))
     ranked = ordered.select(F.posexplode("x").alias("rank", "e")).select("rank", F.col("e").bitwiseAND(low).alias("bucket"))
     table = ranked.agg(packed(F.col("bucket"), F.col("rank")).alias("x"))
-    return table.select(F.transform("x", lambda e: e.bitwiseAND(low).cast("int")).alias("ranks"))
+    half = 1 << (RARITY_BITS - 1)
+    return table.select(F.transform("x", lambda e: (e.bitwiseAND(low) - half).cast("int")).alias("ranks"))
 
 
 def _keys(split: DataFrame, ranks: DataFrame, *more: str) -> DataFrame:
@@ -70,10 +74,9 @@ def _keys(split: DataFrame, ranks: DataFrame, *more: str) -> DataFrame:
     one to one. The rank table is a scalar subquery; Catalyst moves it into the expression.
     """
     rest = (1 << (64 - RARITY_BITS)) - 1
-    half = 1 << (RARITY_BITS - 1)
 
     def key(hash_: Column) -> Column:
-        rank = F.coalesce(F.get("ranks", F.shiftrightunsigned(hash_, 64 - RARITY_BITS).cast("int")), F.lit(0)) - half
+        rank = F.coalesce(F.get("ranks", F.shiftrightunsigned(hash_, 64 - RARITY_BITS).cast("int")), F.lit(0))
         return F.shiftleft(rank.cast("bigint"), 64 - RARITY_BITS).bitwiseOR(hash_.bitwiseAND(F.lit(rest)))
 
     # Empty parts go by their hash, which is cheaper than comparing texts.
@@ -98,13 +101,22 @@ def _parities() -> Column:
     return F.expr("aggregate(keys, 0L, (bits, k) -> bits ^ shiftleft(1L, cast(k & 63 AS INT)))")
 
 
+def _half_parities() -> Column:
+    """The same of the tokens with one more bit set, in lines of more than ``NARROW`` tokens; ``odd ^ wide`` has the others, so
+    that both together are 128 parities. In 64, any two long lines differ in few enough bits."""
+    half = F.expr("aggregate(keys, 0L, (bits, k) -> bits ^ shiftleft(shiftright(k, 6) & 1L, cast(k & 63 AS INT)))")
+    return F.when(F.col("n") > NARROW, half).otherwise(F.lit(0).cast("bigint"))
+
+
 def _similar(overlap: Column, a: Column, b: Column) -> Column:
     """Jaccard of 4/5 or more in whole numbers; also an upper bound of the overlap can be tested."""
     return overlap * 9 >= (a + b) * 4
 
 
 def _fetch(docs: DataFrame, ranks: DataFrame, wanted: DataFrame, count: int) -> DataFrame:
-    """(id, keys) of the lines at the places of ``wanted`` (id, doc_id, line_no, c1)."""
+    """(id, c1, keys) of the lines at the places of ``wanted`` (id, doc_id, line_no, c1). Repeated ids have several lines at a
+    place; the reader leaves out those whose content isn't ``c1``, since a filter here would be moved below ``_keys``, and
+    each line be split and sorted twice."""
     places = wanted.withColumnsRenamed({"doc_id": "d", "line_no": "l"})
     if count <= BROADCAST_LINES:
         # Only documents with such lines are split.
@@ -112,8 +124,7 @@ def _fetch(docs: DataFrame, ranks: DataFrame, wanted: DataFrame, count: int) ->
         docs = docs.join(of, F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
         places = F.broadcast(places)
     found = lines(docs).join(places, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l")))
-    keyed = _keys(found, ranks, "id", "c1").filter(F.xxhash64("keys") == F.col("c1"))
-    return stored(keyed.select("id", "keys"))
+    return stored(_keys(found, ranks, "id", "c1"))
 
 
 def _verified(docs: DataFrame, ranks: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -122,7 +133,8 @@ def _verified(docs: DataFrame, ranks: DataFrame, classes: DataFrame, pairs: Data
     ends = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct()
     wanted = stored(classes.join(ends, "id").select("id", "doc_id", "line_no", "c1"))
     sets = _fetch(docs, ranks, wanted, wanted.count())
-    left, right = (sets.withColumnsRenamed({"id": side, "keys": f"keys_{side}"}) for side in "xy")
+    same = sets.filter(F.xxhash64("keys") == F.col("c1"))
+    left, right = (same.select(F.col("id").alias(side), F.col("keys").alias(f"keys_{side}")) for side in "xy")
     overlap = F.size(F.array_intersect("keys_x", "keys_y"))
     found = stored(pairs.join(left, "x").join(right, "y").filter(_similar(overlap, F.size("keys_x"), F.size("keys_y"))).select("x").distinct())
     release(pairs, wanted, sets)
@@ -136,9 +148,10 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     of 0.8 or more, judged on the input. Earlier is a smaller doc_id, or the same document and a smaller line.
 
     1. Lines of the same tokens are one class, and its first line stands for it: copies cost one row.
-    2. A class lists its rarest tokens. Similar classes share one of them (prefix filter), have sizes within 4/5
-       (length filter), differ in few of 64 parities of tokens, and the tokens behind the shared ones must suffice
-       (positional filter). All of it is part of the join condition, so no other pair is shuffled.
+    2. A class lists its rarest tokens. Similar classes share one of them, early enough for the sizes of both (prefix
+       filter), have sizes within 4/5 (length filter), differ in few of 64 or 128 parities of tokens, and the tokens
+       behind the shared ones must suffice (positional filter). All of it but the last is part of the join condition,
+       so no other pair is shuffled.
     3. Each class is first compared with the first class that has one of its ``LEADS`` rarest tokens. In a group of near copies this settles
        nearly all of them, so the pairs inside the group aren't made.
     4. Classes still open are joined with all earlier ones on their lists. The join's two inputs are plain shuffles,
@@ -149,24 +162,24 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     ranks = stored(rarity(docs))
-    keyed = _keys(lines(docs), ranks, *PLACE).filter(F.size("keys") > 0)
+    # Lines with a word, told by the text: a filter on ``keys`` would be moved below them, and each line be split twice.
+    keyed = _keys(lines(docs).filter(F.trim("line") != ""), ranks, *PLACE)
     listed = keyed.select(*PLACE, F.xxhash64("keys").alias("c1"), F.xxhash64(F.lit(7), "keys").alias("c2"), F.size("keys").alias("n"), "keys")
-    all_lines = stored(listed.select(*PLACE, "c1", "c2", "n", _prefix().alias("prefix"), _parities().alias("odd")))
+    all_lines = stored(listed.select(*PLACE, "c1", "c2", "n", _prefix().alias("prefix"), _parities().alias("odd"), _half_parities().alias("wide")))
 
     # Same content, same size and prefix.
-    first = F.min(F.struct(*PLACE)).alias("at")
-    classes = all_lines.groupBy("c1", "c2").agg(first, F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("odd").alias("odd"))
-    classes = stored(classes.select(F.monotonically_increasing_id().alias("id"), "c1", "c2", "at.*", "n", "prefix", "odd"))
+    shared = ("n", "prefix", "odd", "wide")
+    classes = all_lines.groupBy("c1", "c2").agg(F.min(F.struct(*PLACE)).alias("at"), *(F.first(c).alias(c) for c in shared))
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("id"), "c1", "c2", "at.*", *shared))
 
     def postings(tokens: Column) -> DataFrame:
-        end = F.element_at("prefix", -1).alias("end")
-        return classes.select(F.posexplode(tokens).alias("i", "token"), "id", *PLACE, "n", end, F.size("prefix").alias("p"), "odd")
+        return classes.select(F.posexplode(tokens).alias("i", "token"), "id", *PLACE, "n", "odd", "wide")
 
     # The first class of a token is a minimum, combined before the shuffle; joined back, a hot token is split like any other.
     leading = postings(F.slice("prefix", 1, LEADS)).select("token", "id", *LED)
     leads = leading.groupBy("token").agg(F.min(F.struct(*PLACE, "id", *LED[2:])).alias("lead"))
     led = leading.join(leads, "token").select("id", *LED, "lead").filter("lead.id <> id")
-    settled = _verified(docs, ranks, classes, _pairs(led.select(*_side("x", carried=LED), *_side("y", "lead.", LED)), leads=True))
+    settled = _verified(docs, ranks, classes, _pairs(led.select(*_side("x", carried=LED), *_side("y", "lead.", LED)).filter(_before() & _close(_bits("odd"))), leads=True))
 
     # Both inputs of the join are the same shuffle; what is settled is left out behind it.
     dealt = postings(F.col("prefix")).repartition("token")
@@ -174,7 +187,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # An outer join, since an anti join would be moved below the shuffle.
     open_ = dealt.join(F.broadcast(done) if done.count() <= BROADCAST_LINES else done, "id", "left").filter("done IS NULL")
     left, right = open_.select("token", *_side("x")), dealt.select(F.col("token").alias("t"), *_side("y"))
-    two = _pairs(left.join(right, (F.col("token") == F.col("t")) & (F.col("x") != F.col("y")) & _earlier() & _close()))
+    two = _pairs(left.join(right, (F.col("token") == F.col("t")) & _early() & _close(_differ()) & (F.col("x") != F.col("y")) & _before()))
     verified = _verified(docs, ranks, classes, two)
     release(ranks)
     matched = settled.unionByName(verified).distinct()
@@ -190,38 +203,47 @@ def _side(name: str, of: str = "", carried: tuple[str, ...] = CARRIED) -> list[C
     return [F.col(f"{of}id").alias(name), *(F.col(of + c).alias(f"{c}_{name}") for c in carried)]
 
 
-def _earlier() -> Column:
-    """y stands before x."""
-    return F.struct("doc_id_y", "line_no_y") < F.struct("doc_id_x", "line_no_x")
+def _before() -> Column:
+    """y stands before x; a null id is the smallest. No structs are made, since a join tests this for many candidates."""
+    of_y, of_x = F.col("doc_id_y"), F.col("doc_id_x")
+    smaller = (of_y < of_x) | (of_y.isNull() & of_x.isNotNull())
+    return F.coalesce(smaller, F.lit(False)) | (of_y.eqNullSafe(of_x) & (F.col("line_no_y") < F.col("line_no_x")))
+
+
+def _early() -> Column:
+    """Prefix filter for the sizes of both: all that two lines share stands from their first shared token on, which leaves room
+    for 4/9 of both sizes. Two lines of one size meet in a ninth of their tokens and one more, not in a fifth."""
+    n_x, n_y, i_x, i_y = (F.col(c) for c in ("n_x", "n_y", "i_x", "i_y"))
+    return _similar(F.least(n_x - i_x, n_y - i_y), n_x, n_y)
+
+
+def _bits(column: str) -> Column:
+    return F.bit_count(F.col(f"{column}_x").bitwiseXOR(F.col(f"{column}_y")))
+
 
+def _differ() -> Column:
+    """Parities in which x and y differ, of 128 where both have them."""
+    others = F.bit_count(F.expr("(odd_x ^ wide_x) ^ (odd_y ^ wide_y)"))
+    return F.when(F.least("n_x", "n_y") > NARROW, _bits("wide") + others).otherwise(_bits("odd"))
 
-def _close() -> Column:
+
+def _close(differ: Column) -> Column:
     """Length filter; at most a ninth of the sizes' sum may differ, so no more parities; and the positional filter for one
     shared token: at most min(i) + 1 + the rest can be shared."""
     n_x, n_y, i_x, i_y = (F.col(c) for c in ("n_x", "n_y", "i_x", "i_y"))
     length = (n_x * 5 >= n_y * 4) & (n_y * 5 >= n_x * 4)
-    differ = F.bit_count(F.col("odd_x").bitwiseXOR(F.col("odd_y"))) * 9 <= n_x + n_y
-    return length & differ & _similar(F.least(i_x, i_y) + 1 + F.least(n_x - i_x - 1, n_y - i_y - 1), n_x, n_y)
+    return length & (differ * 9 <= n_x + n_y) & _similar(F.least(i_x, i_y) + 1 + F.least(n_x - i_x - 1, n_y - i_y - 1), n_x, n_y)
 
 
 def _pairs(shared: DataFrame, leads: bool = False) -> DataFrame:
-    """(x, y) of rows with one shared token each: the filters above, then the positional filter over all shared tokens.
+    """(x, y) of rows with one shared token each: the positional filter over all shared tokens.
 
-    Let the prefix of x end earlier, in the order of rarity, than that of y. What x shares with y up to there is
-    counted; behind it x has ``n - prefix`` tokens, and y those behind the last shared one. With equal ends both sides
-    have those behind the last shared one. ``leads``: only the ``LEADS`` rarest tokens are in ``shared``, so that is all
-    that is known of either side; of longer lines only those with two of them in common are tried, since what isn't
-    settled here is left to the full join.
+    What x and y share in the tokens that were compared is counted; all else that they share stands behind the last of
+    these, on either side. ``leads``: only the ``LEADS`` rarest tokens are in ``shared``; of longer lines only those with
+    two of them in common are tried, since what isn't settled here is left to the full join.
     """
-
-    def behind(side: str, other: str) -> Column:
-        last = F.col(f"n_{side}") - F.col(f"i_{side}") - 1
-        if leads:
-            return last
-        return F.when(F.col(f"end_{side}") < F.col(f"end_{other}"), F.col(f"n_{side}") - F.col(f"p_{side}")).otherwise(last)
-
     size = (F.col("n_x") + F.col("n_y")).alias("size")
-    rows = shared.filter(_earlier() & _close()).select("x", "y", size, F.least(behind("x", "y"), behind("y", "x")).alias("rest"))
+    rows = shared.select("x", "y", size, F.least(*(F.col(f"n_{c}") - F.col(f"i_{c}") - 1 for c in "xy")).alias("rest"))
     grouped = rows.groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared"), F.min("rest").alias("rest"), F.max("size").alias("size"))
     if leads:
         grouped = grouped.filter((F.col("shared") >= 2) | (F.col("size") <= 20))

@@ -55,3 +55,48 @@ def test_lines_are_dropped(spark):
 def test_plan_has_no_python(spark):
     plan = D.repeated_lines(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_long_lines_match_brute_force(spark):
+    rng = random.Random(4)
+    words = [f"w{rng.randint(0, 60) if rng.random() < 0.4 else rng.randint(0, 900)}" for _ in range(1200)]
+    base = [rng.choices(words, k=n) for n in (*range(D.NARROW - 8, D.NARROW + 14, 3), 90, 140, 200)]
+
+    def line():
+        w = list(rng.choice(base))
+        for _ in range(rng.randint(0, len(w) // 6)):
+            w[rng.randrange(len(w))] = rng.choice(words)
+        return " ".join(w[rng.randint(0, len(w) // 10) :])
+
+    rows = [(i, "\n".join(line() for _ in range(3))) for i in range(60)]
+    got = D.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(map(tuple, got)) == slow(rows) and 50 < len(got) < 170
+
+
+def test_unlike_long_lines_make_no_candidates(spark, monkeypatch):
+    rng = random.Random(6)
+    words = [f"w{n}" for n in range(600)]
+    rows = [(i, " ".join(rng.sample(words, 140))) for i in range(200)]
+    made, pairs = [], D._pairs
+
+    def counted(shared, leads=False):
+        made.append(shared.count())
+        return pairs(shared, leads)
+
+    monkeypatch.setattr(D, "_pairs", counted)
+    assert D.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).count() == 0
+    assert made[-1] < 20, made
+
+
+def test_lines_are_split_once_a_pass(spark, monkeypatch):
+    plans, stored = [], D.stored
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df)
+
+    monkeypatch.setattr(D, "stored", seen)
+    rows = [(1, "a b c d e f g h i j"), (2, "a b c d e f g h i k"), (3, "a b c d e f g h i j")]
+    assert D.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).count() == 2
+    counts = [plan.count("transform(split(line") for plan in plans]
+    assert max(counts) == 1 and sum(counts) == 3, counts
