@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from docweave.llm.common import release, stored
 
 # White space besides the space and the newline; it is read as a space, so that words are split at one character.
-OTHER_SPACES = r"[\t\x0b\x0c\r]"
+OTHER_SPACES = "\t\x0b\x0c\r"
 
 # Hash buckets of the rarity table; a table row is one integer, whatever the number of distinct tokens.
 RARITY_BITS = 21
@@ -33,7 +35,9 @@ LED = (*PLACE, "n", "i", "odd")  # of a lead token
 
 def lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, line) of (doc_id, text)."""
-    spaced = F.regexp_replace("text", OTHER_SPACES, " ")
+    # Most texts have none of them; telling so is cheaper than a regular expression over each text.
+    other = reduce(or_, (F.contains("text", F.lit(c)) for c in OTHER_SPACES))
+    spaced = F.when(other, F.regexp_replace("text", f"[{OTHER_SPACES}]", " ")).otherwise(F.col("text"))
     return docs.select("doc_id", F.posexplode(F.split(spaced, "\n")).alias("line_no", "line"))
 
 
@@ -43,15 +47,16 @@ def _bucket(token: Column) -> Column:
 
 def rarity(docs: DataFrame) -> DataFrame:
     """One row: for every hash bucket its rank, from ``-2 ** (RARITY_BITS - 1)`` on, when buckets are ordered by the number of
-    tokens of ``docs`` in them.
+    tokens of ``docs`` in them. Rank and bucket are combined by XOR and shifted to the upper bits, which turns the upper
+    half of a token's hash into one that starts with the rank in a single step.
 
     Tokens are counted on the map side; the table has ``2 ** RARITY_BITS`` integers at any input size. Tokens that
     share a bucket are ordered by hash, so the order of tokens is total and the join exact.
     """
     spark = docs.sparkSession
     all_buckets = spark.range(1 << RARITY_BITS).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("bigint").alias("n"))
-    words = F.split(F.regexp_replace("text", r"[\t\n\x0b\x0c\r]", " "), " ")
-    counted = docs.select(F.explode(words).alias("t")).filter("t <> ''").select(_bucket(F.col("t")).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    words = F.split("line", " ")
+    counted = lines(docs).select(F.explode(words).alias("t")).filter("t <> ''").select(_bucket(F.col("t")).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     summed = counted.unionByName(all_buckets).groupBy("bucket").agg(F.sum("n").alias("n"))
     # Pairs are packed into one long each: an array of longs takes a fraction of an array of structs.
     low = F.lit((1 << RARITY_BITS) - 1)
@@ -64,47 +69,47 @@ def rarity(docs: DataFrame) -> DataFrame:
     ranked = ordered.select(F.posexplode("x").alias("rank", "e")).select("rank", F.col("e").bitwiseAND(low).alias("bucket"))
     table = ranked.agg(packed(F.col("bucket"), F.col("rank")).alias("x"))
     half = 1 << (RARITY_BITS - 1)
-    return table.select(F.transform("x", lambda e: (e.bitwiseAND(low) - half).cast("int")).alias("ranks"))
+    turned = F.transform("x", lambda e, bucket: F.shiftleft((e.bitwiseAND(low) - half).cast("int").bitwiseXOR(bucket), 32 - RARITY_BITS))
+    return table.select(turned.alias("ranks"))
 
 
-def _keys(split: DataFrame, ranks: DataFrame, *more: str) -> DataFrame:
-    """``split`` with ``keys``: its distinct tokens as numbers, rarest first.
-
-    A number is the rank of the token's bucket followed by the rest of its 64-bit hash, so it stands for the hash
-    one to one. The rank table is a scalar subquery; Catalyst moves it into the expression.
-    """
-    rest = (1 << (64 - RARITY_BITS)) - 1
-
-    def key(hash_: Column) -> Column:
-        rank = F.coalesce(F.get("ranks", F.shiftrightunsigned(hash_, 64 - RARITY_BITS).cast("int")), F.lit(0))
-        return F.shiftleft(rank.cast("bigint"), 64 - RARITY_BITS).bitwiseOR(hash_.bitwiseAND(F.lit(rest)))
-
+def _hashes(split: DataFrame, *more: str) -> DataFrame:
+    """``split`` with ``hashes``: its distinct tokens as 64-bit hashes, sorted."""
     # Empty parts go by their hash, which is cheaper than comparing texts.
     hashed = F.array_remove(F.transform(F.split("line", " "), lambda t: F.xxhash64(t)), F.xxhash64(F.lit("")))
-    return split.select(*more, hashed.alias("hashes"), ranks.scalar().alias("ranks")).select(
-        *more, F.sort_array(F.array_distinct(F.transform("hashes", key))).alias("keys")
-    )
+    return split.select(*more, F.sort_array(F.array_distinct(hashed)).alias("hashes"))
 
 
-def _prefix() -> Column:
-    """Rarest tokens of which two lines with Jaccard 4/5 or more share one: n - ceil(4/5 n) + 1 of ``keys``.
+def _keys(hashed: DataFrame, ranks: DataFrame, *more: str | Column) -> DataFrame:
+    """``more`` and ``keys``: the tokens of ``hashes`` as 32-bit numbers, rarest first. A number is the rank of the token's bucket,
+    followed by the bits of its hash behind the bucket's. They keep the order of tokens; two tokens with one number only make a
+    candidate more.
 
-    The upper halves of the numbers do: they keep the order, and two tokens with one half only make a candidate more.
+    Functions with a lambda are interpreted together with all that stands below them, so ``hashes`` stays a column of its
+    own: ``more`` reads it, too, which keeps Catalyst from moving it. The rank table is a scalar subquery, named beside
+    ``more`` and used once, so that Catalyst does move it into the expression; as a column it would be copied for each line.
     """
-    length = (F.col("n") - F.expr("(4 * n + 4) div 5") + 1).cast("int")
-    return F.transform(F.slice("keys", 1, length), lambda k: F.shiftright(k, 32).cast("int"))
+    upper = F.transform("hashes", lambda h: F.shiftright(h, 32).cast("int"))
+    named = hashed.select(*more, upper.alias("upper"), ranks.scalar().alias("ranks"))
+    rank = F.transform("upper", lambda h: h.bitwiseXOR(F.coalesce(F.get("ranks", F.shiftrightunsigned(h, 32 - RARITY_BITS)), F.lit(0))))
+    return named.select(*(c for c in named.columns if c not in ("upper", "ranks")), F.sort_array(rank).alias("keys"))
+
+
+def _prefix() -> Column:
+    """Rarest tokens of which two lines with Jaccard 4/5 or more share one: n - ceil(4/5 n) + 1 of ``keys``."""
+    return F.slice("keys", 1, (F.col("n") - F.expr("(4 * n + 4) div 5") + 1).cast("int"))
 
 
 def _parities() -> Column:
-    """64 bits: each is the parity of the tokens whose hash chooses it. Where two lines differ in a bit, some token is in one
-    of them only, and other bits have other tokens; so they differ in no more bits than tokens."""
-    return F.expr("aggregate(keys, 0L, (bits, k) -> bits ^ shiftleft(1L, cast(k & 63 AS INT)))")
+    """64 bits: each is the parity of the tokens whose lowest 6 bits choose it (a shift reads no others). Where two lines differ
+    in a bit, some token is in one of them only, and other bits have other tokens; so they differ in no more bits than tokens."""
+    return F.expr("aggregate(keys, 0L, (bits, k) -> bits ^ shiftleft(1L, k))")
 
 
 def _half_parities() -> Column:
     """The same of the tokens with one more bit set, in lines of more than ``NARROW`` tokens; ``odd ^ wide`` has the others, so
     that both together are 128 parities. In 64, any two long lines differ in few enough bits."""
-    half = F.expr("aggregate(keys, 0L, (bits, k) -> bits ^ shiftleft(shiftright(k, 6) & 1L, cast(k & 63 AS INT)))")
+    half = F.expr("aggregate(keys, 0L, (bits, k) -> if((k & 64) = 0, bits, bits ^ shiftleft(1L, k)))")
     return F.when(F.col("n") > NARROW, half).otherwise(F.lit(0).cast("bigint"))
 
 
@@ -113,9 +118,9 @@ def _similar(overlap: Column, a: Column, b: Column) -> Column:
     return overlap * 9 >= (a + b) * 4
 
 
-def _fetch(docs: DataFrame, ranks: DataFrame, wanted: DataFrame, count: int) -> DataFrame:
-    """(id, c1, keys) of the lines at the places of ``wanted`` (id, doc_id, line_no, c1). Repeated ids have several lines at a
-    place; the reader leaves out those whose content isn't ``c1``, since a filter here would be moved below ``_keys``, and
+def _fetch(docs: DataFrame, wanted: DataFrame, count: int) -> DataFrame:
+    """(id, c1, hashes) of the lines at the places of ``wanted`` (id, doc_id, line_no, c1). Repeated ids have several lines at a
+    place; the reader leaves out those whose content isn't ``c1``, since a filter here would be moved below ``_hashes``, and
     each line be split and sorted twice."""
     places = wanted.withColumnsRenamed({"doc_id": "d", "line_no": "l"})
     if count <= BROADCAST_LINES:
@@ -124,19 +129,19 @@ def _fetch(docs: DataFrame, ranks: DataFrame, wanted: DataFrame, count: int) ->
         docs = docs.join(of, F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
         places = F.broadcast(places)
     found = lines(docs).join(places, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l")))
-    return stored(_keys(found, ranks, "id", "c1"))
+    return stored(_hashes(found, "id", "c1"))
 
 
-def _verified(docs: DataFrame, ranks: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Ids ``x`` of the pairs (x, y) whose Jaccard is 4/5 or more, stored."""
     pairs = stored(pairs)
     ends = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct()
     wanted = stored(classes.join(ends, "id").select("id", "doc_id", "line_no", "c1"))
-    sets = _fetch(docs, ranks, wanted, wanted.count())
-    same = sets.filter(F.xxhash64("keys") == F.col("c1"))
-    left, right = (same.select(F.col("id").alias(side), F.col("keys").alias(f"keys_{side}")) for side in "xy")
-    overlap = F.size(F.array_intersect("keys_x", "keys_y"))
-    found = stored(pairs.join(left, "x").join(right, "y").filter(_similar(overlap, F.size("keys_x"), F.size("keys_y"))).select("x").distinct())
+    sets = _fetch(docs, wanted, wanted.count())
+    same = sets.filter(F.xxhash64("hashes") == F.col("c1"))
+    left, right = (same.select(F.col("id").alias(side), F.col("hashes").alias(f"hashes_{side}")) for side in "xy")
+    overlap = F.size(F.array_intersect("hashes_x", "hashes_y"))
+    found = stored(pairs.join(left, "x").join(right, "y").filter(_similar(overlap, F.size("hashes_x"), F.size("hashes_y"))).select("x").distinct())
     release(pairs, wanted, sets)
     return found
 
@@ -162,9 +167,10 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     ranks = stored(rarity(docs))
-    # Lines with a word, told by the text: a filter on ``keys`` would be moved below them, and each line be split twice.
-    keyed = _keys(lines(docs).filter(F.trim("line") != ""), ranks, *PLACE)
-    listed = keyed.select(*PLACE, F.xxhash64("keys").alias("c1"), F.xxhash64(F.lit(7), "keys").alias("c2"), F.size("keys").alias("n"), "keys")
+    # Lines with a word, told by the text: a filter on ``hashes`` would be moved below them, and each line be split twice.
+    hashed = _hashes(lines(docs).filter(F.trim("line") != ""), *PLACE)
+    contents = (F.xxhash64("hashes").alias("c1"), F.xxhash64(F.lit(7), "hashes").alias("c2"), F.size("hashes").alias("n"))
+    listed = _keys(hashed, ranks, *PLACE, *contents)
     all_lines = stored(listed.select(*PLACE, "c1", "c2", "n", _prefix().alias("prefix"), _parities().alias("odd"), _half_parities().alias("wide")))
 
     # Same content, same size and prefix.
@@ -179,7 +185,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     leading = postings(F.slice("prefix", 1, LEADS)).select("token", "id", *LED)
     leads = leading.groupBy("token").agg(F.min(F.struct(*PLACE, "id", *LED[2:])).alias("lead"))
     led = leading.join(leads, "token").select("id", *LED, "lead").filter("lead.id <> id")
-    settled = _verified(docs, ranks, classes, _pairs(led.select(*_side("x", carried=LED), *_side("y", "lead.", LED)).filter(_before() & _close(_bits("odd"))), leads=True))
+    settled = _verified(docs, classes, _pairs(led.select(*_side("x", carried=LED), *_side("y", "lead.", LED)).filter(_before() & _close(_bits("odd"))), leads=True))
 
     # Both inputs of the join are the same shuffle; what is settled is left out behind it.
     dealt = postings(F.col("prefix")).repartition("token")
@@ -187,8 +193,8 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # An outer join, since an anti join would be moved below the shuffle.
     open_ = dealt.join(F.broadcast(done) if done.count() <= BROADCAST_LINES else done, "id", "left").filter("done IS NULL")
     left, right = open_.select("token", *_side("x")), dealt.select(F.col("token").alias("t"), *_side("y"))
-    two = _pairs(left.join(right, (F.col("token") == F.col("t")) & _early() & _close(_differ()) & (F.col("x") != F.col("y")) & _before()))
-    verified = _verified(docs, ranks, classes, two)
+    two = _pairs(left.join(right, (F.col("token") == F.col("t")) & _close(_differ()) & _early() & (F.col("x") != F.col("y")) & _before()))
+    verified = _verified(docs, classes, two)
     release(ranks)
     matched = settled.unionByName(verified).distinct()
 
@@ -232,7 +238,8 @@ def _close(differ: Column) -> Column:
     shared token: at most min(i) + 1 + the rest can be shared."""
     n_x, n_y, i_x, i_y = (F.col(c) for c in ("n_x", "n_y", "i_x", "i_y"))
     length = (n_x * 5 >= n_y * 4) & (n_y * 5 >= n_x * 4)
-    return length & (differ * 9 <= n_x + n_y) & _similar(F.least(i_x, i_y) + 1 + F.least(n_x - i_x - 1, n_y - i_y - 1), n_x, n_y)
+    # The parities come first: they rule out nearly all pairs.
+    return (differ * 9 <= n_x + n_y) & length & _similar(F.least(i_x, i_y) + 1 + F.least(n_x - i_x - 1, n_y - i_y - 1), n_x, n_y)
 
 
 def _pairs(shared: DataFrame, leads: bool = False) -> DataFrame:

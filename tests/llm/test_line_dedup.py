@@ -100,3 +100,22 @@ def test_lines_are_split_once_a_pass(spark, monkeypatch):
     assert D.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).count() == 2
     counts = [plan.count("transform(split(line") for plan in plans]
     assert max(counts) == 1 and sum(counts) == 3, counts
+
+
+def test_ranks_are_looked_up_in_one_pass(spark, monkeypatch):
+    plans, stored = [], D.stored
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df)
+
+    monkeypatch.setattr(D, "stored", seen)
+    rows = [(1, "a\tb c  d e f\x0bg h i j\r"), (2, "a b\x0cc d e f g h i k"), (3, "a b c d e f g h i j"), (4, "a\tb"), (5, "b a ")]
+    got = D.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == slow(rows) and len(got) == 3
+    looked = [plan for plan in plans if "scalar-subquery" in plan]
+    # Lines to verify need no ranks; the table isn't a column, which would be copied for each line.
+    assert len(looked) == 1 and looked[0].count("scalar-subquery") == 1 and "AS ranks" not in looked[0]
+    # What is interpreted with the lookup starts from a column of sorted hashes.
+    assert "sort_array(transform(transform(hashes" in looked[0]
+    assert all("regexp_replace" not in plan or "CASE WHEN" in plan.split("regexp_replace")[0] for plan in plans)
