@@ -6,6 +6,8 @@ filters and ordering are Spark expressions on that list.
 
 from __future__ import annotations
 
+import re
+from html import unescape
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -39,86 +41,221 @@ ELEMENT = (
 )
 
 
-class _Elements(HTMLParser):
-    """Collects content elements in document order; text goes to every open one."""
+class _Tokens(HTMLParser):
+    """Markup as ``parts``: text, tag, text, tag, ..., text, and ``marks``, a mark for every tag (see :func:`_mark`)."""
 
-    def __init__(self, url: str):
+    def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.url, self.elements, self.open, self.muted, self.sequence = url, [], [], [], 0
+        self.parts, self.marks, self.attrs = [""], [], {}
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in DROPPED:
-            self.muted.append(tag)
-            return
-        if self.muted:
-            return
-        if tag in ENDS_P:
-            self._close("p")
-        for name in IMPLIED.get(tag, ()):
-            self._close(name, SCOPES)
-        element = None
-        if tag in CONTENT and (tag in HEADINGS or not any(t in NESTING for t, _, _ in self.open)):
-            self.sequence += 1
-            element = {"sequence": self.sequence, "tag": tag, "pieces": [], "rows": [], "attrs": dict(attrs)}
-            self.elements.append(element)
-        if tag not in VOID:
-            self.open.append((tag, element, []))
-            if tag == "tr":
-                for _, e, _ in self.open:
-                    if e and e["tag"] == "table":
-                        e["rows"].append([])
-            elif tag in ("td", "th") and len(self.open) > 1 and self.open[-2][0] == "tr":
-                for _, e, _ in self.open:
-                    if e and e["tag"] == "table":
-                        e["rows"][-1].append(self.open[-1][2])
-        self._markup(self.get_starttag_text() or "")
+        if tag == "img":
+            self.attrs[len(self.parts)] = dict(attrs)
+        self._tag(tag if tag in _RAW else f"<{tag}>", self.get_starttag_text() or "")
 
     def handle_endtag(self, tag: str) -> None:
-        if self.muted:
-            if tag == self.muted[-1]:
-                self.muted.pop()
-            return
-        self._markup(f"</{tag}>")
-        self._close(tag)
+        self._tag(f"</{tag}>", f"</{tag}>")
 
     def handle_data(self, data: str) -> None:
+        if self.parts[-1]:
+            self._tag("", "")  # two texts in a row stay two
+        self.parts[-1] = data
+
+    def _tag(self, mark: str, markup: str) -> None:
+        self.marks.append(mark)
+        self.parts += (markup, "")
+
+
+_SPACE, _QUOTED = r"[ \t\n\r\f]", r"[a-zA-Z][-a-zA-Z0-9]*=(?:\"[^\"<>]*\"|'[^'<>]*')"
+_TAG, _PLAIN_TAG = re.compile("(<[^<>]*>)"), re.compile(rf"</([a-zA-Z][a-zA-Z0-9]*)>|<([a-zA-Z][a-zA-Z0-9]*)(?:{_SPACE}+{_QUOTED})*{_SPACE}*(/?)>")
+_ATTRIBUTE = re.compile(r"([a-zA-Z][-a-zA-Z0-9]*)=(\"[^\"]*\"|'[^']*')")
+# Tags that the library may read text after, not markup, in this version or a later one; their start has no ``<`` in its mark.
+_RAW = {*HTMLParser.CDATA_CONTENT_ELEMENTS, *getattr(HTMLParser, "RCDATA_CONTENT_ELEMENTS", ()), "noscript", "plaintext"}
+
+
+def _plain_parts(html: str) -> list[str] | None:
+    """``parts`` of a page if every ``<`` has its ``>``, else None. They hold if all tags are plain (:func:`_plain_mark`)."""
+    parts = _TAG.split(html)
+    if html.count("<") != len(parts) // 2:
+        return None
+    if "&" in html:
+        for at in range(0, len(parts), 2):
+            if "&" in parts[at]:
+                parts[at] = unescape(parts[at])
+    return parts
+
+
+def _plain_mark(markup: str) -> str | None:
+    """The mark of a plain tag: ``<tag>``, ``</tag>``, or ``tag/`` if it starts and ends; None if the library has to read it.
+
+    A plain tag has a name of letters and digits and quoted attributes without angle brackets, so its first ``>`` ends it.
+    """
+    plain = _PLAIN_TAG.fullmatch(markup)
+    if plain is None:
+        return None
+    if plain[1]:
+        return f"</{plain[1].lower()}>"
+    name = plain[2].lower()
+    if name in _RAW or name == "img" and "&" in markup or plain[3] and name in DROPPED:
+        return None
+    return f"{name}/" if plain[3] else f"<{name}>"
+
+
+class _Open(dict):
+    """The tags open at a place of a page, as a tree: equal ones are one object, which keeps what each tag does there.
+
+    Mark of a tag -> ``(what is open after it, None or (how many texts end with it, what begins, what is muted))``. What
+    begins is an ``_ELEMENT``, ``_ROW`` or ``_CELL``, negative if it also ends there.
+    """
+
+    __slots__ = ("tag", "up", "muted", "nested", "table", "has_p", "text", "down")
+    learned = 0
+
+    def __init__(self, tag: str, up: _Open | None, muted: bool = False, text: bool = False):
+        self.tag, self.up, self.muted, self.text, self.down = tag, up, muted, text, {}
+        self.nested = up is not None and (up.nested or tag in NESTING)
+        # Tables nest, so no more than one is an element.
+        self.table = up is not None and (up.table or tag == "table" and not up.nested)
+        self.has_p = up is not None and (up.has_p or tag == "p")
+
+    def __missing__(self, mark: str) -> tuple:
+        return self, _UNKNOWN
+
+    def learn(self, mark: str) -> tuple:
+        if mark not in self:
+            _Open.learned += 1
+            then, ended, begins = self._step(mark)
+            muted = _MUTED if then.muted else _TAG_MUTED if self.muted else 0
+            self[mark] = then, (ended, begins, muted) if ended or begins or muted else None
+        return self[mark]
+
+    def _step(self, mark: str) -> tuple[_Open, int, int]:
+        if not mark:
+            return self, 0, 0
+        if mark.startswith("</"):
+            return *self._ended(mark[2:-1]), 0
+        tag = mark[1:-1] if mark[0] == "<" else mark.removesuffix("/")
+        now, ended, begins = self._started(tag)
+        if mark[-1] == "/" and not self.muted and tag not in VOID:
+            return now.up, ended, begins if begins == _ROW else -begins
+        return now, ended, -begins if tag in VOID else begins
+
+    def _started(self, tag: str) -> tuple[_Open, int, int]:
+        if tag in DROPPED:
+            return self._with(tag, muted=True), 0, 0
         if self.muted:
-            return
-        piece = " ".join(data.split())
-        for _, element, cell in self.open:
-            if element and piece:
-                element["pieces"].append(piece)
-            if piece:
-                cell.append(piece)
-        self._markup(data)
-
-    def _markup(self, text: str) -> None:
-        for _, element, _ in self.open:
-            if element and element["tag"] == "table":
-                element.setdefault("markup", []).append(text)
-
-    def _close(self, tag: str, scopes: tuple[str, ...] = ()) -> None:
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                del self.open[at:]
-                return
-            if self.open[at][0] in scopes:
-                return
-
-    def result(self) -> list[dict]:
-        return [self._finish(e) for e in self.elements]
-
-    def _finish(self, e: dict) -> dict:
-        out = {"sequence": e["sequence"], "tag": e["tag"], "text": " ".join(e["pieces"])}
-        if e["tag"] == "table":
-            out["table_html"] = "".join(e.get("markup", []))
-            out["table_markdown"] = _markdown([[" ".join(c).replace("|", r"\|") for c in row] for row in e["rows"] if row])
-        if e["tag"] == "img":
-            source = e["attrs"].get("src")
-            out["image_url"] = urljoin(self.url, source) if source else None
-            out["alt_text"] = " ".join((e["attrs"].get("alt") or "").split())
-            out["title"] = " ".join((e["attrs"].get("title") or "").split())
-        return out
+            return self, 0, 0
+        now, ended = self, 0
+        if tag in ENDS_P and self.has_p:
+            now, ended = now._closed("p")
+        for name in IMPLIED.get(tag, ()):
+            now, more = now._closed(name, SCOPES)
+            ended += more
+        begins = 0
+        if tag in HEADINGS or tag in CONTENT and not now.nested:
+            begins = _ELEMENT
+        elif tag == "tr" and now.table:
+            begins = _ROW
+        elif tag in ("td", "th") and now.table and now.tag == "tr":
+            begins = _CELL
+        return now if tag in VOID else now._with(tag, text=begins in (_ELEMENT, _CELL)), ended, begins
+
+    def _ended(self, tag: str) -> tuple[_Open, int]:
+        if self.muted:
+            return self.up if tag == self.tag else self, 0
+        return self._closed(tag)
+
+    def _with(self, tag: str, muted: bool = False, text: bool = False) -> _Open:
+        if tag not in self.down:
+            self.down[tag] = _Open(tag, self, muted, text)
+        return self.down[tag]
+
+    def _closed(self, tag: str, scopes: tuple[str, ...] = ()) -> tuple[_Open, int]:
+        at, ended = self, 0
+        while at.up is not None:
+            ended += at.text
+            if at.tag == tag:
+                return at.up, ended
+            if at.tag in scopes:
+                break
+            at = at.up
+        return self, 0
+
+
+_UNKNOWN, _ELEMENT, _ROW, _CELL, _TAG_MUTED, _MUTED = (0, 0, 0), 1, 2, 3, 1, 2
+_NOTHING_OPEN = _Open("", None)
+# Steps that a worker keeps; it starts anew with a page when it has more.
+MOST_STEPS = 20_000
+
+
+def _nothing_open() -> _Open:
+    global _NOTHING_OPEN
+    if _Open.learned > MOST_STEPS:
+        _NOTHING_OPEN, _Open.learned = _Open("", None), 0
+    return _NOTHING_OPEN
+
+
+def _read(html: str) -> tuple[list[str], dict[int, dict], list[list]]:
+    """``parts``, the attributes of images that the library read, and the elements (see :func:`_walk`)."""
+    parts = _plain_parts(html)
+    elements = None if parts is None else _walk(parts, parts[1::2], plain=True)
+    if elements is not None:
+        return parts, {}, elements
+    tokens = _Tokens()
+    tokens.feed(html)
+    tokens.close()
+    return tokens.parts, tokens.attrs, _walk(tokens.parts, tokens.marks)
+
+
+def _walk(parts: list[str], marks: list[str], plain: bool = False) -> list[list] | None:
+    """Elements ``[place of the tag, place where its texts end, tag, rows of cells]``, a cell being two places as well.
+
+    What is muted becomes empty. With ``plain`` the marks are the tags as written; None if one calls for the library.
+    """
+    elements, live, rows = [], [], []
+    now = _nothing_open()
+    for at, mark in zip(range(1, len(parts), 2), marks):
+        now, does = now[mark]
+        if does is None:
+            continue
+        if does is _UNKNOWN:
+            if plain:
+                markup, mark = mark, _plain_mark(mark)
+                if mark is None:
+                    return None
+                if mark[-1] == "/":
+                    parts[at] = f"{markup}</{mark[:-1]}>"
+                elif mark[1] == "/":
+                    parts[at] = mark
+            now, does = now.learn(mark)
+            if does is None:
+                continue
+        ended, begins, muted = does
+        while ended:
+            live.pop()[1] = at
+            ended -= 1
+        if begins:
+            if begins == _ROW:
+                rows.append([])
+            else:
+                span = [at, at]
+                if begins == _CELL or begins == -_CELL:
+                    rows[-1].append(span)
+                else:
+                    tag = mark.strip("</>")
+                    if tag == "table":
+                        rows = []
+                    span += (tag, rows)
+                    elements.append(span)
+                if begins > 0:
+                    live.append(span)
+        if muted:
+            parts[at] = ""
+            if muted == _MUTED:
+                parts[at + 1] = ""
+    for span in live:
+        span[1] = len(parts)
+    return elements
 
 
 def _markdown(rows: list[list[str]]) -> str:
@@ -129,28 +266,52 @@ def _markdown(rows: list[list[str]]) -> str:
     return "\n".join(lines)
 
 
-def parse_elements(html: str | None, url: str | None) -> list[dict]:
-    parser = _Elements(url or "")
-    parser.feed(html or "")
-    parser.close()
-    return parser.result()
+def parse_elements(html: str | None, url: str | None) -> list[tuple]:
+    """Content elements of a page in document order, with the fields of ``ELEMENT``; text goes to every open one."""
+    parts, attrs, elements = _read(html or "")
+    found = []
+    for number, (start, end, tag, rows) in enumerate(elements, 1):
+        text = " ".join(" ".join(parts[start + 1 : end : 2]).split())
+        if tag == "table":
+            # Most cells are a single text.
+            cells = [
+                [" ".join((parts[a + 1] if z == a + 2 else " ".join(parts[a + 1 : z : 2])).split()).replace("|", r"\|") for a, z in row]
+                for row in rows if row
+            ]
+            found.append((number, tag, text, "".join(parts[start : end + 1]), _markdown(cells), None, None, None))
+        elif tag == "img":
+            own = attrs[start] if start in attrs else {name.lower(): value[1:-1] for name, value in _ATTRIBUTE.findall(parts[start])}
+            source = own.get("src")
+            alt, title = (" ".join((own.get(name) or "").split()) for name in ("alt", "title"))
+            found.append((number, tag, text, None, None, urljoin(url or "", source) if source else None, alt, title))
+        else:
+            found.append((number, tag, text, None, None, None, None, None))
+    return found
 
 
 PARSED = f"struct<found:{ELEMENT},error:string>"
-_TEXTS = ("tag", "text", "table_html", "table_markdown", "image_url", "alt_text", "title")
-PARSED_ARROW = pa.struct([
-    ("found", pa.list_(pa.struct([("sequence", pa.int32()), *((name, pa.string()) for name in _TEXTS)]))), ("error", pa.string()),
-])
+_FIELDS = [("sequence", pa.int32()), *((name, pa.string()) for name in ("tag", "text", "table_html", "table_markdown", "image_url", "alt_text", "title"))]
+PARSED_ARROW = pa.struct([("found", pa.list_(pa.struct(_FIELDS))), ("error", pa.string())])
 # Pages whose elements are Python objects at a time.
 PARSE_PAGES = 64
 
 
-def _parsed(html: str | None, url: str | None) -> dict:
+def _parsed(html: str | None, url: str | None) -> tuple[list[tuple], str | None]:
     """Elements of a page, or why it has none; a page that the parser can't take doesn't end the job."""
     try:
-        return {"found": parse_elements(html, url), "error": None}
+        return parse_elements(html, url), None
     except Exception as error:  # noqa: BLE001 - whatever the markup makes the parser raise
-        return {"found": [], "error": f"{type(error).__name__}: {error}"}
+        return [], f"{type(error).__name__}: {error}"
+
+
+def _parsed_array(pages: list[tuple[list[tuple], str | None]]) -> pa.Array:
+    """Parsed pages as ``PARSED_ARROW``, column by column: nothing is looked up by name."""
+    nothing = [()] * len(_FIELDS)
+    columns = zip(*(zip(*found) if found else nothing for found, _ in pages))
+    lists = [pa.array(values, pa.list_(kind)) for values, (_, kind) in zip(columns, _FIELDS)]
+    elements = pa.StructArray.from_arrays([column.values for column in lists], fields=[pa.field(*field) for field in _FIELDS])
+    found = pa.ListArray.from_arrays(lists[0].offsets, elements, type=PARSED_ARROW.field("found").type)
+    return pa.StructArray.from_arrays([found, pa.array([error for _, error in pages], pa.string())], fields=list(PARSED_ARROW))
 
 
 def _parse():
@@ -159,7 +320,7 @@ def _parse():
         parts = [pa.array([], PARSED_ARROW)]
         for at in range(0, len(html), PARSE_PAGES):
             pairs = zip(html.slice(at, PARSE_PAGES).to_pylist(), url.slice(at, PARSE_PAGES).to_pylist())
-            parts.append(pa.array([_parsed(h, u) for h, u in pairs], PARSED_ARROW))
+            parts.append(_parsed_array([_parsed(h, u) for h, u in pairs]))
         return pa.concat_arrays(parts)
 
     # Keeps a filter on the result from calling the parser a second time.
