@@ -8,8 +8,12 @@ Adds ``reason`` (NULL when kept), ``duplicate_of`` and ``group_id``.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -183,16 +187,9 @@ def _acting(edges: DataFrame) -> DataFrame:
     return state.filter("NOT acts").select("document_id", "idx")
 
 
-def overlap_drops(boxes: DataFrame, params: TriageParams) -> DataFrame:
-    """``(document_id, idx, keeper)``: boxes dropped because of an overlapping box on their page.
-
-    Boxes are visited in list order; each still present box is compared with all later
-    ones of its page and the preferred category, then the larger box, wins. A box that
-    lost still finishes its own comparisons. Copies with equal box and category fare like
-    their first copy, or fall to it, so only first copies are compared.
-    """
+def _spread_drops(boxes: DataFrame, params: TriageParams) -> DataFrame:
+    """:func:`overlap_drops` by joins over boxes and edges, whatever the size of a document."""
     shape = ["document_id", "page", "x", "y", "w", "h", "category"]
-    boxes = boxes.withColumn("category", F.coalesce("category", F.lit("embedded")))
     firsts = cut_lineage(boxes.filter("w > 0 AND h > 0").groupBy(*shape).agg(F.min("idx").alias("idx")))
     edges = cut_lineage(overlap_edges(firsts, params))
     idle = _acting(edges).withColumn("idle", F.lit(True))
@@ -217,6 +214,190 @@ def overlap_drops(boxes: DataFrame, params: TriageParams) -> DataFrame:
     return dropped.select("document_id", "idx", "keeper").unionByName(copies)
 
 
+# Boxes that a page compares by pairs; more are sorted by their left edge first. Pairs that are arrays at a time.
+SMALL_PAGE, PAIRS = 64, 1 << 18
+# Ids of large documents that are broadcast, else they meet the boxes in a shuffle.
+BROADCAST_DOCUMENTS = 100_000
+BOX = ["document_id", "page", "x", "y", "w", "h", "category", "idx"]
+
+
+def _not_less(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a >= b`` as Spark has it: NaN is above all numbers."""
+    return (a >= b) | np.isnan(a)
+
+
+def _shared(a: np.ndarray, b: np.ndarray, low: np.ndarray, high: np.ndarray, unknown: np.ndarray) -> np.ndarray:
+    """Length that two boxes share along an axis, as Spark's least and greatest have it: an unknown end is left out."""
+    only_a, only_b = unknown[b], unknown[a]
+    least = np.where(only_a, high[a], np.where(only_b, high[b], np.fmin(high[a], high[b])))
+    greatest = np.where(only_a, low[a], np.where(only_b, low[b], np.maximum(low[a], low[b])))
+    return np.where(only_a & only_b, 0.0, np.maximum(0.0, least - greatest))
+
+
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where rows differ from the row before; NaN equals NaN."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= (c[1:] != c[:-1]) & ~((c[1:] != c[1:]) & (c[:-1] != c[:-1]))
+    return new
+
+
+def _page_pairs(page: np.ndarray, x: np.ndarray, w: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of two boxes of one page, for every pair that may overlap enough; rows come by page and ``x``.
+
+    Boxes with the given overlap share this part of both widths, so the second starts before the rest of the first.
+    """
+    n = len(page)
+    starts = np.flatnonzero(_runs(page))
+    ends = np.r_[starts[1:], n]
+    upto = np.repeat(ends, ends - starts)
+    many = ends - starts > SMALL_PAGE
+    for lo, hi in zip(starts[many], ends[many]):
+        if np.isfinite(x[lo:hi]).all():
+            slack = 1e-9 * (np.abs(x[lo:hi]) + w[lo:hi])
+            upto[lo:hi] = lo + np.searchsorted(x[lo:hi], x[lo:hi] + w[lo:hi] * (1 - threshold) + slack, side="right")
+    counts = np.maximum(upto - np.arange(n) - 1, 0)
+    before = np.r_[0, np.cumsum(counts)]
+    at = 0
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(before, before[at] + PAIRS, side="right")) - 1)
+        first = np.repeat(np.arange(at, to), counts[at:to])
+        yield first, first + 1 + np.arange(before[at], before[to]) - np.repeat(before[at:to], counts[at:to])
+        at = to
+
+
+def _early_acts(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of n boxes act, where ``a`` drops the later ``b`` if it acts itself."""
+    acts, known = np.ones(n, bool), np.ones(n, bool)
+    known[b] = False
+    for _ in range(16):
+        if not len(a):
+            return acts
+        lost = b[known[a] & acts[a]]
+        acts[lost], known[lost] = False, True
+        left = ~known[a] & ~known[b]
+        a, b = a[left], b[left]
+        waits = np.zeros(n, bool)
+        waits[b] = True
+        known |= ~waits
+    # Long chains: box by box in list order.
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], b[order]
+    starts = np.flatnonzero(_runs(a))
+    for lo, hi in zip(starts, np.r_[starts[1:], len(a)]):
+        if acts[a[lo]]:
+            acts[b[lo:hi]] = False
+    return acts
+
+
+def _document_drops(rows: pa.Table, threshold: float, prefer: str) -> pa.Table:
+    """:func:`overlap_drops` of whole documents."""
+    code = lambda name: pc.dictionary_encode(rows.column(name)).combine_chunks().indices.to_numpy()
+    document, page, kind = code("document_id"), code("page"), code("category")
+    w, h, idx = (rows.column(c).to_numpy() for c in ("w", "h", "idx"))
+    (x, no_x), (y, no_y) = ((pc.fill_null(rows.column(c), 0.0).to_numpy(), pc.is_null(rows.column(c)).to_numpy()) for c in ("x", "y"))
+    liked = pc.equal(rows.column("category"), prefer).to_numpy()
+    # Copies follow their first, the one with the least idx.
+    order = np.lexsort((idx, kind, h, w, y, no_y, x, no_x, page, document))
+    document, page, kind, x, no_x, y, no_y, w, h, idx, liked = (c[order] for c in (document, page, kind, x, no_x, y, no_y, w, h, idx, liked))
+    heads = _runs(document, page, x, no_x, y, no_y, w, h, kind)
+    first = np.flatnonzero(heads)[np.cumsum(heads) - 1]
+    # A box goes by document and idx: nodes are numbered in list order.
+    by_idx = np.lexsort((idx, document))
+    node = np.empty(len(idx), np.int64)
+    node[by_idx] = np.cumsum(_runs(document[by_idx], idx[by_idx])) - 1
+    n = int(node.max()) + 1 if len(node) else 0
+    named = np.empty(n, np.int64)
+    named[node] = np.arange(len(node))
+
+    f = np.flatnonzero(heads)
+    area, likes, nodes = w[f] * h[f], liked[f], node[f]
+    wide, high = (x[f], x[f] + w[f], no_x[f]), (y[f], y[f] + h[f], no_y[f])
+    found = [np.empty((3, 0), np.int32)]
+    with np.errstate(all="ignore"):
+        for p, q in _page_pairs(np.cumsum(_runs(document[f], page[f])), np.where(no_x[f], np.nan, x[f]), w[f], threshold):
+            swap = nodes[p] > nodes[q]
+            a, b = np.where(swap, q, p), np.where(swap, p, q)
+            inter = _shared(a, b, *wide) * _shared(a, b, *high)
+            union = area[a] + area[b] - inter
+            share = np.where((union > 0) | np.isnan(union), inter / union, 0.0)
+            close = _not_less(share, np.float64(threshold)) & (nodes[a] != nodes[b])
+            a, b = a[close], b[close]
+            keep = np.where(likes[a] != likes[b], likes[a], _not_less(area[a], area[b]))
+            found.append(np.stack([nodes[a], nodes[b], keep]).astype(np.int32))
+    a, b, keep = np.concatenate(found, axis=1)
+    keep = keep.astype(bool)
+    live = _early_acts(n, a[keep], b[keep])[a]
+    a, b, keep = a[live], b[live], keep[live]
+    never = np.iinfo(np.int32).max
+    lost, beaten = np.full(n, never, np.int32), np.full(n, never, np.int32)
+    np.minimum.at(lost, b[keep], a[keep])
+    # An acting box falls to the first later box that beats it and was still present.
+    present = ~keep & (lost[b] > a)
+    np.minimum.at(beaten, a[present], b[present])
+    keeper = np.where(lost != never, lost, beaten)
+    gone = np.flatnonzero(keeper != never)
+    copies = np.flatnonzero((idx > idx[first]) & ~no_x & ~no_y)
+    origin = node[first[copies]]
+    origin = np.where(lost[origin] != never, lost[origin], origin)
+    at = np.r_[named[gone], copies]
+    return pa.table({
+        "document_id": rows.column("document_id").take(pa.array(order[at])), "idx": pa.array(idx[at], pa.int64()),
+        "keeper": pa.array(idx[named[np.r_[keeper[gone], origin]]], pa.int64()),
+    })
+
+
+def _whole_documents(threshold: float, prefer: str):
+    """Batches of boxes sorted by document -> drops; a document that a batch leaves open waits for its other rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = batch.column("document_id")
+            other = pc.not_equal(ids, ids[-1]).to_numpy(zero_copy_only=False)
+            done = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+            if held and (done or held[-1].column("document_id")[-1] != ids[0]):
+                held.append(batch.slice(0, done))
+                yield from _document_drops(pa.Table.from_batches(held), threshold, prefer).to_batches()
+                held = []
+            elif done:
+                yield from _document_drops(pa.Table.from_batches([batch.slice(0, done)]), threshold, prefer).to_batches()
+            held.append(batch.slice(done))
+        if held:
+            yield from _document_drops(pa.Table.from_batches(held), threshold, prefer).to_batches()
+
+    return run
+
+
+def overlap_drops(boxes: DataFrame, params: TriageParams) -> DataFrame:
+    """``(document_id, idx, keeper)``: boxes dropped because of an overlapping box on their page.
+
+    Boxes are visited in list order; each still present box is compared with all later
+    ones of its page and the preferred category, then the larger box, wins. A box that
+    lost still finishes its own comparisons. Copies with equal box and category fare like
+    their first copy, or fall to it, so only first copies are compared.
+
+    Documents of up to ``16 * bucket_rows`` boxes are settled one by one after a single shuffle of the boxes, larger ones by joins.
+    """
+    boxes = boxes.withColumn("category", F.coalesce("category", F.lit("embedded"))).select(*BOX)
+    large = boxes.groupBy("document_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 16 * params.bucket_rows).select("document_id")
+    large = cut_lineage(large.filter("document_id IS NOT NULL"))
+    many_large = large.count()
+    few = F.broadcast(large) if many_large <= BROADCAST_DOCUMENTS else large
+    small = boxes.join(few, "document_id", "left_anti") if many_large else boxes
+    double = lambda c: F.col(c).cast("double").alias(c)
+    solid = small.filter("w > 0 AND h > 0 AND document_id IS NOT NULL AND page IS NOT NULL AND idx IS NOT NULL").select("document_id", "page", *map(double, "xywh"), "category", F.col("idx").cast("bigint").alias("idx"))
+    kind = boxes.schema["document_id"].dataType.simpleString()
+    schema = f"document_id {kind}, idx bigint, keeper bigint"
+    drops = solid.repartition("document_id").sortWithinPartitions("document_id").mapInArrow(_whole_documents(params.overlap_iou, params.prefer_category), schema)
+    if not many_large:
+        return drops
+    return drops.unionByName(_spread_drops(boxes.join(few, "document_id", "left_semi"), params))
+
+
 # ---------------------------------------------------------------- whole triage
 
 
@@ -225,9 +406,10 @@ def triage(images: DataFrame, params: TriageParams = TriageParams()) -> DataFram
     names = staged.select("document_id", F.col("idx").alias("keeper"), F.col("filename").alias("keeper_name"))
 
     left = staged.filter("reason IS NULL")
-    drops = overlap_drops(left, params).join(names, ["document_id", "keeper"]).select(
+    # Used three times below.
+    drops = cut_lineage(overlap_drops(left, params).join(names, ["document_id", "keeper"]).select(
         "document_id", "idx", F.lit("overlap_duplicate").alias("why"), F.col("keeper_name").alias("of")
-    )
+    ))
     left = cut_lineage(left.join(drops.select("document_id", "idx"), ["document_id", "idx"], "left_anti"))
 
     groups = near_groups(left.select(F.col("document_id").alias("scope"), F.col("phash").alias("hash")), params.phash_bits, params.bucket_rows)
