@@ -259,11 +259,11 @@ def _walk(parts: list[str], marks: list[str], plain: bool = False) -> list[list]
 
 
 def _markdown(rows: list[list[str]]) -> str:
-    width = max((len(r) for r in rows), default=0)
-    lines = ["| " + " | ".join(r + [""] * (width - len(r))) + " |" for r in rows]
+    width = max(map(len, rows), default=0)
+    lines = [" | ".join(r if len(r) == width else r + [""] * (width - len(r))) for r in rows]
     if lines:
-        lines.insert(1, "| " + " | ".join(["---"] * width) + " |")
-    return "\n".join(lines)
+        lines.insert(1, " | ".join(["---"] * width))
+    return "| " + " |\n| ".join(lines) + " |" if lines else ""
 
 
 def parse_elements(html: str | None, url: str | None) -> list[tuple]:
